@@ -101,14 +101,15 @@ def _judge(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
                 out.append((f, "ordinary", ts[0], ts[-1], None, float(least[ordinary].max())))
             out += [(f, "spike", t, t, None, None) for t in ts[flagged]]
         if block["trading"].iloc[0] > TRADING_SHARE:
-            ids, runs = block[f"v_{f}"].to_numpy(), None
+            ids = block[f"v_{f}"].to_numpy()
             runs = list(_runs(ids))
             for k, (i, j) in enumerate(runs):
                 edge = ("lead" if k == 0 else "") + ("trail" if k == len(runs) - 1 else "")
                 if edge or j - i + 1 >= STUCK_BARS:
                     out.append((f, edge or "inner", ts[i], ts[j], ids[i], float(j - i + 1)))
-    columns = ["field", "kind", "ts_from", "ts_to", "value_id", "size"]
-    got = pd.DataFrame(out, columns=columns).astype({"ts_from": "Int64", "ts_to": "Int64", "value_id": "Int64", "size": "float64"})
+    kinds = {"field": "object", "kind": "object", "ts_from": "Int64", "ts_to": "Int64", "value_id": "Int64", "size": "Float64"}
+    parts = list(zip(*out, strict=True)) or [()] * len(kinds)
+    got = pd.DataFrame({n: pd.array(list(v), dtype=k) for (n, k), v in zip(kinds.items(), parts, strict=True)})
     for i, name in enumerate([*SERIES, "block"]):
         got.insert(i, name, key[i])
     return got
