@@ -210,8 +210,7 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
                     if (yes := close.get(spelt)) is None:
                         yes = close[spelt] = _close(canonical(spelt[0]), spelt[1])
                     good[j] = yes
-            runs = np.pad(np.cumsum(good), (1, 0))
-            if (runs[RUN:] - runs[:-RUN] == RUN).any():
+            if "1" * RUN in "".join("1" if x else "0" for x in good.tolist()):
                 done.add(pair)
                 yield pair[0], index.ids[pair[1]]
         if len(close) > 1_000_000:

@@ -45,7 +45,7 @@ def unmangle(text: str) -> str:
     return whole if whole != text else "\n".join(_decoded(x) if _MOJIBAKE.search(x) else x for x in text.split("\n"))
 
 
-_LOST = re.compile(r"[^\W\d_]\?[^\W\d_]")
+_LOST = re.compile(r"\?(?<=[^\W\d_]\?)[^\W\d_]")
 _LOST_ALONE = re.compile(r"(?<=\s)\?(?=\s+[^\W\d_A-Z])")
 
 
