@@ -20,7 +20,7 @@ from candlewick.llm import text as T
 
 RUN = 14
 MASKS = ("1110010111", "1101110011", "1011011101", "1111101001")
-LEAST = 9  # words of a run that agree but for common misreadings; the others may be damaged in any way
+WINDOW, LEAST = 12, 8  # of so many words of a run at least so many agree but for common misreadings; others may be damaged in any way
 ITEM_BLOCK = 2048  # items whose seeds are shipped to the workers at a time
 TABLE_BITS = 22
 
@@ -32,22 +32,21 @@ _LATIN = str.maketrans(_CLASSES)
 _RUSSIAN = str.maketrans(_CYRILLIC)
 _NOT_ASCII_WORD = re.compile(r"[^a-z0-9]")
 _HAS_OTHER = re.compile("[Ͱ-῿Ⰰ-퟿]")
+_LETTERS = re.compile(r"[^\W_]")
 _NOT_WORD = re.compile(r"[\W_]")
 
 
 @lru_cache(1 << 16)
 def canonical(raw: str) -> str:
-    """The word's form in which case, punctuation, accents and common misreadings make no difference; '' if it is no word.
+    """The word's form in which case, punctuation, accents and common misreadings make no difference; '' if nothing is left.
 
-    Letters of Latin words outside ASCII are dropped, since wrong encodings leave anything there; a word of such letters only is ``~``.
+    Letters of Latin words outside ASCII are dropped, since wrong encodings leave anything there; of words like "à" nothing is left.
     """
     s = raw.lower()
     if not s.isascii():
         s = unicodedata.normalize("NFC", s)
         if _HAS_OTHER.search(s):
             return _NOT_WORD.sub("", s.translate(_RUSSIAN) if re.search("[Ѐ-ӿ]", s) else s)
-        if not _NOT_ASCII_WORD.sub("", s):
-            return "~" if any(c.isalpha() or c == "�" for c in s) else ""
     s = s.replace("|", "i")
     s = _NOT_ASCII_WORD.sub("", s)
     for a, b in _PAIRS:
@@ -59,7 +58,7 @@ def code(raw: str) -> int:
     s = canonical(raw)
     if not s:
         return T.NOTHING
-    return zlib.crc32(s.encode()) | (T.NUMBER if raw.isdecimal() else 0)
+    return zlib.crc32(s.encode())
 
 
 def _close(a: str, b: str) -> bool:
@@ -115,15 +114,18 @@ class Index:
     """Seeds of a block of items."""
 
     def __init__(self, items: list[tuple[int, str | None]]) -> None:
-        self.ids, self.words, self.codes = [], [], []
+        self.ids, self.words, self.places, self.codes = [], [], [], []
         for item, t in items:
-            got = [w for w in map(canonical, T.unmangle(t or "").split()) if w]
-            if len(got) >= RUN:
+            spelt = [w for w in T.unmangle(t or "").split() if _LETTERS.search(w)]
+            kept = [(i, canonical(w)) for i, w in enumerate(spelt) if canonical(w)]
+            if len(spelt) >= RUN and len(kept) >= WINDOW:
+                got = [w for _, w in kept]
                 self.ids.append(item)
                 self.words.append(got)
+                self.places.append([i for i, _ in kept])  # among all the item's words
                 self.codes.append(np.array([zlib.crc32(w.encode()) for w in got], np.uint64))
         self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.padded = np.full((len(self.codes), max(self.length, default=RUN)), 2**63, np.uint64)  # no word's code
+        self.padded = np.full((len(self.codes), max(self.length, default=WINDOW)), 2**63, np.uint64)  # no word's code
         for k, c in enumerate(self.codes):
             self.padded[k, : len(c)] = c
         h, item, at = [], [], []
@@ -174,7 +176,7 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
     c = T.cues(texts, words, sounds=False)
     keep = _without_repeats(c)
     doc, at = c.doc[keep], c.at[keep]
-    t = (c.code[keep] & np.int64(0xFFFFFFFF)).astype(np.uint64)
+    t = c.code[keep].astype(np.uint64)
     span, longest = len(MASKS[0]), index.padded.shape[1]
     pairs = []
     whole = doc[: max(len(doc) - span + 1, 0)] == doc[span - 1 :]
@@ -197,7 +199,7 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
         inside = (place >= bounds[d][:, None]) & (place < bounds[d + 1][:, None]) & (np.arange(longest) < index.length[item][:, None])
         same = inside & (t[np.clip(place, 0, len(t) - 1)] == index.padded[item])
         total = np.pad(np.cumsum(same, 1, dtype=np.int16), ((0, 0), (1, 0)))
-        dense = total[:, RUN:] - total[:, :-RUN] >= LEAST  # by the window's first word
+        dense = total[:, WINDOW:] - total[:, :-WINDOW] >= LEAST  # by the window's first word
         for r in np.flatnonzero(dense.any(1)):
             pair = int(d[r]), int(item[r])
             if pair in done:
@@ -205,14 +207,18 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
             want, first, good = index.words[pair[1]], int(start[r]), same[r].copy()
             windows = np.flatnonzero(dense[r])
             for j in np.flatnonzero(inside[r] & ~same[r]).tolist():
-                if windows[0] <= j < windows[-1] + RUN:
+                if windows[0] <= j < windows[-1] + WINDOW:
                     spelt = c.raw[at[first + j]], want[j]
                     if (yes := close.get(spelt)) is None:
                         yes = close[spelt] = _close(canonical(spelt[0]), spelt[1])
                     good[j] = yes
-            if "1" * RUN in "".join("1" if x else "0" for x in good.tolist()):
-                done.add(pair)
-                yield pair[0], index.ids[pair[1]]
+            since, places = None, index.places[pair[1]]
+            for j, ok in enumerate(good.tolist()):
+                since = (j if since is None else since) if ok else None
+                if ok and places[j] - places[since] + 1 >= RUN:
+                    done.add(pair)
+                    yield pair[0], index.ids[pair[1]]
+                    break
         if len(close) > 1_000_000:
             close.clear()
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import leaks
+from candlewick.llm import langid, leaks
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -13,5 +13,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(_t(spark, d, "documents"), _t(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p8_found,)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return langid.corrections(_t(spark, d, "documents")).select("doc_id", "first_cue", "last_cue", "lang")
+
+
+def p10_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Every text and stretch with its language, confidence and the label it came with."""
+    return langid.assigned(_t(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p8_found, p10_found, p10_languages)}
 ORACLES: dict[str, str] = {}

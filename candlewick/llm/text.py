@@ -37,29 +37,50 @@ def _decoded(part: str) -> str:
         return part
 
 
-def unmangle(text: str) -> str:
-    """UTF-8 that was read as a Western code page is read again; text that can't have come about so stays as it is."""
-    if not ("Ã" in text or "Â" in text or "Ð" in text or "ì" in text) or not _MOJIBAKE.search(text):  # one of the four occurs in any longer text so mangled
-        return text
-    whole = _decoded(text)
-    return whole if whole != text else "\n".join(_decoded(x) if _MOJIBAKE.search(x) else x for x in text.split("\n"))
+_HIGH = re.compile("[\u00a1-ÿ]{3}")
+_HANGUL, _CYRILLIC = re.compile("[가-힣]"), re.compile("[а-яё]")
 
 
-_LOST = re.compile(r"\?(?<=[^\W\d_]\?)[^\W\d_]")
-_LOST_ALONE = re.compile(r"(?<=\s)\?(?=\s+[^\W\d_A-Z])")
+def _eastern(text: str) -> str:
+    """Korean or Russian in an 8-bit encoding that was read as a Western code page. Accepted if nearly all the odd letters make sense so."""
+    high = sum(1 for ch in text if "\u00a1" <= ch <= "ÿ")
+    if high < 0.4 * sum(map(str.isalpha, text)):
+        return text
+    try:
+        raw = text.encode("cp1252", "candlewick-c1")
+    except UnicodeError:
+        return text
+    n = sum(b > 127 for b in raw)
+    korean = raw.decode("cp949", "replace")
+    if 2 * len(_HANGUL.findall(korean)) >= 0.8 * n:
+        return korean
+    russian = max((raw.decode(e, "replace") for e in ("cp1251", "koi8-r")), key=lambda t: len(_CYRILLIC.findall(t)))
+    return russian if len(_CYRILLIC.findall(russian.lower())) >= 0.8 * n else text
 
 
-def unquestion(text: str) -> str:
-    """Where lost letters became question marks (some stand within words), one that stands for a whole word is U+FFFD afterwards."""
-    return _LOST_ALONE.sub("\ufffd", text) if "?" in text and _LOST.search(text) else text
+def unmangle(text: str) -> str:
+    """Text that was read with a wrong encoding (UTF-8, Korean or Russian as a Western code page) is read again.
+
+    Text that can't have come about so stays as it is.
+    """
+    if text.isascii():
+        return text
+    if _HIGH.search(text):
+        text = "\n".join(_eastern(x) if _HIGH.search(x) else x for x in text.split("\n"))
+    if not ("Ã" in text or "Â" in text or "Ð" in text or "ì" in text or "â™" in text) or not _MOJIBAKE.search(text):  # one of these occurs in any longer text so mangled
+        return text
+    whole = _decoded(text)
+    return whole if whole != text else "\n".join(_decoded(x) if _MOJIBAKE.search(x) else x for x in text.split("\n"))
 
 
 MARKUP = r"<[^<>\n]{0,80}>|\{[^{}\n]{0,80}\}"
 SOUNDS = r"\[[^\[\]\x01]{0,120}\]|\([^()\x01]{0,120}\)|\*[^*\n\x01]{1,120}\*"
 
 
+#: A cue's time line, with the line before it if that is a number.
+TIME_LINE = r"(?m)(?:^\d+[ \t]*\n)?^[^\n]*-->[^\n]*$"
 #: A word broken by a hyphen at the end of a line; the next line may be in the next cue.
-BROKEN = r"(\pL)[-\x{AD}]((?:\n+\d+)?\n+\x01\n|\n)(\pL\S*)"
+BROKEN = r"(\pL)[-\x{AD}](\n+\x01\n|\n)(\pL\S*)"
 
 
 def prepare(texts: list[str | None], sounds: bool) -> list[str]:
@@ -67,15 +88,15 @@ def prepare(texts: list[str | None], sounds: bool) -> list[str]:
 
     Markup is dropped. Unless ``sounds``, so are sound descriptions, and words broken at the end of a line are joined. Null is an empty text.
     """
-    clean = [unquestion(unmangle(t)).replace(DOC, " ").replace(CUE, " ").replace(LINE, " ") if t else "" for t in texts]
+    clean = [unmangle(t).replace(DOC, " ").replace(CUE, " ").replace(LINE, " ") if t else "" for t in texts]
     a = pa.array([f"\n{DOC}\n".join(["", *clean])], pa.large_string())
     a = pc.replace_substring(pc.replace_substring(a, "\r\n", "\n"), "\r", "\n")
-    a = pc.replace_substring_regex(a, pattern=r"(?m)^[^\n]*-->[^\n]*$", replacement=CUE)
+    a = pc.replace_substring_regex(a, pattern=TIME_LINE, replacement=CUE)
     a = pc.replace_substring_regex(a, pattern=MARKUP, replacement="")
     if not sounds:
         a = pc.replace_substring_regex(a, pattern=SOUNDS, replacement=" ")
         a = pc.replace_substring_regex(a, pattern=BROKEN, replacement=r"\1\3\2")
-    a = pc.replace_substring(a, "\n", f" {LINE} ")
+    a = pc.replace_substring(pc.replace_substring(a, "\n\n", "\n"), "\n", f" {LINE} ")
     return a[0].as_py().split()
 
 
@@ -94,7 +115,7 @@ class Words(dict):
         return v
 
 
-NOTHING, NUMBER = -4, 1 << 40  # a code may carry NUMBER besides its value
+NOTHING = -4
 
 
 @dataclass
@@ -118,11 +139,6 @@ def cues(texts: list[str | None], words: Words, sounds: bool) -> Cues:
     code = np.fromiter(map(words.__getitem__, raw), np.int64, len(raw))
     doc = np.cumsum(code == -3) - 1
     mark = np.flatnonzero(code == -1)
-    # the number of the cue: alone on the line before the time line
-    back = mark[mark > 2]
-    number = (code[back - 1] == -2) & (code[back - 2] >= NUMBER) & (code[back - 3] < 0)
-    drop = np.zeros(len(code), bool)
-    drop[back[number] - 2] = True
     n_cues = np.bincount(doc[mark], minlength=len(texts)).astype(np.int64)
     first_cue = np.concatenate([[0], np.cumsum(np.maximum(n_cues, 1))[:-1]]) if len(texts) else n_cues
     seen = np.cumsum(code == -1)
@@ -131,7 +147,7 @@ def cues(texts: list[str | None], words: Words, sounds: bool) -> Cues:
     within = seen - seen_before[doc] - 1 if len(code) else seen
     within = np.where(n_cues[doc] == 0, 0, within) if len(code) else within
     line = np.cumsum(code == -2)
-    keep = np.flatnonzero((code >= 0) & ~drop & (within >= 0))
+    keep = np.flatnonzero((code >= 0) & (within >= 0))
     return Cues(raw, keep, code[keep], doc[keep], first_cue[doc[keep]] + within[keep], line[keep], first_cue, n_cues)
 
 
