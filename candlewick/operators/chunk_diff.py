@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions import normal
+from candlewick.functions import normal, schemas
 from candlewick.plans.lineage import cut
 
 BAR_KEY = ("bar_label", "genesis_us", "ts_close_us", "exchange", "symbol")
@@ -69,7 +69,7 @@ def chunked(rows: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataF
     once = rows.select(*every).distinct()
     hashed = once.select(*every, _hash(key, 1).alias("_key"), _hash(every, 2).alias("_d1"), _hash(every, 3).alias("_d2"))
     ordered = hashed.repartitionByRange(*key).sortWithinPartitions(*key)
-    schema = hashed.schema.add("_chunk", "long", False)
+    schema = schemas.plus(hashed.schema, _chunk="bigint")
     return cut(ordered.mapInArrow(_cuts, schema))
 
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions import hilbert, normal
+from candlewick.functions import hilbert, normal, schemas
 from candlewick.plans.lineage import scratch
 
 RECORD = ("ts_utc", "exchange", "symbol", "baseline_seq", "side", "level", "price", "quantity")
@@ -45,7 +45,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def coded(rows: DataFrame, *carry: str) -> DataFrame:
     """``carry`` columns of ``rows`` with two row digests ``d1``, ``d2`` and the Hilbert ``code``. Null parts count as 0 in a code."""
     picked = rows.select(*carry, digest(11).alias("d1"), digest(12).alias("d2"), F.unix_micros("ts_utc").alias("_us"), F.col("price").cast("double").alias("_price"), F.col("level").cast("bigint").alias("_level"))
-    schema = picked.drop("_us", "_price", "_level").schema.add("code", "long", False)
+    schema = schemas.plus(picked.drop("_us", "_price", "_level").schema, code="bigint")
     return picked.mapInArrow(_coded, schema)
 
 
