@@ -51,6 +51,8 @@ def _eastern(text: str) -> str:
     except UnicodeError:
         return text
     n = sum(b > 127 for b in raw)
+    if n < 6:  # too few to tell
+        return text
     korean = raw.decode("cp949", "replace")
     if 2 * len(_HANGUL.findall(korean)) >= 0.8 * n:
         return korean
