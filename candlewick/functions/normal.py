@@ -48,3 +48,9 @@ def timeframe_seconds(c: Column) -> Column:
         .when(unit.isin("d", "day"), 86400)
     )
     return n * scale
+
+
+def bucket(c: Column, width: Column | int) -> Column:
+    """floor(c / width) of whole numbers, exact and right for negative ones too."""
+    w = F.lit(width) if isinstance(width, int) else width
+    return ((c - F.pmod(c, w)) / w).cast("bigint")

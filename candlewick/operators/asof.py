@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions import normal
+
 
 def asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str, take: Sequence[str], bucket_s: int | None = None) -> DataFrame:
     """``left`` with the ``take`` columns of the last right row (named ``asof_...``) with right_ts <= left_ts; null where there is none.
@@ -23,7 +25,7 @@ def asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, ri
     both = r.unionByName(a)
     part = keys
     if bucket_s:
-        both = both.withColumn("_bucket", F.floor(F.unix_micros("_ts") / F.lit(bucket_s * 1_000_000)).cast("bigint"))
+        both = both.withColumn("_bucket", normal.bucket(F.unix_micros("_ts"), F.lit(bucket_s * 1_000_000)))
         part = [*keys, "_bucket"]
     w = Window.partitionBy(*part).orderBy("_ts", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = both.withColumn("_value", F.last("_value", ignorenulls=True).over(w))

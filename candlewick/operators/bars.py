@@ -7,12 +7,13 @@ the first and last price in that order, volume the sum of quantities, value the
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions import schemas
+from candlewick.functions import normal, schemas
 
 SERIES = ("exchange", "symbol")
 #: Prices and quantities are narrowed so that their product is exact: (20,8) x (16,8) is (37,16). A value that doesn't fit raises.
@@ -70,7 +71,7 @@ def time_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES)
     All in one aggregation; the last window is known from a second, small one.
     """
     width = rule.threshold * 1_000_000
-    placed = ticks.withColumn("bar", F.floor(F.unix_micros("ts_utc") / F.lit(width)).cast("bigint"))
+    placed = ticks.withColumn("bar", normal.bucket(F.unix_micros("ts_utc"), F.lit(width)))
     start = F.timestamp_micros(F.col("bar") * width)
     bars = _bars(placed, rule, start, F.timestamp_micros((F.col("bar") + 1) * width), series)
     last = Window.partitionBy(*(F.col(s) for s in series))
@@ -97,7 +98,7 @@ def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] =
     """
     amount = F.col("quantity").cast(QUANTITY) if rule.kind == "vol" else (F.col("price").cast(PRICE) * F.col("quantity").cast(QUANTITY)).cast(NOTIONAL)
     digits = 8 if rule.kind == "vol" else 16
-    scaled = amount.cast("string")  # all digits of the scale are written
+    scaled = amount.cast("string")  # with all digits of the scale, but for zero and tiny amounts
     need = rule.threshold * 10**digits
     kept = ["exchange", "symbol", "ts_utc", "price", "quantity", "seq"]
     key = F.concat_ws("\x1f", *(F.coalesce(F.col(s).cast("string"), F.lit("\x00")) for s in series))
@@ -111,7 +112,7 @@ def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] =
                 if key != now:
                     now, total, bar = key, 0, 0
                 if amount is not None:
-                    total += int(amount.replace(".", ""))
+                    total += int(Decimal(amount).scaleb(digits)) if "E" in amount else int(amount.replace(".", ""))
                 bars.append(bar)
                 if total >= need:
                     closes.append(1)

@@ -23,7 +23,7 @@ def changes(log: DataFrame, period_s: int = PERIOD_S) -> DataFrame:
     kept = log.where(s.isNotNull() & F.col("price").isNotNull() & F.col("quantity").isNotNull() & F.col("ts_utc").isNotNull() & F.col("received_at").isNotNull())
     one = kept.select("exchange", "symbol", F.unix_micros("ts_utc").alias("ts"), "ingest_seq", s.alias("side"), "price", F.unix_micros("received_at").alias("at"), (F.col("quantity") <= 0).cast("int").alias("removes"))
     out = one.groupBy("exchange", "symbol", "ts", "ingest_seq", "side", "price").agg(F.min("at").alias("arrived"), F.max("removes").alias("removes"))
-    start = F.floor(F.col("ts") / F.lit(period_s * 1_000_000)).cast("bigint") * F.lit(period_s)
+    start = normal.bucket(F.col("ts"), F.lit(period_s * 1_000_000)) * F.lit(period_s)
     return out.withColumn("period_start", start)
 
 

@@ -55,7 +55,7 @@ def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s:
 
     Buckets are ``threshold_s`` wide, so a gap always spans two buckets; each bucket is reduced to its first and last instant before the shuffle.
     """
-    bucket = F.floor(F.unix_micros(ts) / F.lit(threshold_s * 1_000_000)).cast("bigint")
+    bucket = normal.bucket(F.unix_micros(ts), F.lit(threshold_s * 1_000_000))
     ends = rows.where(F.col(ts).isNotNull()).groupBy(*series, bucket.alias("bucket")).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
     w = Window.partitionBy(*series).orderBy("bucket")
     d = (F.unix_micros("first") - F.unix_micros("after_ts")) / F.lit(1e6)
@@ -71,7 +71,7 @@ def unordered(rows: DataFrame, series: Sequence[str], ts: str, position: str) ->
 def _walked(rows: DataFrame, series: Sequence[str], order: Sequence[str], start: Callable[[], object], step: Callable[[object, dict], tuple[object, object]], uses: Sequence[str], name: str, kind: pa.DataType, sql: str) -> DataFrame:
     """``rows`` with a column worked out in order along each series, as a stream of sorted batches (memory holds one batch and the state)."""
     key = F.concat_ws("\x1f", *(F.coalesce(F.col(s).cast("string"), F.lit("\x00")) for s in series))
-    ordered = rows.withColumn("_key", key).repartition("_key").sortWithinPartitions("_key", *order)
+    ordered = rows.withColumn("__series", key).repartition("__series").sortWithinPartitions("__series", *order)
     kept = rows.columns
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,7 +79,7 @@ def _walked(rows: DataFrame, series: Sequence[str], order: Sequence[str], start:
         for b in batches:
             out = []
             columns = {c: b.column(c).to_pylist() for c in uses}
-            for i, k in enumerate(b.column("_key").to_pylist()):
+            for i, k in enumerate(b.column("__series").to_pylist()):
                 if k != now or state is None:
                     now, state = k, start()
                 state, value = step(state, {c: v[i] for c, v in columns.items()})
@@ -121,8 +121,8 @@ def throttled(rows: DataFrame, series: Sequence[str], ts: str, seconds: float, t
     least = int(seconds * 1_000_000)
 
     def step(last: tuple, r: dict) -> tuple[tuple, bool]:
-        ok = r["_us"] is not None and (last[0] is None or r["_us"] - last[0] >= least)
-        return ((r["_us"],) if ok else last), ok
+        ok = r["__us"] is not None and (last[0] is None or r["__us"] - last[0] >= least)
+        return ((r["__us"],) if ok else last), ok
 
-    timed = rows.withColumn("_us", F.unix_micros(ts))
-    return _walked(timed, series, ["_us", tie], lambda: (None,), step, ["_us"], "_ok", pa.bool_(), "boolean").where("_ok").drop("_us", "_ok")
+    timed = rows.withColumn("__us", F.unix_micros(ts))
+    return _walked(timed, series, ["__us", tie], lambda: (None,), step, ["__us"], "__ok", pa.bool_(), "boolean").where("__ok").drop("__us", "__ok")

@@ -45,7 +45,7 @@ def readings(candles: DataFrame) -> DataFrame:
     bar = F.coalesce(normal.timeframe_seconds(F.col("timeframe")), F.lit(60)) * F.lit(BLOCK_BARS * 1_000_000)
     ts = F.unix_micros("ts_utc")
     return candles.select(
-        "candle_id", *SERIES, ts.alias("ts"), F.floor(ts / bar).cast("bigint").alias("block"), F.unix_micros("source_ingested_at").alias("ingested"),
+        "candle_id", *SERIES, ts.alias("ts"), normal.bucket(ts, bar).alias("block"), F.unix_micros("source_ingested_at").alias("ingested"),
         *(F.coalesce(bad[f], F.lit(False)).alias(f"bad_{f}") for f in FIELDS), *(excess[f].alias(f"e_{f}") for f in FIELDS), *(F.xxhash64(f).alias(f"v_{f}") for f in FIELDS),
     )
 
