@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import normal
+from candlewick.plans.lineage import cut
 
 SERIES = ["exchange", "symbol", "timeframe"]
 FIELDS = ("high", "low", "volume")
@@ -144,7 +145,7 @@ def implausible(candles: DataFrame) -> DataFrame:
     A source without readings or with equal ones has no spikes. Empty candles give an empty result.
     """
     rows = readings(candles)
-    found = verdicts(rows)
+    found = cut(verdicts(rows))  # a few rows a block; used four times
     most = found.where(F.col("kind") == "ordinary").groupBy(*SERIES, "field").agg(F.max("size").alias("most"))
     spikes = found.where(F.col("kind") == "spike").join(most, [*SERIES, "field"], "left")
     spikes = spikes.select(*SERIES, "block", "field", "ts_from", "ts_to", F.lit(None).cast("bigint").alias("value_id"), (F.lit(TIMES) * F.coalesce("most", F.lit(0.0))).alias("limit"))
