@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import hilbert, normal, schemas
-from candlewick.plans.lineage import scratch
+from candlewick.plans.lineage import cut, scratch, stored
 
 RECORD = ("ts_utc", "exchange", "symbol", "baseline_seq", "side", "level", "price", "quantity")
 PARTITION = ("p_exchange", "p_symbol", "p_date")
@@ -111,19 +111,18 @@ def contained_files(rows: DataFrame) -> DataFrame:
     A file can only lie within files that hold its rarest record, by the exact histogram of codes; those few are compared
     digest by digest. Pairs are put out for all members, as asked. Files without records and null chunk_ids play no part.
     """
-    recs = coded(rows.where(F.col("chunk_id").isNotNull()), "chunk_id").distinct()
-    sets = recs.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("d1").alias("x1"), F.bit_xor("d2").alias("x2"))
+    recs = stored(coded(rows.where(F.col("chunk_id").isNotNull()), "chunk_id").distinct(), "records")
+    sets = cut(recs.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("d1").alias("x1"), F.bit_xor("d2").alias("x2")))  # a row a file
     same = ["n", "x1", "x2"]
-    classes = sets.groupBy(*same).agg(F.min("chunk_id").alias("rep"))
-    members = sets.join(classes, same).select("chunk_id", "rep", "n")
-    own = recs.join(classes.select(F.col("rep").alias("chunk_id"), "n"), "chunk_id")
+    members = cut(sets.join(sets.groupBy(*same).agg(F.min("chunk_id").alias("rep")), same).select("chunk_id", "rep", "n"))
+    own = stored(recs.join(members.where("chunk_id = rep").select("chunk_id", "n"), "chunk_id"), "representatives")
     histogram = own.groupBy("code").agg(F.count(F.lit(1)).alias("freq"))
     rarest = own.join(histogram, "code").groupBy("chunk_id", "n").agg(F.min(F.struct("freq", "code", "d1", "d2")).alias("r"))
     a = rarest.select(F.col("chunk_id").alias("a"), F.col("n").alias("n_a"), "r.code", "r.d1", "r.d2")
     b = own.select(F.col("chunk_id").alias("b"), F.col("n").alias("n_b"), "code", "d1", "d2")
-    maybe = a.join(b, ["code", "d1", "d2"]).where(F.col("n_b") > F.col("n_a")).select("a", "b", "n_a")
-    mine = own.select(F.col("chunk_id").alias("a"), "code", "d1", "d2")
-    shared = maybe.join(mine, "a").join(b.drop("n_b"), ["b", "code", "d1", "d2"]).groupBy("a", "b", "n_a").agg(F.count(F.lit(1)).alias("n"))
+    maybe = cut(a.join(b, ["code", "d1", "d2"]).where(F.col("n_b") > F.col("n_a")).select("a", "b", "n_a"))
+    mine = own.select(F.col("chunk_id").alias("a"), "code", "d1", "d2").join(maybe, "a")
+    shared = mine.join(b.drop("n_b"), ["b", "code", "d1", "d2"]).groupBy("a", "b", "n_a").agg(F.count(F.lit(1)).alias("n"))
     inside = shared.where(F.col("n") == F.col("n_a")).select("a", "b")
     in_a = members.select(F.col("rep").alias("a"), F.col("chunk_id").alias("x"))
     in_b = members.select(F.col("rep").alias("b"), F.col("chunk_id").alias("y"))

@@ -5,6 +5,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_STORED: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``. Only where it is unset (tests on one machine) a folder of our own is made and set."""
@@ -28,3 +30,19 @@ def cut(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder for a written table."""
     return os.path.join(shared_dir(spark), f"{name}-{os.urandom(8).hex()}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: smaller there than a checkpoint, and read by column. ``clean`` removes it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    _STORED.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes the tables that ``stored`` wrote in this process; what reads them must have ended."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(conf).delete(path, True)
