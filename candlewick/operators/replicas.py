@@ -62,3 +62,35 @@ def classified_metadata(rows: DataFrame) -> DataFrame:
     both = n.join(first, key)
     is_first = (F.col("fetched_at") == F.col("first.fetched_at")) & (F.col("data_hash") == F.col("first.data_hash"))
     return both.select(*key, "fetched_at", "data_hash", "copies", F.when(is_first, "written").when(F.col("data_hash") == F.col("first.data_hash"), "skipped").otherwise("quarantined").alias("outcome"))
+
+
+def folded_v11(rows: DataFrame, tie: str, body: Sequence[str] = TICK_KEY) -> DataFrame:
+    """tick.v1.1 deliveries of each body: (body..., kept, n_skipped, n_conflicts), ``kept`` being structs (node_id, payload_hash, ingest_seq).
+
+    In order of ``tie``: a delivery with body, hash and sequence of a kept one is skipped. One whose hash differs from that of a kept one (both known)
+    is a conflict: of the two the lower node stays, and later deliveries are compared with it alone. Any other is a tick of its own. Equal deliveries
+    of one node are reduced before the fold, so a group has a few structs a node.
+    """
+    once = rows.groupBy(*body, node_priority(F.col("node_id")).alias("node"), F.col("payload_hash").alias("hash"), F.col("ingest_seq").alias("seq")).agg(F.min(tie).alias("tie"), F.count(F.lit(1)).alias("n"))
+    group = once.groupBy(*body).agg(F.array_sort(F.collect_list(F.struct("tie", "node", "hash", "seq", "n"))).alias("g"))
+    one = lambda x: F.struct(x["node"].alias("node_id"), x["hash"].alias("payload_hash"), x["seq"].alias("ingest_seq"))
+    first = F.col("g")[0]
+    start = F.struct(F.array(one(first)).alias("kept"), F.array(one(first)).alias("compared"), (first["n"] - 1).alias("skipped"), F.lit(0).cast("bigint").alias("conflicts"))
+
+    def step(a: Column, x: Column) -> Column:
+        new = F.array(one(x))
+        same = F.exists(a["kept"], lambda k: k["payload_hash"].eqNullSafe(x["hash"]) & k["ingest_seq"].eqNullSafe(x["seq"]))
+        against = F.filter(a["compared"], lambda k: k["payload_hash"].isNotNull() & x["hash"].isNotNull() & (k["payload_hash"] != x["hash"]))
+        clash = ~same & (F.size(against) > 0)
+        wins = clash & (x["node"] < F.get(against, F.lit(0))["node_id"])
+        own = ~same & ~clash
+        without = F.filter(a["kept"], lambda k: ~k.eqNullSafe(F.get(against, F.lit(0))))
+        return F.struct(
+            F.when(wins, F.concat(without, new)).when(own, F.concat(a["kept"], new)).otherwise(a["kept"]).alias("kept"),
+            F.when(wins, new).when(own, F.concat(a["compared"], new)).otherwise(a["compared"]).alias("compared"),
+            (a["skipped"] + F.when(same, x["n"]).otherwise(x["n"] - 1)).alias("skipped"),
+            (a["conflicts"] + F.when(clash, 1).otherwise(0)).cast("bigint").alias("conflicts"),
+        )
+
+    f = F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), start, step)
+    return group.select(*body, f.alias("f")).select(*body, "f.kept", F.col("f.skipped").alias("n_skipped"), F.col("f.conflicts").alias("n_conflicts"))

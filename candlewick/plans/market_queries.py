@@ -155,6 +155,16 @@ def dedup_ticks(spark, d):
     return got.select("exchange", "symbol", us("ts_utc").alias("ts_us"), F.col("price").cast("string").alias("price"), "side", "node_id", F.col("n_skipped").cast("int").alias("n_skipped"), F.col("n_conflicts").cast("int").alias("n_conflicts"))
 
 
+@query(f"""WITH {TICKS} SELECT exchange, symbol, us AS ts_us, CAST(price AS VARCHAR) AS price, side, CASE WHEN seq % 50 <> 0 AND seq % 3 = 0 THEN 2 ELSE 1 END AS n_kept, CASE WHEN seq % 50 = 0 THEN 'NODE_A' ELSE 'NODE_B' END AS first_node,
+CASE WHEN seq % 50 <> 0 AND seq % 3 <> 0 THEN 1 ELSE 0 END AS n_skipped, CASE WHEN seq % 50 = 0 THEN 1 ELSE 0 END AS n_conflicts FROM t""")
+def dedup_ticks_v11(spark, d):
+    two = _two_nodes(spark, d).withColumnRenamed("raw_json", "payload_hash")
+    two = two.withColumn("ingest_seq", F.when((F.col("seq") % 3 == 0) & (F.col("node_id") == "NODE_B"), 2).otherwise(1))
+    got = replicas.folded_v11(two, "arrival")
+    n = lambda c: F.col(c).cast("int").alias(c)
+    return got.select("exchange", "symbol", us("ts_utc").alias("ts_us"), F.col("price").cast("string").alias("price"), "side", F.size("kept").alias("n_kept"), F.col("kept")[0]["node_id"].alias("first_node"), n("n_skipped"), n("n_conflicts"))
+
+
 @query("""WITH f AS (SELECT exchange, symbol, fetched_date, min(struct_pack(a := fetched_at, h := data_hash)) AS v FROM exchange_metadata GROUP BY 1, 2, 3),
 n AS (SELECT exchange, symbol, fetched_date, fetched_at, data_hash, count(*) AS copies FROM exchange_metadata GROUP BY 1, 2, 3, 4, 5)
 SELECT CASE WHEN fetched_at = v.a AND data_hash = v.h THEN 'written' WHEN data_hash = v.h THEN 'skipped' ELSE 'quarantined' END AS outcome, count(*) AS n, CAST(sum(copies) AS BIGINT) AS copies FROM n JOIN f USING (exchange, symbol, fetched_date) GROUP BY 1""")
@@ -418,3 +428,43 @@ def delay_p99(spark, d):
     """Nearest-rank percentile and mean of the delays a node."""
     x = us("received_at") - us("ts_utc")
     return _t(spark, d, "orderbook_depth").select("node_id", x.alias("x")).groupBy("node_id").agg(F.expr("percentile_disc(0.99) within group (order by x)").cast("bigint").alias("p99_us"), F.round(F.avg("x")).cast("bigint").alias("mean_us"))
+
+
+@query("""SELECT node_id, epoch_us(max(received_at)) AS last_us, CASE WHEN (epoch_us(TIMESTAMPTZ '2025-03-15 00:00:00+00') - epoch_us(max(received_at))) / 1e6 <= 30 THEN 'GREEN'
+WHEN (epoch_us(TIMESTAMPTZ '2025-03-15 00:00:00+00') - epoch_us(max(received_at))) / 1e6 <= 60 THEN 'YELLOW' ELSE 'RED' END AS level FROM orderbook_depth GROUP BY 1""")
+def node_status(spark, d):
+    """Level of each collector node by its last delivery."""
+    o = _t(spark, d, "orderbook_depth").select("node_id", F.col("received_at").alias("at"))
+    return health.node_levels(o, F.lit("2025-03-15 00:00:00").cast("timestamp"), 30, 60).select("node_id", us("last_at").alias("last_us"), "level")
+
+
+@query("""WITH d AS (SELECT DISTINCT chunk_id, symbol FROM chunks), r AS (SELECT DISTINCT chunk_id, symbol FROM chunk_rows)
+SELECT 'left' AS side, * FROM (SELECT * FROM d EXCEPT SELECT * FROM r) UNION ALL SELECT 'right' AS side, * FROM (SELECT * FROM r EXCEPT SELECT * FROM d)""")
+def inventory_difference(spark, d):
+    """(chunk, symbol) pairs of the listing and of the stored rows that the other side lacks."""
+    pairs = lambda t: _t(spark, d, t).select("chunk_id", "symbol").distinct()
+    return reconcile.symmetric_difference(pairs("chunks"), pairs("chunk_rows")).select("side", "chunk_id", "symbol")
+
+
+@query("""WITH c AS (SELECT exchange, symbol, epoch_us(ts_utc) AS us, candle_id FROM candles) , l AS (SELECT *, us < lag(us) OVER (PARTITION BY exchange, symbol ORDER BY candle_id) AS back FROM c)
+SELECT exchange, symbol, count(*) AS n_rows, count(*) FILTER (back) AS n_steps_back FROM l GROUP BY 1, 2""")
+def order_audit(spark, d):
+    """How often a source's instants step back in the order of its candle ids."""
+    return quality.unordered(_t(spark, d, "candles"), ["exchange", "symbol"], "ts_utc", "candle_id")
+
+
+@query(f"""WITH f AS (SELECT DISTINCT {_SYMBOL} AS symbol, date FROM chunks), r AS (SELECT DISTINCT symbol, CAST(ts_utc AT TIME ZONE 'UTC' AS DATE)::VARCHAR AS date FROM chunk_rows)
+SELECT f.symbol, count(*) AS n_listed, count(r.date) AS n_stored, count(r.date) / CAST(count(*) AS DOUBLE) AS ratio FROM f LEFT JOIN r ON f.symbol = r.symbol AND f.date = r.date GROUP BY 1""")
+def tier_coverage_ratio(spark, d):
+    """Of the days listed for each symbol, the share that has stored rows."""
+    f = _files(spark, d).select("symbol", "date").distinct()
+    r = _t(spark, d, "chunk_rows").select(F.col("symbol"), F.to_date("ts_utc").cast("string").alias("date")).distinct().withColumn("there", F.lit(1))
+    return f.join(r, ["symbol", "date"], "left").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_listed"), F.count("there").alias("n_stored"), (F.count("there") / F.count(F.lit(1))).alias("ratio"))
+
+
+@query("""WITH g AS (SELECT exchange, symbol, count(DISTINCT data_hash) AS hashes, count(*) AS n FROM candles GROUP BY 1, 2)
+SELECT exchange, symbol, n, hashes, n - hashes AS n_repeated FROM g""")
+def hash_inventory(spark, d):
+    """Rows and distinct hashes of each source."""
+    g = _t(spark, d, "candles").groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("data_hash").alias("hashes"))
+    return g.withColumn("n_repeated", F.col("n") - F.col("hashes"))
