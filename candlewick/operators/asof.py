@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from candlewick.functions import normal
 
 
-def asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str, take: Sequence[str], bucket_s: int | None = None) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str, take: Sequence[str], bucket_s: int | None = 7 * 86_400) -> DataFrame:
     """``left`` with the ``take`` columns of the last right row (named ``asof_...``) with right_ts <= left_ts; null where there is none.
 
     Both sides are put on one time line and the last right row is carried forward: one shuffle, no join. Of right rows at one instant the one with the
-    greatest ``take`` values counts. Null instants match nothing. A key may hold a third of all rows: with ``bucket_s`` the time line of each
-    key is cut into buckets, each carried forward by itself, and the last right row of earlier buckets is filled in from a table of one row a bucket.
+    greatest ``take`` values counts. Null instants match nothing. A key may hold a third of all rows, so the time line of each
+    key is cut into buckets of ``bucket_s``, each carried forward by itself, and the last right row of earlier buckets is filled in from a table of one
+    row a bucket. None carries each key forward as a whole, which saves that join where keys are small.
     """
     names = [f"asof_{c}" for c in take]
     value = F.struct(F.col(right_ts).alias("_at"), *(F.col(c).alias(n) for c, n in zip(take, names, strict=True)))
@@ -37,8 +38,7 @@ def asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, ri
         for c in part:
             met = met & F.col(c).eqNullSafe(F.col(f"_r{c}"))
         carried = carried.where("_side = 1").join(ends, met, "left").withColumn("_value", F.coalesce("_value", "_prior"))
-    none = F.col("_ts").isNull() | F.lit(False)
-    picked = carried.where("_side = 1").withColumn("_value", F.when(~none, F.col("_value")))
+    picked = carried.where("_side = 1").withColumn("_value", F.when(F.col("_ts").isNotNull(), F.col("_value")))
     return picked.select(*(F.col(f"_left.{c}").alias(c) for c in cols), *(F.col(f"_value.{n}").alias(n) for n in names))
 
 

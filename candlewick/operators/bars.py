@@ -62,20 +62,23 @@ def _bars(assigned: DataFrame, rule: BarRule, genesis: Column, close: Column, se
         got = got.withColumnRenamed("_exchange", "exchange")
     if "closes" in assigned.columns:
         got = got.where("_closed = 1")
-    return got.select(F.lit(rule.label).alias("bar_label"), genesis.alias("genesis_ts"), close.alias("ts_close"), F.lit(rule.threshold).cast("decimal(38,18)").alias("threshold"), "exchange", "symbol", "open", "high", "low", "close", "volume", "value", "n_ticks")
+    return got.select("bar", F.lit(rule.label).alias("bar_label"), genesis.alias("genesis_ts"), close.alias("ts_close"), F.lit(rule.threshold).cast("decimal(38,18)").alias("threshold"), "exchange", "symbol", "open", "high", "low", "close", "volume", "value", "n_ticks")
 
 
 def time_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES) -> DataFrame:
     """Windows [k*s, (k+1)*s) from the epoch. Only windows with ticks yield bars, and a series' last window none: a later tick closes a bar.
 
-    All in one aggregation; the last window is known from a second, small one.
+    One aggregation; the last windows are known from a second, small one, and taken away by an anti-join on series and window, which has no hot key.
     """
     width = rule.threshold * 1_000_000
     placed = ticks.withColumn("bar", normal.bucket(F.unix_micros("ts_utc"), F.lit(width)))
     start = F.timestamp_micros(F.col("bar") * width)
     bars = _bars(placed, rule, start, F.timestamp_micros((F.col("bar") + 1) * width), series)
-    last = Window.partitionBy(*(F.col(s) for s in series))
-    return bars.withColumn("_last", F.max("genesis_ts").over(last)).where("genesis_ts < _last").drop("_last")
+    last = placed.groupBy(*series).agg(F.max("bar").alias("_bar")).withColumnsRenamed({s: f"_{s}" for s in series})
+    met = F.col("bar") == F.col("_bar")
+    for s in series:
+        met = met & F.col(s).eqNullSafe(F.col(f"_{s}"))
+    return bars.join(last, met, "left_anti").drop("bar")
 
 
 def _closing(last: Column, first: Column) -> Column:
@@ -83,11 +86,28 @@ def _closing(last: Column, first: Column) -> Column:
     return F.when(last > first, last).otherwise(F.timestamp_micros(F.unix_micros(first) + 1))
 
 
+def positions(ticks: DataFrame, series: tuple[str, ...] = SERIES, bucket_s: int = 3600) -> DataFrame:
+    """``ticks`` with ``position``, counted from 0 along each series by (ts_utc, seq).
+
+    A tick's position is its rank in its time bucket plus the ticks of earlier buckets, whose counts are summed along a table of one row a bucket;
+    so a series that holds a third of all ticks is ranked by many tasks.
+    """
+    placed = ticks.withColumn("_bucket", normal.bucket(F.unix_micros("ts_utc"), bucket_s * 1_000_000))
+    counts = placed.groupBy(*series, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*series).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*(F.col(s).alias(f"_b_{s}") for s in series), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    met = F.col("_bucket").eqNullSafe(F.col("_b"))
+    for s in series:
+        met = met & F.col(s).eqNullSafe(F.col(f"_b_{s}"))
+    rank = F.row_number().over(Window.partitionBy(*series, "_bucket").orderBy("ts_utc", "seq"))
+    ranked = placed.withColumn("_rank", rank).join(before, met)
+    return ranked.withColumn("position", F.col("_before") + F.col("_rank") - 1).select(*ticks.columns, "position")
+
+
 def tick_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES) -> DataFrame:
     """Every N ticks; an unfinished bar is dropped."""
-    w = Window.partitionBy(*series).orderBy("ts_utc", "seq")
-    placed = ticks.withColumn("bar", F.floor((F.row_number().over(w) - 1) / F.lit(rule.threshold)).cast("bigint"))
-    return _bars(placed, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).where(F.col("n_ticks") == rule.threshold)
+    placed = positions(ticks, series).withColumn("bar", normal.bucket(F.col("position"), rule.threshold))
+    return _bars(placed, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).where(F.col("n_ticks") == rule.threshold).drop("bar")
 
 
 def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES) -> DataFrame:
@@ -122,7 +142,7 @@ def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] =
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(bars, pa.int64()), pa.array(closes, pa.int32())], names=[*kept, "bar", "closes"])
 
     schema = schemas.plus(ticks.select(*kept).schema, bar="bigint", closes="int")
-    return _bars(ordered.mapInArrow(walk, schema), rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series)
+    return _bars(ordered.mapInArrow(walk, schema), rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
 
 
 def resample(ticks: DataFrame, label: str, start: str | None = None, end: str | None = None, symbol: str | None = None, exchange: str | None = None, compat: bool = False) -> DataFrame:

@@ -1,8 +1,10 @@
 """Order books from events: last writer wins per level."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.operators import quality
+
 SERIES = ["exchange", "symbol"]
 
 
@@ -35,11 +37,9 @@ def book_at(events: DataFrame, instant: str, max_gap_s: float | None = None) ->
     base = known.where("event_type = 'snapshot'").groupBy(*SERIES).agg(F.max("ts_utc").alias("base_ts"))
     since = known.join(base, SERIES).where((F.col("ts_utc") > F.col("base_ts")) | ((F.col("ts_utc") == F.col("base_ts")) & (F.col("event_type") == "snapshot")))
     if max_gap_s is not None:
-        w = Window.partitionBy(*SERIES).orderBy("ts_utc")
-        gaps = since.select(*SERIES, "ts_utc").distinct().withColumn("gap", (F.unix_micros("ts_utc") - F.unix_micros(F.lag("ts_utc").over(w))) / 1e6)
-        worst = gaps.where(F.col("gap") > max_gap_s).orderBy(F.desc("gap")).limit(1).collect()
+        worst = quality.bucketed_gaps(since, SERIES, "ts_utc", max_gap_s).orderBy(F.desc("gap_s")).limit(1).collect()
         if worst:
-            raise GapError(f"{worst[0].exchange} {worst[0].symbol}: {worst[0].gap} s before {worst[0].ts_utc}")
+            raise GapError(f"{worst[0].exchange} {worst[0].symbol}: {worst[0].gap_s} s before {worst[0].before_ts}")
     order = F.struct("ts_utc", "seq")
     last = since.groupBy(*SERIES, "side", "price").agg(F.max_by("quantity", order).alias("quantity"))
     return last.where("quantity > 0")

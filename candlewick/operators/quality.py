@@ -50,12 +50,12 @@ def gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float) ->
     return once.withColumn("after_ts", F.lag(ts).over(w)).where(d > threshold_s).select(*series, "after_ts", F.col(ts).alias("before_ts"), d.alias("gap_s"))
 
 
-def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: int) -> DataFrame:
+def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float) -> DataFrame:
     """The same for series that may hold a third of all rows: only buckets' first and last instants meet in one task a series.
 
     Buckets are ``threshold_s`` wide, so a gap always spans two buckets; each bucket is reduced to its first and last instant before the shuffle.
     """
-    bucket = normal.bucket(F.unix_micros(ts), F.lit(threshold_s * 1_000_000))
+    bucket = normal.bucket(F.unix_micros(ts), max(int(threshold_s * 1_000_000), 1))
     ends = rows.where(F.col(ts).isNotNull()).groupBy(*series, bucket.alias("bucket")).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
     w = Window.partitionBy(*series).orderBy("bucket")
     d = (F.unix_micros("first") - F.unix_micros("after_ts")) / F.lit(1e6)

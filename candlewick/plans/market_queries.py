@@ -109,12 +109,9 @@ exchange || ':' || symbol || ':' || us || ':' || (row_number() OVER (PARTITION B
 FROM t WHERE us >= epoch_us(TIMESTAMP '2024-01-10 00:00:00') AND us < epoch_us(TIMESTAMP '{INSTANT}')""")
 def scan_window(spark, d):
     """Half-open window of ticks in one spelling of side, with ids by position in the series' order."""
-    from pyspark.sql import Window
-
     t = ticks(spark, d).where((F.col("ts_utc") >= F.lit("2024-01-10 00:00:00").cast("timestamp")) & (F.col("ts_utc") < F.lit(INSTANT).cast("timestamp")))
-    at = F.row_number().over(Window.partitionBy("exchange", "symbol").orderBy("ts_utc", "seq")) - 1
     side = F.when(F.upper("side") == "BUY", "BUY").otherwise("SELL")
-    return t.select("exchange", "symbol", us("ts_utc").alias("ts_us"), "seq", F.col("price").cast("string").alias("price"), side.alias("side"), F.concat_ws(":", "exchange", "symbol", us("ts_utc"), at).alias("trade_id"))
+    return bars.positions(t).select("exchange", "symbol", us("ts_utc").alias("ts_us"), "seq", F.col("price").cast("string").alias("price"), side.alias("side"), F.concat_ws(":", "exchange", "symbol", us("ts_utc"), "position").alias("trade_id"))
 
 
 @query("""WITH p AS (SELECT DISTINCT exchange, symbol, epoch_us(fetched_at) + 43200000000 AS at FROM exchange_metadata),
