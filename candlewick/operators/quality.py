@@ -126,3 +126,14 @@ def throttled(rows: DataFrame, series: Sequence[str], ts: str, seconds: float, t
 
     timed = rows.withColumn("__us", F.unix_micros(ts))
     return _walked(timed, series, ["__us", tie], lambda: (None,), step, ["__us"], "__ok", pa.bool_(), "boolean").where("__ok").drop("__us", "__ok")
+
+
+def blocked(rows: DataFrame, series: Sequence[str], ts: str, ratio: str, high: float, gap: float, tie: str) -> DataFrame:
+    """``rows`` with ``blocked``: true from the row whose ratio reaches ``high`` until one falls below ``high - gap``. A null ratio changes nothing."""
+
+    def step(on: tuple, r: dict) -> tuple[tuple, bool]:
+        x = r[ratio]
+        now = on[0] if x is None else x >= high or (on[0] and x >= high - gap)
+        return (now,), now
+
+    return _walked(rows, series, [ts, tie], lambda: (False,), step, [ratio], "blocked", pa.bool_(), "boolean")

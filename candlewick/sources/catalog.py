@@ -36,7 +36,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read(spark: SparkSession, roots: list[str], name: str) -> DataFrame | None:
     """All Parquet files under those roots that exist, in the declared schema, with ``node_id``, ``file`` and ``row`` of each row.
 
-    Files written with nanosecond instants are read as whole numbers and scaled; missing columns of older versions are null.
+    Files written with nanosecond instants are read as whole numbers and scaled; columns that the files lack come from the path, or are null (older versions).
     """
     have = [r for r in dict.fromkeys(roots) if exists(spark, r)]
     if not have:
@@ -47,8 +47,7 @@ def read(spark: SparkSession, roots: list[str], name: str) -> DataFrame | None:
     cols = []
     for f in want.fields:
         if f.name not in got.columns:
-            from_path = paths.hive(F.col("_metadata.file_path"), f.name) if isinstance(f.dataType, T.StringType) else F.lit(None)
-            cols.append(from_path.cast(f.dataType).alias(f.name))
+            cols.append(paths.hive(F.col("_metadata.file_path"), f.name).try_cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.TimestampType) and dict(got.dtypes)[f.name] == "bigint":
             cols.append(F.timestamp_micros(F.expr(f"{f.name} div 1000")).alias(f.name))
         else:

@@ -3,13 +3,15 @@
 import json
 import os
 import tempfile
+from datetime import timedelta
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schemas
-from candlewick.functions import hashing
+from candlewick.functions import hashing, paths
+from candlewick.plans.lineage import cut
 from candlewick.sources import catalog
 
 MAX_ROWS = 5_000_000  # of a file
@@ -40,6 +42,34 @@ def write_candles(candles: DataFrame, root: str, snapshot_id: str, mode: str | N
     out.write.mode("append").option("maxRecordsPerFile", MAX_ROWS).partitionBy(*keys).parquet(base)
 
 
+def write_paper_candles(candles: DataFrame, root: str, run_id: str, snapshot_id: str, lineage: dict) -> None:
+    """Candles of a paper run under ``mode=paper``, and the run's lineage beside them. Run and snapshot must be named."""
+    if not run_id or not snapshot_id:
+        raise ValueError("a paper run needs a run id and a snapshot id")
+    write_candles(candles, root, snapshot_id, mode="paper")
+    write_json(f"{root}/market/lineage/run={paths.safe(run_id)}.json", {**lineage, "run_id": run_id, "snapshot_id": snapshot_id})
+
+
+def write_metadata(rows: DataFrame, root: str) -> DataFrame:
+    """Stores the first row of each (exchange, symbol, day) that isn't stored yet, quarantines rows that differ from it; returns counts an outcome."""
+    spark = rows.sparkSession
+    base = f"{root}/market/exchange_metadata/schema_version=exchange_metadata.v1"
+    names = schemas.schema("exchange_metadata.v1").names
+    key = ["exchange", "symbol", "fetched_date"]
+    old = catalog.read(spark, [base], "exchange_metadata.v1")
+    every = rows.select(*names).withColumn("_old", F.lit(False))
+    if old is not None:
+        every = every.unionByName(old.select(*names).withColumn("_old", F.lit(True)))
+    first = every.groupBy(*key).agg(F.min(F.struct(~F.col("_old"), "fetched_at", "data_hash")).alias("_first"), F.max("_old").alias("_have"))
+    own = rows.select(*names).distinct().join(first, key)
+    is_first = ~F.col("_have") & (F.col("fetched_at") == F.col("_first.fetched_at")) & (F.col("data_hash") == F.col("_first.data_hash"))
+    judged = cut(own.withColumn("outcome", F.when(is_first, "written").when(F.col("data_hash") == F.col("_first.data_hash"), "skipped").otherwise("quarantined")))
+    new = judged.where("outcome = 'written'").select(*names)
+    new.repartition("exchange", "fetched_date").write.mode("append").partitionBy("exchange", "fetched_date").parquet(base)
+    quarantine(judged.where("outcome = 'quarantined'").select(*names, F.lit("HASH_CONFLICT").alias("reason")), f"{root}/quarantine/exchange_metadata", "reason")
+    return judged.groupBy("outcome").count()
+
+
 def append_events(rows: DataFrame, root: str, folder: str, name: str, tier: str | None = None, node: str | None = None) -> None:
     """Appends ticks, order book events, snapshots or depth rows under exchange, symbol and day of instant (and node)."""
     schemas.reject_floats(rows.select(*schemas.schema(name).names).schema)
@@ -62,6 +92,19 @@ def write_json(path: str, value: dict) -> None:
     os.replace(f.name, path)
 
 
+def read_json(path: str) -> dict:
+    with open(path) as f:
+        return json.load(f)
+
+
+def day_of_events(spark: SparkSession, root: str, name: str, exchange: str, symbol: str, start: str, end: str) -> bytes:
+    """Events of at most 24 hours of one series as an Arrow stream; a longer window raises."""
+    a, b = catalog.window(start, end)
+    if b - a > timedelta(hours=24):
+        raise ValueError("at most 24 hours")
+    return ipc_bytes(catalog.scan_events(spark, root, name, exchange, symbol, a, b))
+
+
 def ipc_bytes(df: DataFrame) -> bytes:
     """A bounded result (a scan of at most a day of one series) as an Arrow IPC stream."""
     table = df.toArrow()

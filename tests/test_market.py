@@ -263,6 +263,36 @@ def test_append_events_and_arrow(spark, tmp_path):
         sinks.append_events(t.withColumn("price", F.col("price").cast("double")), str(tmp_path), "ticks", "tick.v1")
 
 
+def test_metadata_is_written_skipped_or_quarantined(spark, tmp_path):
+    ddl = schemas.DDL["exchange_metadata.v1"]
+    row = lambda day, hour, h: ("north", "KRW-A", dt.date(2025, 1, day), dt.datetime(2025, 1, day, hour, tzinfo=dt.UTC), "s", h, "1", None, None, None, None, None, None, None)
+    first = spark.createDataFrame([row(6, 1, "x"), row(6, 2, "x"), row(6, 3, "y"), row(6, 1, "x")], ddl)
+    assert {r.outcome: r["count"] for r in sinks.write_metadata(first, str(tmp_path)).collect()} == {"written": 1, "skipped": 1, "quarantined": 1}
+    again = spark.createDataFrame([row(6, 0, "x"), row(7, 1, "z")], ddl)
+    assert {r.outcome: r["count"] for r in sinks.write_metadata(again, str(tmp_path)).collect()} == {"skipped": 1, "written": 1}
+    got = catalog.scan_metadata(spark, str(tmp_path), "north", "KRW-A", dt.datetime(2025, 1, 6, 12, tzinfo=dt.UTC)).collect()
+    assert [(r.fetched_date, r.data_hash) for r in got] == [(dt.date(2025, 1, 6), "x")]
+    assert spark.read.parquet(str(tmp_path / "quarantine/exchange_metadata")).count() == 1
+
+
+def test_paper_candles_and_day_limit(spark, tmp_path):
+    c = spark.createDataFrame([candle(1, 0)], CANDLE).drop("candle_id")
+    sinks.write_paper_candles(c, str(tmp_path), "run1", "snap", {"strategy": "s"})
+    span = ("2025-01-06T00:00:00+00:00", "2025-01-07T00:00:00+00:00")
+    assert catalog.scan_candles(spark, str(tmp_path), "north", "KRW-A", "1m", *span, mode="paper").count() == 1
+    assert catalog.scan_candles(spark, str(tmp_path), "north", "KRW-A", "1m", *span).count() == 0
+    assert sinks.read_json(str(tmp_path / "market/lineage/run=run1.json"))["run_id"] == "run1"
+    with pytest.raises(ValueError, match="24"):
+        sinks.day_of_events(spark, str(tmp_path), "tick.v1", "north", "KRW-A", span[0], "2025-01-08T00:00:00+00:00")
+    assert sinks.ipc_table(sinks.day_of_events(spark, str(tmp_path), "tick.v1", "north", "KRW-A", *span)).num_rows == 0
+
+
+def test_blocking_with_hysteresis(spark):
+    df = spark.createDataFrame([("a", i, x) for i, x in enumerate([0.5, 0.95, 0.92, None, 0.9, 0.89, 0.94, 0.96])], "k string, i int, r double")
+    got = [x.blocked for x in quality.blocked(df, ["k"], "i", "r", 0.95, 0.05, "i").orderBy("i").collect()]
+    assert got == [False, True, True, True, True, False, False, True]
+
+
 def wal_lines(channel, n):
     base = lambda i: f'"ts_utc": "{at(i).isoformat()}", "received_at": "{at(i).isoformat()}", "exchange": "north", "symbol": "KRW-A", "channel": "{channel}"'
     body = {"transaction": '"price": 1.123456789012345678, "quantity": 2, "side": "buy"', "orderbooksnapshot": '"bids": [{"price": 5, "quantity": 1}], "asks": [{"price": 6, "quantity": 1}, {"price": 7, "quantity": 1}]', "orderbookdepth": '"changes": [{"side": "bid", "price": 5, "quantity": 0}]'}[channel]
