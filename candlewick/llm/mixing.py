@@ -137,7 +137,7 @@ def realised(counted: DataFrame, draw: Mapping[str, int], sums: Mapping[str, int
     """(doc_id, source, n_tokens, repeats) of the documents taken; each source's tokens miss its budget by less than one document.
 
     Blocks, sub-blocks and at last documents are put in a permuted order, and those taken whose running total stays within the rest of the budget.
-    The windows see at most ``BLOCKS`` rows a source, and documents of one sub-block of one block (a millionth of a source).
+    Joins are on source and block, so that no source is a hot key. The windows see at most ``BLOCKS`` rows a source, and documents of one sub-block of one block (a millionth of a source).
     """
     spark = counted.sparkSession
     rows = [(s, d // sums[s], d % sums[s]) for s, d in draw.items()]
@@ -155,10 +155,10 @@ def realised(counted: DataFrame, draw: Mapping[str, int], sums: Mapping[str, int
         return got.select(*key, by, fits.alias("fits"), (F.col("rest_") - before).alias("left"))
 
     first = running(docs, ["source"], "block", "rest")
-    placed = docs.join(F.broadcast(first), ["source", "block"])  # BLOCKS rows a source
+    placed = docs.join(first, ["source", "block"])
     cut_blocks = placed.where("fits = 0").drop("fits")
     second = running(cut_blocks, ["source", "block"], "sub", "left").withColumnsRenamed({"fits": "fits2", "left": "left2"})
-    inner = cut_blocks.drop("left").join(F.broadcast(second), ["source", "block", "sub"])  # BLOCKS rows a source
+    inner = cut_blocks.drop("left").join(second, ["source", "block", "sub"])
     order = Window.partitionBy("source", "block", "sub").orderBy("h", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = inner.where("fits2 = 0").withColumn("one", F.when(F.sum("n_tokens").over(order) <= F.col("left2"), 1).otherwise(0))
     keep = ["doc_id", "source", "n_tokens", "passes"]
