@@ -25,7 +25,7 @@ NOTATIONS = {
     "ita": "it", "italian": "it", "rus": "ru", "russian": "ru", "dut": "nl", "nld": "nl", "dutch": "nl", "kor": "ko", "korean": "ko",
 }
 #: The classifier is fitted on at most so many labelled documents of a language, each of at most so many characters, and as many cues in all.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_CUES = 150, 20_000, 15_000
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_CUES = 100, 20_000, 9_000
 LEAST_DOCS, EPOCHS = 6, 2
 ORDERS = (1, 2, 3, 4, 5)
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 0.02, 0.01, 0.05
