@@ -266,8 +266,8 @@ def data_hash(spark, d):
 @query("""WITH s AS (SELECT candle_id, sha256(CAST(open AS VARCHAR) || '|' || CAST(close AS VARCHAR)) AS h, exchange, symbol, ts_utc, row_number() OVER (PARTITION BY exchange, symbol, timeframe, ts_utc ORDER BY candle_id) AS k FROM candles)
 SELECT a.candle_id, CASE WHEN a.k = 1 THEN 'UNIQUE' WHEN a.h = b.h THEN 'SAME_HASH' ELSE 'HASH_CONFLICT' END AS status FROM s a JOIN s b ON a.exchange = b.exchange AND a.symbol = b.symbol AND a.ts_utc = b.ts_utc AND b.k = 1""")
 def duplicate_status(spark, d):
-    """Each candle against the first of its key."""
-    c = _t(spark, d, "candles").select("candle_id", "exchange", "symbol", "timeframe", "ts_utc", hashing.digest([F.col("open").cast("string"), F.col("close").cast("string")]).alias("h"))
+    """Each candle against the first of its key, by the hash of instant and OHLCV. The SQL's hash is of open and close alone: it calls copies revised in high, low or volume SAME_HASH."""
+    c = _t(spark, d, "candles").select("candle_id", "exchange", "symbol", "timeframe", "ts_utc", hashing.candle_hash().alias("h"))
     key = ["exchange", "symbol", "timeframe", "ts_utc"]
     first = c.groupBy(*key).agg(F.min(F.struct("candle_id", "h")).alias("f"))
     return c.join(first, key).select("candle_id", F.when(F.col("candle_id") == F.col("f.candle_id"), "UNIQUE").when(F.col("h") == F.col("f.h"), "SAME_HASH").otherwise("HASH_CONFLICT").alias("status"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from candlewick import schemas
 from candlewick.functions import hashing, normal, paths
 from candlewick.operators import asof, bars, book, health, quality, reconcile, replicas, tiers
+from candlewick.plans import market_queries
 from candlewick.sources import catalog, sinks
 from candlewick.streaming import live
 
@@ -319,6 +320,14 @@ def test_log_to_tiers_in_batch_and_stream(spark, tmp_path, channel, rows):
     assert [r.node for r in catalog.pending(listing).collect()] == ["DEFAULT"]
 
 
+def test_a_copy_revised_in_any_field_of_its_hash_is_a_conflict(spark, tmp_path):
+    copies = [candle(1, 0), candle(2, 0), candle(3, 0, h=3), candle(4, 0, lo=0), candle(5, 0, v=2), candle(6, 0, c=2), candle(7, 0, o=2), candle(8, 1, v=None), candle(9, 1, v=None), candle(10, 1)]
+    copies[1] = (*copies[1][:-1], Decimal(7))  # the value is not in the hash
+    spark.createDataFrame(copies, CANDLE).write.parquet(str(tmp_path / "candles.parquet"))
+    got = {r.candle_id: r.status for r in market_queries.duplicate_status(spark, str(tmp_path)).collect()}
+    assert got == {1: "UNIQUE", 2: "SAME_HASH", **dict.fromkeys((3, 4, 5, 6, 7, 10), "HASH_CONFLICT"), 8: "UNIQUE", 9: "SAME_HASH"}
+
+
 def test_unknown_channels_fail():
     for f in (schemas.schema, schemas.wal_schema):
         with pytest.raises(ValueError, match="unknown"):
