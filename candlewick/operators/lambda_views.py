@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import normal
+from candlewick.plans.lineage import scratch
 
 PERIOD_S, PUBLISH_S, CLOSE_S = 300, 5, 900
+STEPS = 4  # of the scheduler over a log that is replayed
 KEY = ["exchange", "symbol", "period_start"]
 
 
@@ -23,8 +25,11 @@ def changes(log: DataFrame, period_s: int = PERIOD_S) -> DataFrame:
     kept = log.where(s.isNotNull() & F.col("price").isNotNull() & F.col("quantity").isNotNull() & F.col("ts_utc").isNotNull() & F.col("received_at").isNotNull())
     one = kept.select("exchange", "symbol", F.unix_micros("ts_utc").alias("ts"), "ingest_seq", s.alias("side"), "price", F.unix_micros("received_at").alias("at"), (F.col("quantity") <= 0).cast("int").alias("removes"))
     out = one.groupBy("exchange", "symbol", "ts", "ingest_seq", "side", "price").agg(F.min("at").alias("arrived"), F.max("removes").alias("removes"))
-    start = normal.bucket(F.col("ts"), F.lit(period_s * 1_000_000)) * F.lit(period_s)
-    return out.withColumn("period_start", start)
+    return out.withColumn("period_start", _start(F.col("ts"), period_s))
+
+
+def _start(ts: Column, period_s: int) -> Column:
+    return normal.bucket(ts, F.lit(period_s * 1_000_000)) * F.lit(period_s)
 
 
 def _due(seconds: int, period_s: int) -> Column:
@@ -37,7 +42,7 @@ def view(of: DataFrame) -> DataFrame:
 
 
 def period_views(log: DataFrame, period_s: int = PERIOD_S, publish_s: int = PUBLISH_S, close_s: int = CLOSE_S) -> DataFrame:
-    """What the layers show of each period in the end.
+    """What the layers show of each period in the end, in one pass over the log; ``layered_views`` runs them.
 
     ``published``: changes in the fast view when the period was published (inclusive instant); ``final``: in the view the batch
     froze; ``corrected``: those that arrived in between; ``cut_off``: those that arrived later still and are in no view.
@@ -51,10 +56,23 @@ def period_views(log: DataFrame, period_s: int = PERIOD_S, publish_s: int = PUBL
     )
 
 
+def layered_views(log: DataFrame, period_s: int = PERIOD_S, publish_s: int = PUBLISH_S, close_s: int = CLOSE_S, steps: int = STEPS) -> DataFrame:
+    """The rows of ``period_views``, from the layers: the log is replayed in ``steps`` parts by arrival, until every period is closed."""
+    at, ts = F.unix_micros("received_at"), F.unix_micros("ts_utc")
+    views = LambdaViews(log.sparkSession, scratch(log.sparkSession, "views"), period_s, publish_s, close_s, log)
+    first, last, ends = log.agg(F.min(at), F.max(at), F.max(_start(ts, period_s))).first()
+    if first is None or ends is None:
+        return period_views(log.limit(0), period_s, publish_s, close_s)
+    for k in range(1, steps):
+        views.advance(first + (last - first) * k // steps)
+    views.advance(max(last, (ends + period_s + close_s) * 1_000_000))
+    return views.outcome()
+
+
 def period_kinds(log: DataFrame, **clock: int) -> DataFrame:
-    """(exchange, symbol, period_start, kind): ``corrected`` and ``cut_off`` periods of ``period_views``."""
+    """(exchange, symbol, period_start, kind): ``corrected`` and ``cut_off`` periods of ``layered_views``."""
     kinds = F.array_compact(F.array(F.when(F.col("corrected") > 0, "corrected"), F.when(F.col("cut_off") > 0, "cut_off")))
-    return period_views(log, **clock).select(*KEY, F.explode(kinds).alias("kind"))
+    return layered_views(log, **clock).select(*KEY, F.explode(kinds).alias("kind"))
 
 
 class LambdaViews:
@@ -62,11 +80,13 @@ class LambdaViews:
 
     ``add`` and ``run_batch`` are called by the scheduler; each call appends or writes a new version, so a call that died is
     repeated without harm to what readers see (``add`` of the same batch again is undone by the next ``run_batch``).
+
+    A table that holds all deliveries can be given as ``log``; it isn't copied, and ``advance`` takes the place of both calls.
     """
 
-    def __init__(self, spark: SparkSession, path: str, period_s: int = PERIOD_S, publish_s: int = PUBLISH_S, close_s: int = CLOSE_S) -> None:
+    def __init__(self, spark: SparkSession, path: str, period_s: int = PERIOD_S, publish_s: int = PUBLISH_S, close_s: int = CLOSE_S, log: DataFrame | None = None) -> None:
         self.spark, self.path, self.period_s, self.publish_s, self.close_s = spark, path.rstrip("/"), period_s, publish_s, close_s
-        self.version = 0
+        self.version, self.log, self.now = 0, log, None
 
     def _read(self, name: str) -> DataFrame | None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
@@ -78,9 +98,39 @@ class LambdaViews:
         arrived.write.mode("append").parquet(f"{self.path}/log")
         view(changes(arrived, self.period_s)).write.mode("append").parquet(f"{self.path}/fast/v={self.version}")
 
+    def _open(self, now_us: int) -> DataFrame:
+        """Deliveries up to ``now_us`` (inclusive) that came in time for a period that was open after the last step. Those of earlier periods are in ``frozen``."""
+        closes = (_start(F.unix_micros("ts_utc"), self.period_s) + F.lit(self.period_s + self.close_s)) * F.lit(1_000_000)
+        got = self.log.where((F.col("received_at") <= F.timestamp_micros(F.lit(now_us))) & (F.unix_micros("received_at") <= closes))
+        return got if self.now is None else got.where(closes > self.now)
+
+    def advance(self, now_us: int) -> None:
+        """On a given log, what arrived since the last step: the fast layer adds the changes not seen before, the batch layer runs at ``now_us``.
+
+        ``n_published`` are those of them that arrived before their period was published.
+        """
+        every = changes(self._open(now_us), self.period_s)
+        fresh = every if self.now is None else every.where(F.col("arrived") > self.now)
+        published = F.count(F.when(F.col("arrived") <= _due(self.publish_s, self.period_s), 1))
+        figures = [F.count(F.lit(1)).alias("n_changes"), F.sum("removes").alias("n_removes"), F.max("ts").alias("last_ts_us"), published.alias("n_published")]
+        fresh.groupBy(*KEY).agg(*figures).write.mode("overwrite").parquet(f"{self.path}/fast/v={self.version}")
+        self.run_batch(now_us)
+        self.now = now_us
+
+    def outcome(self) -> DataFrame:
+        """Of a given log all of whose periods are closed, the columns of ``period_views``: the published view against the frozen one; changes of the log that are in neither are cut off."""
+        late = changes(self.log, self.period_s).where(F.col("arrived") > _due(self.close_s, self.period_s))
+        parts = {"published": (self._read("fast"), F.sum("n_published")), "final": (self._read("frozen"), F.sum("n_changes")), "cut_off": (late, F.count(F.lit(1)))}
+        rows = None
+        for name, (df, figure) in parts.items():
+            part = df.groupBy(*KEY).agg(figure.alias(name)).select(*KEY, *(F.col(n) if n == name else F.lit(0).cast("bigint").alias(n) for n in parts))
+            rows = part if rows is None else rows.unionByName(part)
+        n = rows.groupBy(*KEY).agg(*(F.sum(x).alias(x) for x in parts))
+        return n.select(*KEY, "published", "final", (F.col("final") - F.col("published")).alias("corrected"), "cut_off")
+
     def run_batch(self, now_us: int) -> None:
         """Batch layer at instant ``now_us``: recompute periods that aren't frozen, freeze those whose cut-off has passed."""
-        log, frozen = self._read("log"), self._read("frozen")
+        log, frozen = (self._read("log"), self._read("frozen")) if self.log is None else (self._open(now_us), None)
         self.version += 1
         if log is None:
             return
@@ -98,6 +148,7 @@ class LambdaViews:
         live = None
         for p in parts:
             if p is not None:
+                p = p.select(*KEY, "n_changes", "n_removes", "last_ts_us")
                 live = p if live is None else live.unionByName(p)
         frozen = self._read("frozen")
         if live is not None:

@@ -43,7 +43,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_views(spark: SparkSession, d: str) -> DataFrame:
     """Figures of every period: when published, when frozen, corrected and cut off."""
-    return lambda_views.period_views(_t(spark, d, "orderbook_depth"))
+    return lambda_views.layered_views(_t(spark, d, "orderbook_depth"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 
 from candlewick.functions import hilbert
 from candlewick.operators import chunk_diff, compact, equality_deletes, lambda_views, spikes, versions
+from candlewick.plans import problem_queries
 
 T0 = dt.datetime(2025, 1, 6, tzinfo=dt.UTC)
 D = "decimal(38,18)"
@@ -168,6 +169,22 @@ def test_lambda_layers_end_where_one_pass_ends(spark, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("steps", [1, 3, 7])
+def test_replayed_layers_count_each_change_once(spark, steps):
+    df = spark.createDataFrame(random_depth(400, 13), DEPTH)
+    got = sorted(map(tuple, lambda_views.layered_views(df, steps=steps).collect()))
+    assert got == sorted(map(tuple, lambda_views.period_views(df).collect()))
+    assert lambda_views.layered_views(df.limit(0), steps=steps).collect() == []
+
+
+def test_registered_views_run_the_layers(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(random_depth(200, 17), DEPTH).write.parquet(str(tmp_path / "orderbook_depth.parquet"))
+    ran, run_batch = [], lambda_views.LambdaViews.run_batch
+    monkeypatch.setattr(lambda_views.LambdaViews, "run_batch", lambda self, now: (ran.append(now), run_batch(self, now)))
+    assert problem_queries.p6_found(spark, str(tmp_path)).count() and len(ran) == lambda_views.STEPS
+    assert problem_queries.p6_views(spark, str(tmp_path)).count() and len(ran) == 2 * lambda_views.STEPS
+
+
 META = f"exchange string, symbol string, fetched_date date, fetched_at timestamp, asset_status string, tick_size {D}, fee_maker {D}, held int"
 
 
