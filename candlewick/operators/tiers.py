@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from candlewick import schemas
 from candlewick.functions import hashing
 from candlewick.operators import book
+from candlewick.plans.lineage import scratch
 from candlewick.sources import catalog
 
 SEQ = ["exchange", "symbol", "ts_utc", "received_at"]
@@ -57,11 +58,23 @@ def merged(rows: DataFrame, unit: str) -> DataFrame:
     return rows.withColumns(parts).repartition(*keys).sortWithinPartitions(*keys, "ts_utc", "received_at")
 
 
+def write_merged(rows: DataFrame, out: str, unit: str) -> None:
+    keys = ["exchange", "symbol", "date", *(["hour"] if unit == "hour" else [])]
+    merged(rows, unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).partitionBy(*keys).parquet(out)
+
+
 def merge_tier(spark: SparkSession, source: str, out: str, unit: str) -> None:
     """L2 (hours) from L1, or L3 (days) from L2; each hour holds its own rows only."""
-    rows = spark.read.parquet(source).drop("date", "hour")
+    write_merged(spark.read.parquet(source).drop("date", "hour"), out, unit)
+
+
+def merge_report(rows: DataFrame, unit: str, path: str | None = None) -> DataFrame:
+    """Merges into ``path`` (a new folder by default): ``tier_summary`` of the rows that its files hold, by the folders they are in."""
+    spark = rows.sparkSession
+    path = path or scratch(spark, "merged")
+    write_merged(rows, path, unit)
     keys = ["exchange", "symbol", "date", *(["hour"] if unit == "hour" else [])]
-    merged(rows, unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).partitionBy(*keys).parquet(out)
+    return spark.read.schema(merged(rows, unit).schema).parquet(path).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.min("ts_utc").alias("first_ts"), F.max("ts_utc").alias("last_ts"))
 
 
 def upgrade_ticks(rows: DataFrame) -> DataFrame:

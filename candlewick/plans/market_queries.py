@@ -399,8 +399,8 @@ def top_n(spark, d):
 
 @query("""SELECT exchange, symbol, CAST(ts_utc AT TIME ZONE 'UTC' AS DATE)::VARCHAR AS date, strftime(ts_utc AT TIME ZONE 'UTC', '%H') AS hour, count(*) AS n_rows, epoch_us(min(ts_utc)) AS first_us, epoch_us(max(ts_utc)) AS last_us FROM orderbook_depth GROUP BY 1, 2, 3, 4""")
 def l2_hour_merge(spark, d):
-    """What each hour's merged file holds."""
-    got = tiers.tier_summary(_t(spark, d, "orderbook_depth"), "hour")
+    """The merge itself: what each hour's merged files hold."""
+    got = tiers.merge_report(_t(spark, d, "orderbook_depth"), "hour")
     return got.select("exchange", "symbol", F.col("date").cast("string").alias("date"), "hour", "n_rows", us("first_ts").alias("first_us"), us("last_ts").alias("last_us"))
 
 

@@ -328,6 +328,20 @@ def test_a_copy_revised_in_any_field_of_its_hash_is_a_conflict(spark, tmp_path):
     assert got == {1: "UNIQUE", 2: "SAME_HASH", **dict.fromkeys((3, 4, 5, 6, 7, 10), "HASH_CONFLICT"), 8: "UNIQUE", 9: "SAME_HASH"}
 
 
+def test_the_hour_merge_summarises_what_it_wrote(spark, tmp_path, monkeypatch):
+    ddl = "ts_utc timestamp, received_at timestamp, exchange string, symbol string, price double"
+    rows = spark.createDataFrame([(at(s), at(s + 1), "north", f"KRW-{'AB'[s % 2]}", float(s)) for s in range(0, 9000, 30)] + [(at(5), at(6), "north", "KRW-A", 1.0)] * 3, ddl)
+    rows.write.parquet(str(tmp_path / "orderbook_depth.parquet"))
+    monkeypatch.setattr(tiers, "scratch", lambda spark, name: str(tmp_path / name))
+    got = sorted(map(tuple, market_queries.l2_hour_merge(spark, str(tmp_path)).collect()))
+    for unit in ("hour", "day"):
+        assert sorted(map(tuple, tiers.merge_report(rows, unit, str(tmp_path / unit)).collect())) == sorted(map(tuple, tiers.tier_summary(rows, unit).collect()))
+    assert [(r[1:5]) for r in got] == [("KRW-A", "2025-01-06", "00", 123), ("KRW-A", "2025-01-06", "01", 120), ("KRW-A", "2025-01-06", "02", 60)]
+    assert len(list((tmp_path / "merged").rglob("hour=*/*.parquet"))) == len(got)
+    assert spark.read.parquet(str(tmp_path / "merged")).drop("date", "hour").exceptAll(rows.select("ts_utc", "received_at", "price", "exchange", "symbol")).count() == 0
+    assert spark.read.parquet(str(tmp_path / "merged")).count() == rows.count()
+
+
 def test_unknown_channels_fail():
     for f in (schemas.schema, schemas.wal_schema):
         with pytest.raises(ValueError, match="unknown"):
