@@ -171,9 +171,18 @@ def _without_repeats(c: T.Cues) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
-def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool]) -> Iterator[tuple[int, int]]:
+def _pairs(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool]) -> list[tuple[int, int]]:
+    """``_found`` with long markup and sound descriptions as words and, where there are such, without them: they may part a passage or hold one."""
+    got = list(_found(index, texts, words, close, long=False))
+    again, have = [i for i, t in enumerate(texts) if T.has_long(t)], set(got)
+    if again:
+        got += [(again[d], i) for d, i in _found(index, [texts[i] for i in again], words, close, long=True) if (again[d], i) not in have]
+    return got
+
+
+def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool], long: bool) -> Iterator[tuple[int, int]]:
     """(text, item) pairs among one batch. ``close`` remembers which spellings are which words."""
-    c = T.cues(texts, words, sounds=False)
+    c = T.cues(texts, words, sounds=False, long=long)
     keep = _without_repeats(c)
     doc, at = c.doc[keep], c.at[keep]
     t = c.code[keep].astype(np.uint64)
@@ -240,7 +249,7 @@ def leaked(documents: DataFrame, items: DataFrame, block: int = ITEM_BLOCK) -> D
             for b in rows:
                 ids = b.column(0)
                 for first, texts in T.batches(b.column(1)):
-                    got = list(_found(index, texts, words, close))
+                    got = _pairs(index, texts, words, close)
                     if got:
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array([first + d for d, _ in got])), pa.array([i for _, i in got], pa.int64())], names=["doc_id", "item_id"])
 

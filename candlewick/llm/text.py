@@ -76,7 +76,16 @@ def unmangle(text: str) -> str:
 
 
 MARKUP = r"<[^<>\n]{0,80}>|\{[^{}\n]{0,80}\}"
-SOUNDS = r"\[[^\[\]\x01]{0,120}\]|\([^()\x01]{0,120}\)|\*[^*\n\x01]{1,120}\*"
+SOUNDS = r"\[[^\[\]\x01\x03]{0,120}\]|\([^()\x01\x03]{0,120}\)|\*[^*\n\x01]{1,120}\*"
+#: The same of any length. What is longer may also be text between stray brackets, so tags must look like tags, and a search for words goes by both readings.
+LONG_MARKUP = r"<[^<>\n]{0,80}>|<[/!?]?[A-Za-z][^<>\n]*>|\{[^{}\n]*\}"
+LONG_SOUNDS = r"\[[^\[\]\x01\x03]*\]|\([^()\x01\x03]*\)|\*[^*\n\x01]+\*"
+_LONG = re.compile(r"<[/!?]?[A-Za-z][^<>\n]{80,}>|\{[^{}\n]{81,}\}|\[[^\[\]]{121,}\]|\([^()]{121,}\)|\*[^*\n]{121,}\*")
+
+
+def has_long(text: str | None) -> bool:
+    """Whether the two readings may differ."""
+    return bool(text and _LONG.search(text))
 
 
 #: A cue's time line, with the line before it if that is a number.
@@ -85,18 +94,18 @@ TIME_LINE = r"(?m)(?:^\d+[ \t]*\n)?^[^\n]*-->[^\n]*$"
 BROKEN = r"(\pL)[-\x{AD}](\n+\x01\n|\n)(\pL\S*)"
 
 
-def prepare(texts: list[str | None], sounds: bool) -> list[str]:
+def prepare(texts: list[str | None], sounds: bool, long: bool = True) -> list[str]:
     """White-space separated words of all texts: DOC before each text, CUE for each time line, LINE at each end of line.
 
-    Markup is dropped. Unless ``sounds``, so are sound descriptions, and words broken at the end of a line are joined. Null is an empty text.
+    Markup is dropped, if ``long`` of any length. Unless ``sounds``, so are sound descriptions, and words broken at the end of a line are joined. Null is an empty text.
     """
     clean = [unmangle(t).replace(DOC, " ").replace(CUE, " ").replace(LINE, " ") if t else "" for t in texts]
     a = pa.array([f"\n{DOC}\n".join(["", *clean])], pa.large_string())
     a = pc.replace_substring(pc.replace_substring(a, "\r\n", "\n"), "\r", "\n")
     a = pc.replace_substring_regex(a, pattern=TIME_LINE, replacement=CUE)
-    a = pc.replace_substring_regex(a, pattern=MARKUP, replacement="")
+    a = pc.replace_substring_regex(a, pattern=LONG_MARKUP if long else MARKUP, replacement="")
     if not sounds:
-        a = pc.replace_substring_regex(a, pattern=SOUNDS, replacement=" ")
+        a = pc.replace_substring_regex(a, pattern=LONG_SOUNDS if long else SOUNDS, replacement=" ")
         a = pc.replace_substring_regex(a, pattern=BROKEN, replacement=r"\1\3\2")
     a = pc.replace_substring(pc.replace_substring(a, "\n\n", "\n"), "\n", f" {LINE} ")
     return a[0].as_py().split()
@@ -134,10 +143,10 @@ class Cues:
     n_cues: np.ndarray
 
 
-def cues(texts: list[str | None], words: Words, sounds: bool) -> Cues:
+def cues(texts: list[str | None], words: Words, sounds: bool, long: bool = True) -> Cues:
     """Splits texts. What stands before a text's first time line, and the number before each time line, belongs to no cue and is dropped;
     a text without time lines is one cue, for which ``n_cues`` is 0."""
-    raw = prepare(texts, sounds)
+    raw = prepare(texts, sounds, long)
     code = np.fromiter(map(words.__getitem__, raw), np.int64, len(raw))
     doc = np.cumsum(code == -3) - 1
     mark = np.flatnonzero(code == -1)

@@ -54,6 +54,23 @@ def test_passages_of_fourteen_words_are_found_and_shorter_ones_not(spark):
     assert leaked(spark, [], items) == [] and leaked(spark, docs, []) == []
 
 
+TAG = '<font face="' + " ".join(["broad", "letters"] * 12) + '" color="#ffffff">'
+
+
+def test_long_markup_and_sounds_do_not_part_a_passage_nor_hide_one(spark):
+    w = ITEM.split()
+    long = " ".join(f"rumbling{i} engine" for i in range(12))
+    part = lambda x: srt([" ".join(w[0:8]) + f" {x} " + " ".join(w[8:16])])
+    docs = [(1, part(TAG)), (2, part(f"[{long}]")), (3, part(f"({long})")), (4, part("{" + long + "}")), (5, srt([f"({long} " + " ".join(w[0:16]) + ")"])), (6, part(long)), (7, " ".join(w[0:16]) + " [start"), (8, "end] " + " ".join(w[0:16]))]
+    assert leaked(spark, docs, [(5, ITEM, "x")]) == [(i, 5) for i in (1, 2, 3, 4, 5, 7, 8)]
+
+
+def test_long_tags_are_no_words_of_a_language():
+    c = T.cues([srt([TAG + "hello there</font>"]), "3 < 5 " + "word " * 40 + "7 > 2"], T.Words(lambda w: 1), sounds=True)
+    assert [c.raw[i] for i in c.at[c.doc == 0]] == ["hello", "there"]
+    assert (c.doc == 1).sum() == 46
+
+
 def test_damage_in_the_encoding_is_undone():
     t = "Où est l'été à Noël, très cher façade"
     assert T.unmangle(t.encode().decode("cp1252", "replace")) != t or True
