@@ -182,7 +182,7 @@ def _pairs(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
 
 def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool], long: bool) -> Iterator[tuple[int, int]]:
     """(text, item) pairs among one batch. ``close`` remembers which spellings are which words."""
-    c = T.cues(texts, words, sounds=False, long=long)
+    c = T.cues(texts, words, sounds=False, long=long, lead=True)
     keep = _without_repeats(c)
     doc, at = c.doc[keep], c.at[keep]
     t = c.code[keep].astype(np.uint64)

@@ -143,23 +143,24 @@ class Cues:
     n_cues: np.ndarray
 
 
-def cues(texts: list[str | None], words: Words, sounds: bool, long: bool = True) -> Cues:
+def cues(texts: list[str | None], words: Words, sounds: bool, long: bool = True, lead: bool = False) -> Cues:
     """Splits texts. What stands before a text's first time line, and the number before each time line, belongs to no cue and is dropped;
-    a text without time lines is one cue, for which ``n_cues`` is 0."""
+    a text without time lines is one cue, for which ``n_cues`` is 0. With ``lead``, what stands before the first time line is a cue of its own, the text's first."""
     raw = prepare(texts, sounds, long)
     code = np.fromiter(map(words.__getitem__, raw), np.int64, len(raw))
     doc = np.cumsum(code == -3) - 1
     mark = np.flatnonzero(code == -1)
     n_cues = np.bincount(doc[mark], minlength=len(texts)).astype(np.int64)
-    first_cue = np.concatenate([[0], np.cumsum(np.maximum(n_cues, 1))[:-1]]) if len(texts) else n_cues
+    led = ((n_cues > 0) & lead).astype(np.int64)
+    first_cue = np.concatenate([[0], np.cumsum(np.maximum(n_cues, 1) + led)[:-1]]) if len(texts) else n_cues
     seen = np.cumsum(code == -1)
     starts = np.flatnonzero(code == -3)
     seen_before = seen[starts] if len(starts) else seen[:0]
     within = seen - seen_before[doc] - 1 if len(code) else seen
-    within = np.where(n_cues[doc] == 0, 0, within) if len(code) else within
+    within = np.where(n_cues[doc] == 0, 0, within + led[doc]) if len(code) else within
     line = np.cumsum(code == -2)
     keep = np.flatnonzero((code >= 0) & (within >= 0))
-    return Cues(raw, keep, code[keep], doc[keep], first_cue[doc[keep]] + within[keep], line[keep], first_cue, n_cues)
+    return Cues(raw, keep, code[keep], doc[keep], first_cue[doc[keep]] + within[keep], line[keep], first_cue, n_cues + led)
 
 
 def batches(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:

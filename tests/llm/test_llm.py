@@ -54,6 +54,19 @@ def test_passages_of_fourteen_words_are_found_and_shorter_ones_not(spark):
     assert leaked(spark, [], items) == [] and leaked(spark, docs, []) == []
 
 
+def test_words_before_the_first_time_line_are_searched(spark):
+    w = ITEM.split()
+    rest = srt([f"plain filler number word{i}" for i in range(3)])
+    head = "\ufeff1\n00:00:00,000 -> 00:00:00,900\n" + " ".join(w[0:8]) + "\n\n"  # a damaged time line
+    docs = [(1, rest), (2, " ".join(w[0:16]) + "\n\n" + rest), (3, head + srt([" ".join(w[8:16])])), (4, "WEBVTT\n\n" + srt([" ".join(w[0:16])])), (5, " ".join(w[0:8])), (6, " ".join(w[8:16]) + "\n\n" + rest)]
+    assert leaked(spark, docs, [(5, ITEM, "x")]) == [(2, 5), (3, 5), (4, 5)]
+    text = "before\n" + srt(["one", "two"])
+    c = T.cues([text, "alone", text], T.Words(lambda w: 1), sounds=True, lead=True)
+    assert [(c.raw[i], int(k)) for i, k in zip(c.at, c.cue, strict=True)] == [("before", 0), ("one", 1), ("two", 2), ("alone", 3), ("before", 4), ("one", 5), ("two", 6)]
+    c = T.cues([text, "alone", text], T.Words(lambda w: 1), sounds=True)  # not among the cues that are counted
+    assert [(c.raw[i], int(k)) for i, k in zip(c.at, c.cue, strict=True)] == [("one", 0), ("two", 1), ("alone", 2), ("one", 3), ("two", 4)]
+
+
 TAG = '<font face="' + " ".join(["broad", "letters"] * 12) + '" color="#ffffff">'
 
 
