@@ -104,14 +104,22 @@ def compaction_report(rows: DataFrame, chunks: DataFrame, target_rows: int = TAR
     return both.select(*PARTITION, "n_stored", "n_source_files", F.col("n_target").alias("n_records"), "n_files", equal.alias("equal"))
 
 
-def contained_files(rows: DataFrame) -> DataFrame:
+def contained_files(rows: DataFrame, target_rows: int = TARGET_ROWS, path: str | None = None) -> DataFrame:
     """(chunk_id_a, chunk_id_b), smaller first: pairs of files of which one holds every record of the other.
 
-    Files with equal record sets form a class (size and two xors of digests); classes are compared by one representative.
-    A file can only lie within files that hold its rarest record, by the exact histogram of codes; those few are compared
-    digest by digest. Pairs are put out for all members, as asked. Files without records and null chunk_ids play no part.
+    The records are first compacted into ``path`` (a new folder by default); codes and digests are those of the records as laid
+    out there, and each file's rows are looked up among them by digest. Files with equal record sets form a class (size and two
+    xors of digests); classes are compared by one representative. A file can only lie within files that hold its rarest record,
+    by the exact histogram of codes; those few are compared digest by digest. Pairs are put out for all members, as asked.
+    Files without records and null chunk_ids play no part.
     """
-    recs = stored(coded(rows.where(F.col("chunk_id").isNotNull()), "chunk_id").distinct(), "records")
+    spark = rows.sparkSession
+    named = rows.where(F.col("chunk_id").isNotNull())
+    path = path or scratch(spark, "compacted")
+    write(named, path, target_rows)
+    laid = coded(spark.read.schema(named.select(*RECORD, *_partition()).schema).parquet(path).select(*RECORD))
+    held = named.select("chunk_id", digest(11).alias("d1"), digest(12).alias("d2")).distinct()
+    recs = stored(held.join(laid, ["d1", "d2"]).select("chunk_id", "d1", "d2", "code"), "records")
     sets = cut(recs.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("d1").alias("x1"), F.bit_xor("d2").alias("x2")))  # a row a file
     same = ["n", "x1", "x2"]
     members = cut(sets.join(sets.groupBy(*same).agg(F.min("chunk_id").alias("rep")), same).select("chunk_id", "rep", "n"))

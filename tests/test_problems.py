@@ -255,6 +255,15 @@ def test_contained_files(spark):
     assert compact.contained_files(spark.createDataFrame([], ROWS)).collect() == []
 
 
+def test_contained_files_are_compared_over_the_compacted_records(spark, tmp_path):
+    files = {"a": range(60), "b": range(10, 50), "c": range(40, 90), "d": range(90)}
+    df = spark.createDataFrame([stored(c, i, k) for c, ks in files.items() for i, k in enumerate(ks)], ROWS)
+    got = sorted(map(tuple, compact.contained_files(df, target_rows=20, path=str(tmp_path / "out")).collect()))
+    assert got == [("a", "b"), ("a", "d"), ("b", "d"), ("c", "d")]
+    sizes = [x["count"] for x in spark.read.parquet(str(tmp_path / "out")).selectExpr("_metadata.file_path f").groupBy("f").count().collect()]
+    assert sum(sizes) == 90 and len(sizes) >= 90 / 40 and max(sizes) <= 40  # each record once, in files of at most twice the target
+
+
 def test_compaction_keeps_each_record_once(spark, tmp_path):
     r = random.Random(2)
     rows = [stored(f"c{r.randrange(40)}", i, r.randrange(300), r.choice([1, 2, None])) for i in range(900)]
