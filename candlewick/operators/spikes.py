@@ -21,10 +21,11 @@ from candlewick.plans.lineage import cut
 
 SERIES = ["exchange", "symbol", "timeframe"]
 FIELDS = ("high", "low", "volume")
+NO_NAME = "\x00"  # stands for a null key part, so that such series are series like others
 BLOCK_BARS = 1440
 THRESHOLD = 4.0  # standard deviations of the innovation
 DRIFT = 0.01  # variance of the level's step, as a share of the readings' variance
-TIMES = 4.0  # a spike is at least so many times the largest ordinary reading
+TIMES = 2.0  # a spike is more than so many times the largest reading that passed as ordinary
 STUCK_BARS = 8
 TRADING_SHARE = 0.5  # stuck readings are reported where more than this share of bars has volume
 
@@ -46,7 +47,7 @@ def readings(candles: DataFrame) -> DataFrame:
     bar = F.coalesce(normal.timeframe_seconds(F.col("timeframe")), F.lit(60)) * F.lit(BLOCK_BARS * 1_000_000)
     ts = F.unix_micros("ts_utc")
     return candles.select(
-        "candle_id", *SERIES, ts.alias("ts"), normal.bucket(ts, bar).alias("block"), F.unix_micros("source_ingested_at").alias("ingested"),
+        "candle_id", *(F.coalesce(F.col(s), F.lit(NO_NAME)).alias(s) for s in SERIES), ts.alias("ts"), normal.bucket(ts, bar).alias("block"), F.unix_micros("source_ingested_at").alias("ingested"),
         *(F.coalesce(bad[f], F.lit(False)).alias(f"bad_{f}") for f in FIELDS), *(excess[f].alias(f"e_{f}") for f in FIELDS), *(F.xxhash64(f).alias(f"v_{f}") for f in FIELDS),
     )
 
@@ -80,9 +81,16 @@ def _filter(x: np.ndarray, most: np.ndarray, prior: tuple[float, float]) -> tupl
 
 
 def _runs(ids: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first, last) positions of maximal runs along which the last-value model's innovation vanishes."""
-    ends = np.flatnonzero(np.r_[ids[1:] != ids[:-1], True])
-    yield from zip(np.r_[0, ends[:-1] + 1].tolist(), ends.tolist(), strict=True)
+    """(first, last) positions of maximal stretches over which the innovation variance of the last-value model vanishes.
+
+    The model forecasts each bar's value by the one before. The variance of its innovations over any bars is zero if and only if each of
+    them is, so the sum of squared innovations (1 for a value that differs, however little) stands still along a stretch and nowhere else.
+    """
+    squared = np.r_[1.0, (ids[1:] != ids[:-1]).astype(float)]
+    energy = np.cumsum(squared)
+    first = np.flatnonzero(squared)
+    last = np.searchsorted(energy, energy[first], "right") - 1
+    yield from zip(first.tolist(), last.tolist(), strict=True)
 
 
 def _judge(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
@@ -141,7 +149,7 @@ def _stuck(found: DataFrame) -> DataFrame:
 def implausible(candles: DataFrame) -> DataFrame:
     """(candle_id, field_name): every impossible, spiking or stuck reading; each copy of a bar that has it.
 
-    Series keys are taken as they are (nulls too: they match nothing, so rows with a null key have only impossible readings).
+    Series keys are taken as they are; a null key part is a value of its own.
     A source without readings or with equal ones has no spikes. Empty candles give an empty result.
     """
     rows = readings(candles)
