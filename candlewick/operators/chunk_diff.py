@@ -2,7 +2,8 @@
 
 Each copy's rows, sorted by key, are cut where a rolling hash over the last keys meets a condition, so both copies are cut at
 the same places except near a difference. Chunks are reduced to fingerprints; chunks with a fingerprint that the other copy
-has too hold the same rows and are done with. Only rows of the other chunks are compared field by field.
+has too hold the same rows and are done with. The other chunks are cut again, by a weaker condition, and compared in the same way.
+Only rows of the small chunks that then remain are fetched and compared field by field; until then only keys and digests move.
 """
 
 from collections.abc import Iterator, Sequence
@@ -13,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import normal, schemas
-from candlewick.plans.lineage import cut
+from candlewick.plans.lineage import stored
 
 BAR_KEY = ("bar_label", "genesis_us", "ts_close_us", "exchange", "symbol")
 BAR_FIELDS = ("open", "high", "low", "close", "volume", "value")
-WINDOW, MASK = 4, 31  # keys in the rolling hash; a cut every 32 keys on average
+WINDOW = 3  # keys in the rolling hash
+MASK, SUB_MASK = 31, 1  # a chunk ends every 32 keys on average, a small one every 2; cuts of chunks are cuts of small ones too
 
 
 def bars(df: DataFrame) -> DataFrame:
@@ -34,8 +36,8 @@ def _hash(names: Sequence[str], seed: int) -> Column:
 
 
 def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds chunk, the hash of the chunk's first key. Rows of one key are never parted. Keeps the last keys between batches."""
-    past, last, chunk = np.zeros(0, np.uint64), None, 0
+    """Adds to each row the hashes of the first keys of its chunk and of its small chunk. Rows of one key are never parted. Keeps the last keys between batches."""
+    past, last, at_end = np.zeros(0, np.uint64), None, {"_chunk": 0, "_sub": 0}
     for b in batches:
         if not b.num_rows:
             continue
@@ -49,32 +51,43 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = np.uint64(13 * j)
             rolled[j:] += (h << s) | (h >> (np.uint64(64) - s)) if j else h
         rolled ^= rolled >> np.uint64(32)
-        opens = np.zeros(len(key), bool)
-        opens[new] = (rolled[len(past) :] & np.uint64(MASK)) == 0
-        if last is None:
-            opens[0] = True
-        at = np.maximum.accumulate(np.where(opens, np.arange(len(key)), -1))
-        ids = np.where(at < 0, chunk, key[np.maximum(at, 0)])
-        past, last, chunk = fresh[-(WINDOW - 1) :], key[-1], int(ids[-1])
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=[*b.schema.names, "_chunk"])
+        ids = {}
+        for name, mask in (("_chunk", MASK), ("_sub", SUB_MASK)):
+            opens = np.zeros(len(key), bool)
+            opens[new] = (rolled[len(past) :] & np.uint64(mask)) == 0
+            if last is None:
+                opens[0] = True
+            at = np.maximum.accumulate(np.where(opens, np.arange(len(key)), -1))
+            ids[name] = np.where(at < 0, at_end[name], key[np.maximum(at, 0)])
+            at_end[name] = int(ids[name][-1])
+        past, last = fresh[-(WINDOW - 1) :], key[-1]
+        kept = ("_key", "_d1", "_d2")
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *(pa.array(v, pa.int64()) for v in ids.values())], names=[*kept, *ids])
 
 
 def chunked(rows: DataFrame, key: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Distinct rows with ``_chunk`` and two row digests, stored in the shared folder.
+    """(_key, _d1, _d2, _chunk, _sub): hashes of the distinct rows with their chunks, stored in the shared folder.
 
     Repeated rows are reduced before the range shuffle, so that the ranges (bounds by sampling) can't be hot. It is stored
     because a second sampling would move the ranges' ends, at which chunks end too.
     """
     every = [*key, *fields]
-    once = rows.select(*every).distinct()
-    hashed = once.select(*every, _hash(key, 1).alias("_key"), _hash(every, 2).alias("_d1"), _hash(every, 3).alias("_d2"))
+    hashed = rows.select(*key, _hash(key, 1).alias("_key"), _hash(every, 2).alias("_d1"), _hash(every, 3).alias("_d2")).distinct()
     ordered = hashed.repartitionByRange(*key).sortWithinPartitions(*key)
-    schema = schemas.plus(hashed.schema, _chunk="bigint")
-    return cut(ordered.mapInArrow(_cuts, schema))
+    return stored(ordered.mapInArrow(_cuts, "_key bigint, _d1 bigint, _d2 bigint, _chunk bigint, _sub bigint"), "chunks")
 
 
-def _prints(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"), F.bit_xor("_d1").alias("_x1"), F.bit_xor("_d2").alias("_x2"))
+def _prints(rows: DataFrame, by: str = "_chunk") -> DataFrame:
+    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.bit_xor("_d1").alias("_x1"), F.bit_xor("_d2").alias("_x2"))
+
+
+def unmatched(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The ``_key`` of rows of either side in small chunks whose fingerprint the other side lacks, looked for in chunks whose fingerprint it lacks."""
+    for by in ("_chunk", "_sub"):
+        pa_, pb = _prints(a, by), _prints(b, by)
+        only = lambda x, y: x.join(y, [by, "_n", "_x1", "_x2"], "left_anti").select(by)  # noqa: B023, E731
+        a, b = a.join(only(pa_, pb), by, "left_semi"), b.join(only(pb, pa_), by, "left_semi")
+    return a.select("_key").unionByName(b.select("_key")).distinct()
 
 
 def differences(left: DataFrame, right: DataFrame, key: Sequence[str], fields: Sequence[str], left_only: str, right_only: str) -> DataFrame:
@@ -83,12 +96,9 @@ def differences(left: DataFrame, right: DataFrame, key: Sequence[str], fields: S
     Repeated rows count once. If a side has several different rows of one key, a field is equal if its least and greatest value
     and whether it is ever null agree. Null key parts are values. Other columns play no part. Empty sides are fine.
     """
-    a, b = chunked(left, key, fields), chunked(right, key, fields)
-    pa_, pb = _prints(a), _prints(b)
-    same = ["_chunk", "_n", "_x1", "_x2"]
-    only = lambda x, y: x.join(y, same, "left_anti").select("_chunk")
-    rest_a = a.join(only(pa_, pb), "_chunk", "left_semi").select(*key, *fields, F.lit(True).alias("_left"))
-    rest_b = b.join(only(pb, pa_), "_chunk", "left_semi").select(*key, *fields, F.lit(False).alias("_left"))
+    keys = unmatched(chunked(left, key, fields), chunked(right, key, fields))
+    rest = lambda side, is_left: side.select(*key, *fields, _hash(key, 1).alias("_key")).join(keys, "_key", "left_semi").select(*key, *fields, F.lit(is_left).alias("_left"))
+    rest_a, rest_b = rest(left, True), rest(right, False)
     aggs = [F.max("_left").alias("_any_left"), F.min("_left").alias("_all_left")]
     for f in fields:
         for s, mine in (("l", F.col("_left")), ("r", ~F.col("_left"))):

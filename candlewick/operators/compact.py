@@ -1,8 +1,9 @@
 """Consolidating many tiny files into few well-sized ones, clustered along a Hilbert curve.
 
 Every record gets a multidimensional code (time of day, price, level). An exact histogram of code cells cuts each partition
-(exchange, symbol, day) into ranges of equal size; a shuffle brings each range to one task, which writes one file. Row digests
-of source and destination are then compared. The same codes and digests tell which files hold nothing that another lacks.
+(exchange, symbol, day) into ranges of equal size, and the ranges' numbers place the records: a shuffle by range number brings each
+range to one task, which writes one file; partitions smaller than a file share tasks. Row digests of source and destination are then compared.
+The same codes and digests tell which source files hold nothing that another lacks.
 """
 
 from collections.abc import Iterator
@@ -13,13 +14,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions import hilbert, normal, schemas
+from candlewick.functions import hilbert, normal, paths, schemas
 from candlewick.plans.lineage import cut, scratch, stored
 
 RECORD = ("ts_utc", "exchange", "symbol", "baseline_seq", "side", "level", "price", "quantity")
 PARTITION = ("p_exchange", "p_symbol", "p_date")
+CODE = "hilbert_code"
 BITS, CELL_BITS = 20, 20  # bits an axis; leading bits of a code that make a histogram cell
 TARGET_ROWS = 1_000_000
+LANE_ROWS = 1_000_000  # partitions whose sizes are summed up by one task
 
 
 def digest(seed: int) -> Column:
@@ -39,13 +42,13 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scaled = np.clip((log + 64) / 192 * top, 0, top)  # decimals of 38 digits lie within 2**-60 and 2**67
         code = hilbert.codes([day.astype(np.uint64), scaled.astype(np.uint64), np.clip(level, 0, top).astype(np.uint64)], BITS)
         keep = [n for n in b.schema.names if n not in ("_us", "_price", "_level")]
-        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(code)], names=[*keep, "code"])
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(code)], names=[*keep, CODE])
 
 
 def coded(rows: DataFrame, *carry: str) -> DataFrame:
-    """``carry`` columns of ``rows`` with two row digests ``d1``, ``d2`` and the Hilbert ``code``. Null parts count as 0 in a code."""
+    """``carry`` columns of ``rows`` with two row digests ``d1``, ``d2`` and the Hilbert code. Null parts count as 0 in a code."""
     picked = rows.select(*carry, digest(11).alias("d1"), digest(12).alias("d2"), F.unix_micros("ts_utc").alias("_us"), F.col("price").cast("double").alias("_price"), F.col("level").cast("bigint").alias("_level"))
-    schema = schemas.plus(picked.drop("_us", "_price", "_level").schema, code="bigint")
+    schema = schemas.plus(picked.drop("_us", "_price", "_level").schema, **{CODE: "bigint"})
     return picked.mapInArrow(_coded, schema)
 
 
@@ -57,25 +60,47 @@ def _partition() -> list[Column]:
     ]
 
 
-def laid_out(rows: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Distinct records with partition, ``code`` and ``file_no``, at most about ``target_rows`` a file.
+def placed(rows: DataFrame, target_rows: int = TARGET_ROWS) -> tuple[DataFrame, int]:
+    """Distinct records with partition, code, ``file_no`` within the partition and ``task``; and how many tasks there are.
 
-    The histogram counts every record; a cell that alone exceeds a file is cut by digest, so a range is never larger than
-    two files' worth whatever the skew. Copies go before the shuffle by partial aggregation.
+    The histogram counts every record. A partition of n records is cut into ceil(n / target_rows) files at equal counts; a cell that
+    alone exceeds a file is cut by digest, so no file exceeds twice the target whatever the skew. A task holds one file of a partition of several,
+    or whole smaller partitions up to the target (fewer where that would leave cores idle). Copies go before the shuffle by partial aggregation.
     """
+    spark = rows.sparkSession
     once = rows.select(*RECORD).distinct()
-    records = coded(once.select(*RECORD, *_partition()), *RECORD, *PARTITION).withColumn("cell", F.shiftright("code", 3 * BITS - CELL_BITS))
+    records = stored(coded(once.select(*RECORD, *_partition()), *RECORD, *PARTITION).withColumn("cell", F.shiftright(CODE, 3 * BITS - CELL_BITS)), "coded")
     cells = records.groupBy(*PARTITION, "cell").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(*PARTITION).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cells = cells.select(*PARTITION, "cell", (before / F.lit(target_rows)).cast("bigint").alias("first"), F.ceil(F.col("n") / F.lit(target_rows)).alias("parts"))
-    part = F.pmod(F.col("d1"), F.col("parts"))
-    return records.join(cells, [*PARTITION, "cell"]).select(*RECORD, *PARTITION, "code", "d1", "d2", (F.col("first") + part).alias("file_no"))
-
-
-def write(rows: DataFrame, path: str, target_rows: int = TARGET_ROWS) -> None:
-    """The records of ``rows``, each exactly once, as Parquet partitioned by exchange, symbol and day, clustered by code."""
-    files = laid_out(rows, target_rows).repartition(*PARTITION, "file_no").sortWithinPartitions(*PARTITION, "file_no", "code")
-    files.select(*RECORD, *PARTITION).write.option("maxRecordsPerFile", 2 * target_rows).partitionBy(*PARTITION).parquet(path)
+    sizes = cut(cells.groupBy(*PARTITION).agg(F.sum("n").alias("total")))  # a row a partition
+    n_partitions, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("total"), F.lit(0))).first()
+    share = max(1, min(target_rows, n_rows // (2 * spark.sparkContext.defaultParallelism)))
+    files = F.ceil(F.col("total") / F.lit(target_rows)).cast("bigint")
+    small = F.when(F.col("files") == 1, F.col("total")).otherwise(0)
+    # task numbers: prefix sums within lanes of partitions, then over lanes
+    lane = sizes.withColumns({"files": files, "lane": F.pmod(F.xxhash64(*PARTITION), F.lit(n_partitions // LANE_ROWS + 1))})
+    before = Window.partitionBy("lane").orderBy(*PARTITION).rowsBetween(Window.unboundedPreceding, -1)
+    lane = lane.withColumns({"pack": (F.coalesce(F.sum(small).over(before), F.lit(0)) / F.lit(share)).cast("bigint"), "own": F.coalesce(F.sum(F.when(F.col("files") > 1, F.col("files")).otherwise(0)).over(before), F.lit(0))})
+    lane = cut(lane)
+    ends = lane.groupBy("lane").agg((F.max("pack") + 1).alias("packs"), F.sum(F.when(F.col("files") > 1, F.col("files")).otherwise(0)).alias("owns"))
+    up_to = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)  # over one row a lane
+    bases = ends.select(F.col("lane").alias("l"), "packs", F.coalesce(F.sum(F.col("packs") + F.col("owns")).over(up_to), F.lit(0)).alias("base"))
+    n_tasks = ends.agg(F.coalesce(F.sum(F.col("packs") + F.col("owns")), F.lit(0))).first()[0]
+    first_task = F.when(F.col("files") > 1, F.col("base") + F.col("packs") + F.col("own")).otherwise(F.col("base") + F.col("pack"))
+    plan = lane.join(bases, F.col("lane") == F.col("l")).select(*PARTITION, "files", F.ceil(F.col("total") / F.col("files")).alias("size"), first_task.alias("first_task"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy(*PARTITION).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most 2**CELL_BITS rows a partition
+    cuts = cells.withColumn("before", earlier).join(plan, list(PARTITION)).select(
+        *PARTITION, "cell", "files", "first_task", (F.col("before") / F.col("size")).cast("bigint").alias("first"), F.ceil(F.col("n") / F.col("size")).alias("parts")
+    )
+    file_no = F.least(F.col("first") + F.pmod("d1", "parts"), F.col("files") - 1)
+    got = records.join(cuts, [*PARTITION, "cell"]).withColumn("file_no", file_no)
+    return got.select(*RECORD, *PARTITION, CODE, "file_no", (F.col("first_task") + F.when(F.col("files") > 1, F.col("file_no")).otherwise(0)).alias("task")), int(n_tasks)
+
+
+def write(rows: DataFrame, path: str, target_rows: int = TARGET_ROWS, keep: tuple[str, ...] = ()) -> None:
+    """The records of ``rows``, each exactly once, as Parquet partitioned by exchange, symbol and day, clustered by code; ``keep`` may name ``CODE``."""
+    records, n_tasks = placed(rows, target_rows)
+    files = records.repartitionById(max(n_tasks, 1), F.col("task").cast("int")).sortWithinPartitions(*PARTITION, "file_no", CODE)
+    files.select(*RECORD, *keep, *PARTITION).write.option("maxRecordsPerFile", 2 * target_rows).partitionBy(*PARTITION).parquet(path)
 
 
 def _sums(records: DataFrame, name: str) -> DataFrame:
@@ -86,52 +111,66 @@ def _sums(records: DataFrame, name: str) -> DataFrame:
 def compaction_report(rows: DataFrame, chunks: DataFrame, target_rows: int = TARGET_ROWS, path: str | None = None) -> DataFrame:
     """Compacts into ``path`` (a new folder by default) and compares digests: one row a partition.
 
-    (p_exchange, p_symbol, p_date, n_stored, n_source_files, n_records, n_files, equal). ``n_stored`` counts rows as stored,
-    copies too; ``equal`` says that source and destination hold the same set of records. ``chunks`` lists the files: rows of
-    unlisted files are moved as well; empty files move nothing. Empty rows: no partitions, no rows.
+    (p_exchange, p_symbol, p_date, n_stored, n_source_files, n_listed_files, n_object_keys, n_records, n_files, equal). ``n_stored`` counts rows as
+    stored, copies too; ``n_listed_files`` are the source files whose path ``chunks`` lists, ``n_object_keys`` the different object keys these
+    claim (in canonical form); ``equal`` says that source and destination hold the same set of records. Rows of unlisted files are moved as
+    well; empty files move nothing. A file listed several times counts once, with its least path and key. Empty rows: no partitions, no rows.
     """
     spark = rows.sparkSession
     path = path or scratch(spark, "compacted")
     write(rows, path, target_rows)
     schema = rows.select(*RECORD, *_partition()).schema
     dest = spark.read.schema(schema).parquet(path)
-    stored = rows.select("chunk_id", *_partition()).groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n_stored"), F.count_distinct("chunk_id").alias("n_source_files"))
+    listed = chunks.where(F.col("chunk_id").isNotNull()).groupBy("chunk_id").agg(F.min(F.struct(paths.unix(F.col("source_path")).alias("path"), paths.canonical_key(F.col("nas_object_key")).alias("key"))).alias("at"))
+    per_file = rows.select("chunk_id", *_partition()).groupBy("chunk_id", *PARTITION).agg(F.count(F.lit(1)).alias("n"))  # files are joined, not rows
+    source_files = per_file.join(listed, "chunk_id", "left").groupBy(*PARTITION).agg(
+        F.sum("n").alias("n_stored"), F.count("chunk_id").alias("n_source_files"), F.count("at.path").alias("n_listed_files"), F.count_distinct("at.key").alias("n_object_keys")
+    )
     files = dest.select(*PARTITION, F.col("_metadata.file_path").alias("file")).groupBy(*PARTITION).agg(F.count_distinct("file").alias("n_files"))
     source = _sums(rows.select(*RECORD).distinct(), "source")
     target = _sums(dest.select(*RECORD), "target")
-    both = source.join(target, list(PARTITION), "full_outer").join(files, list(PARTITION), "left").join(stored, list(PARTITION), "left")
+    both = source.join(target, list(PARTITION), "full_outer").join(files, list(PARTITION), "left").join(source_files, list(PARTITION), "left")
     equal = F.col("n_source").eqNullSafe(F.col("n_target")) & F.col("x1_source").eqNullSafe(F.col("x1_target")) & F.col("x2_source").eqNullSafe(F.col("x2_target"))
-    return both.select(*PARTITION, "n_stored", "n_source_files", F.col("n_target").alias("n_records"), "n_files", equal.alias("equal"))
+    return both.select(*PARTITION, "n_stored", "n_source_files", "n_listed_files", "n_object_keys", F.col("n_target").alias("n_records"), "n_files", equal.alias("equal"))
 
 
-def contained_files(rows: DataFrame, target_rows: int = TARGET_ROWS, path: str | None = None) -> DataFrame:
-    """(chunk_id_a, chunk_id_b), smaller first: pairs of files of which one holds every record of the other.
+def containment(rows: DataFrame, target_rows: int = TARGET_ROWS, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(members, inside): of each file (chunk_id, rep), its class of files with the same records; of each pair of classes (a, b), that a's records are all in b.
 
-    The records are first compacted into ``path`` (a new folder by default); codes and digests are those of the records as laid
-    out there, and each file's rows are looked up among them by digest. Files with equal record sets form a class (size and two
-    xors of digests); classes are compared by one representative. A file can only lie within files that hold its rarest record,
-    by the exact histogram of codes; those few are compared digest by digest. Pairs are put out for all members, as asked.
-    Files without records and null chunk_ids play no part.
+    The records are first compacted into ``path`` (a new folder by default), with their codes. Each source record is looked up by digest among
+    those written; one that isn't there raises. Files with equal record sets (size and two xors of digests) form a class, compared by one
+    representative. A file can only lie within files that hold its rarest record (by the exact histogram) and whose code range covers its own; only
+    the records of such pairs are compared, digest by digest. Files without records and null chunk_ids play no part.
     """
     spark = rows.sparkSession
     named = rows.where(F.col("chunk_id").isNotNull())
     path = path or scratch(spark, "compacted")
-    write(named, path, target_rows)
-    laid = coded(spark.read.schema(named.select(*RECORD, *_partition()).schema).parquet(path).select(*RECORD))
+    write(named, path, target_rows, keep=(CODE,))
+    schema = schemas.plus(named.select(*RECORD).schema, **{CODE: "bigint"})
+    for f in named.select(*_partition()).schema:
+        schema = schema.add(f)
+    laid = spark.read.schema(schema).parquet(path).select(digest(11).alias("d1"), digest(12).alias("d2"), F.col(CODE).alias("code"))
     held = named.select("chunk_id", digest(11).alias("d1"), digest(12).alias("d2")).distinct()
-    recs = stored(held.join(laid, ["d1", "d2"]).select("chunk_id", "d1", "d2", "code"), "records")
-    sets = cut(recs.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("d1").alias("x1"), F.bit_xor("d2").alias("x2")))  # a row a file
+    met = held.join(laid, ["d1", "d2"], "left").withColumn("code", F.when(F.col("code").isNull(), F.raise_error(F.lit("a source record is not in the destination"))).otherwise(F.col("code")))
+    recs = stored(met.select("chunk_id", "d1", "d2", "code"), "records")
+    sets = cut(recs.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("d1").alias("x1"), F.bit_xor("d2").alias("x2"), F.min("code").alias("lo"), F.max("code").alias("hi")))  # a row a file
     same = ["n", "x1", "x2"]
-    members = cut(sets.join(sets.groupBy(*same).agg(F.min("chunk_id").alias("rep")), same).select("chunk_id", "rep", "n"))
-    own = stored(recs.join(members.where("chunk_id = rep").select("chunk_id", "n"), "chunk_id"), "representatives")
+    members = cut(sets.join(sets.groupBy(*same).agg(F.min("chunk_id").alias("rep")), same).select("chunk_id", "rep", "n", "lo", "hi"))
+    own = stored(recs.join(members.where("chunk_id = rep").select("chunk_id", "n", "lo", "hi"), "chunk_id"), "representatives")
     histogram = own.groupBy("code").agg(F.count(F.lit(1)).alias("freq"))
-    rarest = own.join(histogram, "code").groupBy("chunk_id", "n").agg(F.min(F.struct("freq", "code", "d1", "d2")).alias("r"))
-    a = rarest.select(F.col("chunk_id").alias("a"), F.col("n").alias("n_a"), "r.code", "r.d1", "r.d2")
-    b = own.select(F.col("chunk_id").alias("b"), F.col("n").alias("n_b"), "code", "d1", "d2")
-    maybe = cut(a.join(b, ["code", "d1", "d2"]).where(F.col("n_b") > F.col("n_a")).select("a", "b", "n_a"))
+    rarest = own.join(histogram, "code").groupBy("chunk_id", "n", "lo", "hi").agg(F.min(F.struct("freq", "code", "d1", "d2")).alias("r"))
+    a = rarest.select(F.col("chunk_id").alias("a"), F.col("n").alias("n_a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"), "r.code", "r.d1", "r.d2")
+    b = own.select(F.col("chunk_id").alias("b"), F.col("n").alias("n_b"), "lo", "hi", "code", "d1", "d2")
+    covers = (F.col("n_b") > F.col("n_a")) & (F.col("lo") <= F.col("lo_a")) & (F.col("hi") >= F.col("hi_a"))
+    maybe = cut(a.join(b, ["code", "d1", "d2"]).where(covers).select("a", "b", "n_a"))
     mine = own.select(F.col("chunk_id").alias("a"), "code", "d1", "d2").join(maybe, "a")
-    shared = mine.join(b.drop("n_b"), ["b", "code", "d1", "d2"]).groupBy("a", "b", "n_a").agg(F.count(F.lit(1)).alias("n"))
-    inside = shared.where(F.col("n") == F.col("n_a")).select("a", "b")
+    shared = mine.join(b.select("b", "code", "d1", "d2"), ["b", "code", "d1", "d2"]).groupBy("a", "b", "n_a").agg(F.count(F.lit(1)).alias("n"))
+    return members.select("chunk_id", "rep"), shared.where(F.col("n") == F.col("n_a")).select("a", "b")
+
+
+def contained_files(rows: DataFrame, target_rows: int = TARGET_ROWS, path: str | None = None) -> DataFrame:
+    """(chunk_id_a, chunk_id_b), smaller first: pairs of files of which one holds every record of the other; ``containment``, written out for all members of the classes."""
+    members, inside = containment(rows, target_rows, path)
     in_a = members.select(F.col("rep").alias("a"), F.col("chunk_id").alias("x"))
     in_b = members.select(F.col("rep").alias("b"), F.col("chunk_id").alias("y"))
     across = inside.join(in_a, "a").join(in_b, "b").select("x", "y")

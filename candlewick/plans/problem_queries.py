@@ -81,6 +81,7 @@ v AS (SELECT * FROM l WHERE n = 1 OR tick_size IS DISTINCT FROM t0 OR fee_maker
 e AS (SELECT *, lead(fetched_date) OVER (PARTITION BY exchange, symbol ORDER BY fetched_date) - 1 AS ends FROM v)
 """
 _SYMBOL = "CASE WHEN symbol LIKE '%\\_%' ESCAPE '\\' THEN upper(split_part(trim(symbol), '_', 2) || '-' || split_part(trim(symbol), '_', 1)) ELSE upper(trim(symbol)) END"
+_UNIX = lambda c: f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '\\\\', '/', 'g'), '/+', '/', 'g'), '(/\\.)+/', '/', 'g'), '^\\./', '')"
 _BAR = f"""SELECT DISTINCT bar_label, epoch_us(CAST(genesis_ts AS TIMESTAMPTZ)) AS genesis_us, epoch_us(CAST(ts_close AS TIMESTAMPTZ)) AS ts_close_us,
 lower(trim(exchange)) AS exchange, {_SYMBOL} AS symbol, open, high, low, close, volume, value"""
 _CHANGED = " UNION ALL ".join(f"SELECT bar_label, genesis_us, ts_close_us, exchange, symbol, '{f}' AS difference FROM h JOIN c USING (bar_label, genesis_us, ts_close_us, exchange, symbol) WHERE h.{f} IS DISTINCT FROM c.{f}" for f in chunk_diff.BAR_FIELDS)
@@ -94,6 +95,19 @@ s AS (SELECT a.chunk_id AS x, b.chunk_id AS y, count(*) AS k FROM r a JOIN r b
       AND a.baseline_seq IS NOT DISTINCT FROM b.baseline_seq AND a.side IS NOT DISTINCT FROM b.side AND a.level IS NOT DISTINCT FROM b.level
       AND a.price IS NOT DISTINCT FROM b.price AND a.quantity IS NOT DISTINCT FROM b.quantity GROUP BY 1, 2)
 SELECT x AS chunk_id_a, y AS chunk_id_b FROM s JOIN n a ON a.chunk_id = x JOIN n b ON b.chunk_id = y WHERE k = least(a.n, b.n)""",
+    "p3_compacted": f"""
+WITH p AS (SELECT *, coalesce(lower(trim(exchange)), 'unknown') AS p_exchange, coalesce({_SYMBOL}, 'unknown') AS p_symbol, coalesce(CAST(ts_utc AS DATE), DATE '1970-01-01') AS p_date FROM chunk_rows),
+l AS (SELECT chunk_id, source_path, {_UNIX("nas_object_key")} AS k FROM chunks WHERE chunk_id IS NOT NULL),
+k AS (SELECT chunk_id, {_UNIX("source_path")} AS path, CASE WHEN contains(regexp_replace(k, '^l1/', ''), '/node=') THEN regexp_replace(k, '^l1/', '')
+             ELSE regexp_replace(regexp_replace(k, '^l1/', ''), '(/date=[^/]+(?:/hour=[^/]+)?)/', '\\1/node=DEFAULT/') END AS key FROM l),
+c AS (SELECT chunk_id, path, key FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY path NULLS FIRST, key NULLS FIRST) AS n FROM k) WHERE n = 1),
+f AS (SELECT p_exchange, p_symbol, p_date, chunk_id, count(*) AS n FROM p GROUP BY ALL),
+s AS (SELECT p_exchange, p_symbol, p_date, CAST(sum(n) AS BIGINT) AS n_stored, count(chunk_id) AS n_source_files, count(path) AS n_listed_files, count(DISTINCT key) AS n_object_keys
+      FROM f LEFT JOIN c USING (chunk_id) GROUP BY ALL),
+r AS (SELECT p_exchange, p_symbol, p_date, count(*) AS n_records
+      FROM (SELECT DISTINCT p_exchange, p_symbol, p_date, ts_utc, exchange, symbol, baseline_seq, side, level, price, quantity FROM p) GROUP BY ALL)
+SELECT p_exchange, p_symbol, p_date, n_stored, n_source_files, n_listed_files, n_object_keys, n_records, CAST(ceil(n_records / {compact.TARGET_ROWS}) AS BIGINT) AS n_files, TRUE AS equal
+FROM s JOIN r USING (p_exchange, p_symbol, p_date)""",
     "p4_found": f"""
 WITH h AS ({_BAR} FROM hot_bars), c AS ({_BAR} FROM cold_bars)
 SELECT bar_label, genesis_us, ts_close_us, exchange, symbol, 'hot_only' AS difference FROM h ANTI JOIN c USING (bar_label, genesis_us, ts_close_us, exchange, symbol)

@@ -235,9 +235,20 @@ def test_bar_differences(spark):
 def test_only_chunks_near_a_difference_are_compared(spark):
     a = spark.createDataFrame([info_bar(i) for i in range(3000)], BAR)
     b = spark.createDataFrame([info_bar(i, close=2 if i == 1500 else 1) for i in range(3000)], BAR)
-    x, y = (chunk_diff._prints(chunk_diff.chunked(chunk_diff.bars(t), chunk_diff.BAR_KEY, chunk_diff.BAR_FIELDS)) for t in (a, b))
+    hashed = [chunk_diff.chunked(chunk_diff.bars(t), chunk_diff.BAR_KEY, chunk_diff.BAR_FIELDS) for t in (a, b)]
+    x, y = map(chunk_diff._prints, hashed)
     assert x.count() > 40
     assert x.join(y, ["_chunk", "_n", "_x1", "_x2"], "left_anti").count() <= 4
+    assert 1 <= chunk_diff.unmatched(*hashed).count() <= 60
+
+
+def test_few_rows_are_compared_at_a_high_rate_of_differences(spark):
+    """One bar in twenty differs or is missing: of two copies of 4000 bars fewer than three in ten are compared."""
+    r = random.Random(6)
+    a = spark.createDataFrame([info_bar(i) for i in range(4000)], BAR)
+    b = spark.createDataFrame([info_bar(i, close=2 if r.random() < 0.035 else 1) for i in range(4000) if r.random() > 0.015], BAR)
+    hashed = [chunk_diff.chunked(chunk_diff.bars(t), chunk_diff.BAR_KEY, chunk_diff.BAR_FIELDS) for t in (a, b)]
+    assert chunk_diff.unmatched(*hashed).count() < 1200
 
 
 ROWS = f"chunk_id string, row_no int, ts_utc timestamp, exchange string, symbol string, baseline_seq bigint, side string, level int, price {D}, quantity {D}, code string"
@@ -268,16 +279,34 @@ def test_compaction_keeps_each_record_once(spark, tmp_path):
     r = random.Random(2)
     rows = [stored(f"c{r.randrange(40)}", i, r.randrange(300), r.choice([1, 2, None])) for i in range(900)]
     df = spark.createDataFrame(rows, ROWS)
-    chunks = spark.createDataFrame([(f"c{i}",) for i in range(50)], "chunk_id string")
+    chunks = spark.createDataFrame([(f"c{i % 30}", f"/a/{i % 30}", f"l1/k{i % 10}") for i in range(60)], "chunk_id string, source_path string, nas_object_key string")
     got = compact.compaction_report(df, chunks, target_rows=100, path=str(tmp_path / "out")).collect()
     distinct = len({x[2:10] for x in rows})
     assert [(x.n_stored, x.n_records, x.equal) for x in got] == [(900, distinct, True)]
+    assert [(x.n_source_files, x.n_listed_files, x.n_object_keys) for x in got] == [(40, 30, 10)]
     assert distinct / 200 <= got[0].n_files <= distinct / 100 + 4
     sizes = [x["count"] for x in spark.read.parquet(str(tmp_path / "out")).selectExpr("_metadata.file_path f").groupBy("f").count().collect()]
     assert max(sizes) <= 200
     assert compact.compaction_report(df.limit(0), chunks, path=str(tmp_path / "none")).collect() == []
 
 
+def test_files_follow_the_histogram(spark, tmp_path):
+    """A partition of several files: balanced, and cut along the curve. Many small partitions share tasks."""
+    rows = [stored("c", i, i % 40_000, i % 7) for i in range(4000)] + [(f"s{k}", 0, at(86400 * k), "north", "KRW-B", k, "bid", 0, Decimal(1), Decimal(2), "clash") for k in range(30)]
+    df = spark.createDataFrame(rows, ROWS)
+    records, n_tasks = compact.placed(df, 700)
+    assert n_tasks <= 6 + 5 + 1  # six files of the large partition; the small ones are packed
+    compact.write(df, str(tmp_path / "out"), 700, keep=(compact.CODE,))
+    got = spark.read.parquet(str(tmp_path / "out")).where("p_symbol = 'KRW-A'").selectExpr("_metadata.file_path f", compact.CODE).groupBy("f").agg({"*": "count", compact.CODE: "min"}).collect()
+    sizes = [x["count(1)"] for x in got]
+    assert len(sizes) == 6 and sum(sizes) == 4000 and max(sizes) <= 2 * min(sizes)
+    ends = sorted((r.lo, r.hi) for r in spark.read.parquet(str(tmp_path / "out")).where("p_symbol = 'KRW-A'").selectExpr("_metadata.file_path f", f"{compact.CODE} c").groupBy("f").agg({"c": "min"}).withColumnRenamed("min(c)", "lo").join(
+        spark.read.parquet(str(tmp_path / "out")).selectExpr("_metadata.file_path f", f"{compact.CODE} c").groupBy("f").agg({"c": "max"}).withColumnRenamed("max(c)", "hi"), "f").collect())
+    cells = 1 << (3 * compact.BITS - compact.CELL_BITS)
+    assert all(a[1] // cells <= b[0] // cells for a, b in zip(ends, ends[1:]))  # ranges of the curve follow each other
+    assert spark.read.parquet(str(tmp_path / "out")).where("p_symbol = 'KRW-B'").count() == 30
+
+
 def test_hilbert_codes_are_a_walk():
     import numpy as np
 
