@@ -165,8 +165,28 @@ def test_lambda_layers_end_where_one_pass_ends(spark, tmp_path):
         views.add(df.where(f"unix_micros(received_at) >= {int(at(a).timestamp()) * 10**6} and unix_micros(received_at) < {int(at(b).timestamp()) * 10**6}"))
         views.run_batch(int(at(b).timestamp() * 1e6))
     got = {tuple(r)[:4] for r in views.read().where("state = 'frozen'").collect()}
-    want = {(r.exchange, r.symbol, r.period_start, r.final) for r in lambda_views.period_views(df).collect() if r.final}
-    assert got == want
+    once = lambda_views.period_views(df).collect()
+    assert got == {(r.exchange, r.symbol, r.period_start, r.final) for r in once if r.final}
+    late = {(r.exchange, r.symbol, r.period_start, r.cut_off) for r in once if r.cut_off}
+    assert {tuple(r) for r in views.cut_off().collect()} == late
+
+
+def test_another_process_goes_on_with_the_layers(spark, tmp_path):
+    """The step's number is stored; a step whose end wasn't recorded leaves no trace."""
+    us = lambda s: int(at(s).timestamp()) * 10**6
+    rows = [depth(i, i, i + 1, "bid", i, 1, 0) for i in range(5)]
+    new = lambda: lambda_views.LambdaViews(spark, str(tmp_path / "v"))
+    new().add(spark.createDataFrame(rows[:2], DEPTH))
+    new().run_batch(us(100))
+    new().add(spark.createDataFrame(rows[2:], DEPTH))
+    assert [(r.n_changes, r.state) for r in new().read().collect()] == [(5, "provisional")]
+    spark.createDataFrame([("north", "KRW-A", 0, 99, 0, 0)], "exchange string, symbol string, period_start bigint, n_changes bigint, n_removes bigint, last_ts_us bigint").write.parquet(str(tmp_path / "v/frozen/v=2"))  # died
+    assert new().state() == (1, us(100)) and new().read().count() == 1
+    new().run_batch(us(1300))
+    assert [(r.n_changes, r.state) for r in new().read().collect()] == [(5, "frozen")]
+    new().add(spark.createDataFrame([depth(9, 1000, 9000, "ask", 1, 1, 0), depth(10, 2000, 9000, "ask", 1, 1, 0)], DEPTH))  # a period that has nothing else
+    new().run_batch(us(10_000))
+    assert new().read().count() == 1 and new().cut_off().count() == 2
 
 
 @pytest.mark.parametrize("steps", [1, 3, 7])
