@@ -10,7 +10,12 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return consensus.candle_survivors(_t(spark, d, "quarantine"))
+    return consensus.candle_survivors(_t(spark, d, "quarantine")).select("group_id", "field_name", "row_id")
+
+
+def p2_consensus(spark: SparkSession, d: str) -> DataFrame:
+    """The same groups with graded weights: what most of the weight agrees on, token by token."""
+    return consensus.candle_survivors(_t(spark, d, "quarantine"), graded=True)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +46,7 @@ def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
     return mixing.temperature_shares(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p8_found, p9_mixture, p9_shares, p9_temperature, p10_found, p10_languages)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_consensus, p8_found, p9_mixture, p9_shares, p9_temperature, p10_found, p10_languages)}
 _VALUE = lambda f: f"CASE WHEN lower(trim(json_extract_string(r, '$.{f}'))) NOT IN ('', '-', 'null', 'nan', 'none', 'n/a', 'na') THEN json_extract_string(r, '$.{f}') END"
 _FIELDS = ", ".join(f'{_VALUE(f)} AS "{f}"' for f in consensus.FIELDS)
 _WRITTEN = " || '|' || ".join(f"coalesce(\"{f}\", '')" for f in consensus.FIELDS)
