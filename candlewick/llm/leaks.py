@@ -21,7 +21,8 @@ from candlewick.llm import text as T
 RUN = 14
 MASKS = ("1110010111", "1101110011", "1011011101", "1111101001")
 WINDOW, LEAST = 12, 8  # of so many words of a run at least so many agree but for common misreadings; others may be damaged in any way
-ITEM_BLOCK = 2048  # items whose seeds are shipped to the workers at a time
+BLOCK_WORDS = 400_000  # words of items whose seeds are shipped to the workers at a time
+CELLS = 4_000_000  # words of items laid over documents at a time
 TABLE_BITS = 22
 
 # Characters that recognition mixes up share a class, named by one of them.
@@ -37,12 +38,17 @@ _NOT_WORD = re.compile(r"[\W_]")
 
 
 @lru_cache(1 << 16)
-def canonical(raw: str) -> str:
+def canonical(raw: str, folded: bool = False) -> str:
     """The word's form in which case, punctuation, accents and common misreadings make no difference; '' if nothing is left.
 
-    Letters of Latin words outside ASCII are dropped, since wrong encodings leave anything there; of words like "à" nothing is left.
+    Letters of Latin words outside ASCII are dropped, since wrong encodings leave anything there; of words like "à" nothing is left,
+    unless accents are ``folded`` away instead.
     """
     s = raw.lower()
+    if folded and not s.isascii():
+        s = "".join(ch for ch in unicodedata.normalize("NFD", s) if not unicodedata.combining(ch)) if not _HAS_OTHER.search(s) else s
+        if not s.isascii() and not _HAS_OTHER.search(s):
+            return _NOT_WORD.sub("", s)
     if not s.isascii():
         s = unicodedata.normalize("NFC", s)
         if _HAS_OTHER.search(s):
@@ -56,9 +62,12 @@ def canonical(raw: str) -> str:
 
 def code(raw: str) -> int:
     s = canonical(raw)
-    if not s:
-        return T.NOTHING
-    return zlib.crc32(s.encode())
+    return zlib.crc32(s.encode()) if s else T.NOTHING
+
+
+def folded_code(raw: str) -> int:
+    s = canonical(raw, True)
+    return zlib.crc32(s.encode()) if s else T.NOTHING
 
 
 def _close(a: str, b: str) -> bool:
@@ -111,30 +120,40 @@ def seeds(codes: np.ndarray) -> list[np.ndarray]:
 
 
 class Index:
-    """Seeds of a block of items."""
+    """Seeds of a block of items.
+
+    Words of which nothing is left in canonical form are skipped, in items as in documents. ``folded`` indexes keep such words without their accents,
+    and hold only items with some ``RUN`` words of which fewer than ``WINDOW`` would be left, which the other form can't find.
+    """
 
-    def __init__(self, items: list[tuple[int, str | None]]) -> None:
-        self.ids, self.words, self.places, self.codes = [], [], [], []
+    def __init__(self, items: list[tuple[int, str | None]], folded: bool = False) -> None:
+        self.ids, self.words, self.places, self.folded = [], [], [], folded
+        codes = []
         for item, t in items:
             spelt = [w for w in T.unmangle(t or "").split() if _LETTERS.search(w)]
-            kept = [(i, canonical(w)) for i, w in enumerate(spelt) if canonical(w)]
-            if len(spelt) >= RUN and len(kept) >= WINDOW:
-                got = [w for _, w in kept]
+            left = np.array([bool(canonical(w)) for w in spelt], bool)
+            if len(spelt) < RUN:
+                continue
+            if folded:
+                runs = np.convolve(left, np.ones(RUN, np.int64), "valid")
+                if runs.min() >= WINDOW:
+                    continue
+            kept = [(i, canonical(w, folded)) for i, w in enumerate(spelt) if canonical(w, folded)]
+            if len(kept) >= WINDOW:
                 self.ids.append(item)
-                self.words.append(got)
+                self.words.append([w for _, w in kept])
                 self.places.append([i for i, _ in kept])  # among all the item's words
-                self.codes.append(np.array([zlib.crc32(w.encode()) for w in got], np.uint64))
-        self.length = np.array([len(c) for c in self.codes], np.int64)
-        self.padded = np.full((len(self.codes), max(self.length, default=WINDOW)), 2**63, np.uint64)  # no word's code
-        for k, c in enumerate(self.codes):
-            self.padded[k, : len(c)] = c
+                codes.append(np.array([zlib.crc32(w.encode()) for w in self.words[-1]], np.uint64))
+        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
+        self.length = np.array([len(c) for c in codes], np.int64)
+        self.begin = np.cumsum(self.length) - self.length  # of each item's words in ``codes``
+        self.codes = cat(codes, np.uint64)
         h, item, at = [], [], []
-        for k, c in enumerate(self.codes):
+        for k, c in enumerate(codes):
             for s in seeds(c):
                 h.append(s)
                 item.append(np.full(len(s), k, np.int64))
                 at.append(np.arange(len(s), dtype=np.int64))
-        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
         h, item, at = cat(h, np.uint64), cat(item, np.int64), cat(at, np.int64)
         order = np.argsort(h, kind="stable")
         self.hash, self.item, self.offset = h[order], item[order], at[order]
@@ -143,38 +162,71 @@ class Index:
 
 
 def _without_repeats(c: T.Cues) -> np.ndarray:
-    """Positions of words to keep: a cue that begins with a line that ended the cue before (rolling captions), or repeats it whole, loses that.
+    """Positions of words to keep: first lines of a cue (one or more) with which the cue before ended (rolling captions, repeated cues) are dropped.
 
-    A quarter of the repeated words may differ, since copies may be damaged each in its own way.
+    So is a line of two words or more that repeats the line before it. A quarter of the repeated words may differ, since copies may be damaged
+    each in its own way. Cues without words don't count as cues between.
     """
     n = len(c.code)
     if not n:
         return np.zeros(0, np.int64)
-    starts = np.flatnonzero(np.r_[True, c.cue[1:] != c.cue[:-1]])
-    ends = np.r_[starts[1:], n]
-    size = ends - starts
-    new_line = np.r_[True, c.line[1:] != c.line[:-1]]
-    nth = np.cumsum(new_line)
-    first = np.add.reduceat((nth == np.repeat(nth[starts], size)).astype(np.int64), starts)
-    joined = np.r_[False, (c.cue[starts[1:]] == c.cue[starts[:-1]] + 1) & (c.doc[starts[1:]] == c.doc[starts[:-1]])]
+    new_cue, new_doc = np.r_[True, c.cue[1:] != c.cue[:-1]], np.r_[True, c.doc[1:] != c.doc[:-1]]
+    new_line = new_cue | np.r_[True, c.line[1:] != c.line[:-1]]
+    line_at = np.flatnonzero(new_line)
+    line_end = np.r_[line_at[1:], n]
+    cue_at = np.flatnonzero(new_cue)
+    cue_end = np.r_[cue_at[1:], n]
+    first_line = np.searchsorted(line_at, cue_at)
+    n_lines = np.r_[first_line[1:], len(line_at)] - first_line
+    before = np.r_[0, (cue_end - cue_at)[:-1]]
+    before[new_doc[cue_at]] = 0
     keep = np.ones(n, bool)
-    previous = np.r_[0, size[:-1]]
-    for length in (first, size):
-        may = np.flatnonzero(joined & (length <= previous) & (length <= 64))
-        wrong = np.zeros(len(may), np.int64)
-        for j in range(int(length[may].max()) if len(may) else 0):
-            on = length[may] > j
-            here, there = starts[may] + j, starts[may] - length[may] + j
-            wrong[on] += c.code[here[on]] != c.code[there[on]]
-        for k in may[wrong <= length[may] // 4]:
-            keep[starts[k] : starts[k] + length[k]] = False
+
+    def drop(start: np.ndarray, length: np.ndarray) -> None:
+        if not len(start):
+            return
+        first_of = np.cumsum(length) - length
+        here = np.repeat(start - first_of, length) + np.arange(length.sum())
+        wrong = np.add.reduceat((c.code[here] != c.code[here - np.repeat(length, length)]).astype(np.int64), first_of)
+        for i, m in zip(start[wrong <= length // 4].tolist(), length[wrong <= length // 4].tolist(), strict=True):
+            keep[i : i + m] = False
+
+    m, may = 1, np.flatnonzero(before > 0)
+    while len(may):
+        length = line_end[first_line[may] + m - 1] - cue_at[may]
+        may, length = may[length <= before[may]], length[length <= before[may]]
+        drop(cue_at[may], length)
+        m += 1
+        may = may[n_lines[may] >= m]
+    size = line_end - line_at
+    again = np.flatnonzero(np.r_[False, size[1:] == size[:-1]] & (size > 1) & ~new_cue[line_at])
+    drop(line_at[again], size[again])
     return np.flatnonzero(keep)
 
 
+def _rejoined(c: T.Cues, keep: np.ndarray, words: T.Words) -> tuple[np.ndarray, np.ndarray, dict[int, str]]:
+    """(positions, codes, spellings that differ): words broken by a hyphen at the end of a line are joined with the next word kept, which may be in the next cue."""
+    code, line, doc = c.code[keep], c.line[keep], c.doc[keep]
+    joined: dict[int, str] = {}
+    gone = np.zeros(len(keep), bool)
+    for i in np.flatnonzero(line[1:] != line[:-1]).tolist():
+        a = c.raw[c.at[keep[i]]]
+        if a[-1] in "-\xad" and len(a) > 1 and a[-2].isalpha() and doc[i] == doc[i + 1] and not gone[i]:
+            b = c.raw[c.at[keep[i + 1]]]
+            if b[0].isalpha():
+                joined[i], gone[i + 1] = a[:-1] + b, True
+                code[i] = words[joined[i]]
+    if not joined:
+        return keep, code, {}
+    left = np.flatnonzero(~gone)
+    new = np.cumsum(~gone) - 1
+    return keep[left], code[left], {int(new[i]): w for i, w in joined.items()}
+
+
 def _pairs(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool]) -> list[tuple[int, int]]:
     """``_found`` with long markup and sound descriptions as words and, where there are such, without them: they may part a passage or hold one."""
     got = list(_found(index, texts, words, close, long=False))
-    again, have = [i for i, t in enumerate(texts) if T.has_long(t)], set(got)
+    again, have = [i for i, t in enumerate(texts) if index.ids and T.has_long(t)], set(got)
     if again:
         got += [(again[d], i) for d, i in _found(index, [texts[i] for i in again], words, close, long=True) if (again[d], i) not in have]
     return got
@@ -182,11 +234,13 @@ def _pairs(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
 
 def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool], long: bool) -> Iterator[tuple[int, int]]:
     """(text, item) pairs among one batch. ``close`` remembers which spellings are which words."""
+    if not len(index.ids):
+        return
     c = T.cues(texts, words, sounds=False, long=long, lead=True)
-    keep = _without_repeats(c)
+    keep, codes, spelling = _rejoined(c, _without_repeats(c), words)
     doc, at = c.doc[keep], c.at[keep]
-    t = c.code[keep].astype(np.uint64)
-    span, longest = len(MASKS[0]), index.padded.shape[1]
+    t = codes.astype(np.uint64)
+    span = len(MASKS[0])
     pairs = []
     whole = doc[: max(len(doc) - span + 1, 0)] == doc[span - 1 :]
     for h in seeds(t):
@@ -200,14 +254,21 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
     if not pairs:
         return
     every = np.unique(np.concatenate(pairs), axis=0)
+    every = every[np.argsort(index.length[every[:, 1]], kind="stable")]  # items of like length are laid over documents together
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
     done = set()
-    for k in range(0, len(every), 8192):
-        d, item, start = every[k : k + 8192].T
+    k = 0
+    while k < len(every):
+        size = index.length[every[k : k + CELLS // WINDOW, 1]]
+        upto = k + max(1, int(np.searchsorted(size * np.arange(1, len(size) + 1), CELLS, "right")))
+        d, item, start = every[k:upto].T
+        k = upto
+        longest = int(index.length[item].max())
         place = start[:, None] + np.arange(longest)
         inside = (place >= bounds[d][:, None]) & (place < bounds[d + 1][:, None]) & (np.arange(longest) < index.length[item][:, None])
-        same = inside & (t[np.clip(place, 0, len(t) - 1)] == index.padded[item])
-        total = np.pad(np.cumsum(same, 1, dtype=np.int16), ((0, 0), (1, 0)))
+        wanted = index.codes[np.minimum(index.begin[item][:, None] + np.arange(longest), len(index.codes) - 1)]
+        same = inside & (t[np.clip(place, 0, len(t) - 1)] == wanted)
+        total = np.pad(np.cumsum(same, 1, dtype=np.int32), ((0, 0), (1, 0)))
         dense = total[:, WINDOW:] - total[:, :-WINDOW] >= LEAST  # by the window's first word
         for r in np.flatnonzero(dense.any(1)):
             pair = int(d[r]), int(item[r])
@@ -217,9 +278,9 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
             windows = np.flatnonzero(dense[r])
             for j in np.flatnonzero(inside[r] & ~same[r]).tolist():
                 if windows[0] <= j < windows[-1] + WINDOW:
-                    spelt = c.raw[at[first + j]], want[j]
+                    spelt = spelling.get(first + j) or c.raw[at[first + j]], want[j]
                     if (yes := close.get(spelt)) is None:
-                        yes = close[spelt] = _close(canonical(spelt[0]), spelt[1])
+                        yes = close[spelt] = _close(canonical(spelt[0], index.folded), spelt[1])
                     good[j] = yes
             since, places = None, index.places[pair[1]]
             for j, ok in enumerate(good.tolist()):
@@ -232,24 +293,26 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
             close.clear()
 
 
-def leaked(documents: DataFrame, items: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
+def leaked(documents: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id): documents that hold at least ``RUN`` consecutive words of an item.
 
-    The items are shipped to the workers in blocks of ``block``, so what is shipped is bounded (a few MB) however many there are; each
+    The items are shipped to the workers in blocks of ``block_words`` words or one item, so what is shipped is bounded (about 150 bytes a word) however many there are; each
     block passes over the documents. Documents aren't shuffled, and a repeated document (or a null doc_id) yields its own row.
     Items of fewer than ``RUN`` words can't be found; null and empty texts hold nothing.
     """
     numbered = items.where(F.col("text").isNotNull()).select("item_id", "text").orderBy("item_id", "text")
     out = None
-    for part in _blocks(numbered, block):
-        index = Index(part)
+    for part in _blocks(numbered, block_words):
+        indexes = [Index(part), Index(part, folded=True)]
 
-        def scan(rows: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            words, close = T.Words(code), {}
+        def scan(rows: Iterator[pa.RecordBatch], indexes: list[Index] = indexes) -> Iterator[pa.RecordBatch]:
+            plain, folded = ((x, T.Words(f), {}) for x, f in zip(indexes, (code, folded_code), strict=True))
             for b in rows:
                 ids = b.column(0)
                 for first, texts in T.batches(b.column(1)):
-                    got = _pairs(index, texts, words, close)
+                    got = _pairs(plain[0], texts, *plain[1:])
+                    have = set(got)
+                    got += [x for x in _pairs(folded[0], texts, *folded[1:]) if x not in have]
                     if got:
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array([first + d for d, _ in got])), pa.array([i for _, i in got], pa.int64())], names=["doc_id", "item_id"])
 
@@ -260,13 +323,16 @@ def leaked(documents: DataFrame, items: DataFrame, block: int = ITEM_BLOCK) -> D
     return out
 
 
-def _blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
     """Rows in order, a block at a time; only one block is in memory."""
     part: list[tuple[int, str]] = []
+    words = 0
     for r in items.toLocalIterator():
-        part.append((r.item_id, r.text))
-        if len(part) == block:
+        n = len(r.text.split())
+        if part and words + n > block_words:
             yield part
-            part = []
+            part, words = [], 0
+        part.append((r.item_id, r.text))
+        words += n
     if part:
         yield part

@@ -38,26 +38,69 @@ def _decoded(part: str) -> str:
 
 
 _HIGH = re.compile("[\u00a1-ÿ]{3}")
+_ODD = re.compile("[\u00a1-ÿ]")
 _HANGUL, _CYRILLIC = re.compile("[가-힣]"), re.compile("[а-яё]")
+# 8-bit encodings of Korean and Russian.
+KOREAN, RUSSIAN = ("cp949",), ("cp1251", "koi8-r")
+SURE = 6  # odd bytes from which a line shows its encoding although a few don't fit
 
 
-def _eastern(text: str) -> str:
-    """Korean or Russian in an 8-bit encoding that was read as a Western code page. Accepted if nearly all the odd letters make sense so."""
-    high = sum(1 for ch in text if "\u00a1" <= ch <= "ÿ")
-    if high < 0.4 * sum(map(str.isalpha, text)):
-        return text
+def _read_as(raw: bytes, encoding: str, share: float) -> str | None:
+    """``raw`` in that encoding if at least ``share`` of its high bytes become Hangul or Cyrillic letters."""
+    n = sum(b > 127 for b in raw)
+    text = raw.decode("euc_kr" if share == 1 and encoding in KOREAN else encoding, "replace")  # of few syllables all are common ones
+    made = 2 * len(_HANGUL.findall(text)) if encoding in KOREAN else len(_CYRILLIC.findall(text.lower()))
+    return text if n and made >= share * n else None
+
+
+def _raw(text: str) -> bytes | None:
+    """The bytes of a text that nearly all consists of odd letters; None if it doesn't, or if the bytes are UTF-8."""
+    if len(_ODD.findall(text)) < 0.4 * sum(map(str.isalpha, text)):
+        return None
     try:
         raw = text.encode("cp1252", "candlewick-c1")
     except UnicodeError:
+        return None
+    try:
+        raw.decode("utf-8")
+    except UnicodeError:
+        return raw
+    return None
+
+
+def _likely(raw: bytes) -> str | None:
+    """The encoding, of Korean and Russian ones, in which the bytes make sense; of short lines every byte must. Between Russian ones the more lower-case letters decide."""
+    share = 0.8 if sum(b > 127 for b in raw) >= SURE else 1.0
+    if _read_as(raw, KOREAN[0], share):
+        return KOREAN[0]
+    fits = [e for e in RUSSIAN if _read_as(raw, e, share)]
+    return max(fits, key=lambda e: len(_CYRILLIC.findall(raw.decode(e, "replace"))), default=None)
+
+
+def _eastern(text: str) -> str:
+    """Lines of Korean or Russian in an 8-bit encoding that were read as a Western code page.
+
+    Three odd letters on end, which Western words don't have, make a line suspect. The encoding that most of such bytes make sense in is tried first on
+    all lines, also on those of fewer odd letters; these must make sense whole.
+    """
+    lines = text.split("\n")
+    raws = [_raw(x) if _ODD.search(x) else None for x in lines]
+    votes: dict[str, int] = {}
+    for x, raw in zip(lines, raws, strict=True):
+        if raw is not None and _HIGH.search(x) and (e := _likely(raw)):
+            votes[e] = votes.get(e, 0) + len(raw)
+    if not votes:
         return text
-    n = sum(b > 127 for b in raw)
-    if n < 6:  # too few to tell
-        return text
-    korean = raw.decode("cp949", "replace")
-    if 2 * len(_HANGUL.findall(korean)) >= 0.8 * n:
-        return korean
-    russian = max((raw.decode(e, "replace") for e in ("cp1251", "koi8-r")), key=lambda t: len(_CYRILLIC.findall(t)))
-    return russian if len(_CYRILLIC.findall(russian.lower())) >= 0.8 * n else text
+    most = max(votes, key=votes.__getitem__)
+    out = []
+    for x, raw in zip(lines, raws, strict=True):
+        if raw is not None:
+            got = _read_as(raw, most, 0.8 if sum(b > 127 for b in raw) >= SURE else 1.0)
+            if got is None and _HIGH.search(x) and (e := _likely(raw)):
+                got = raw.decode(e, "replace")
+            x = x if got is None else got
+        out.append(x)
+    return "\n".join(out)
 
 
 def unmangle(text: str) -> str:
@@ -68,8 +111,8 @@ def unmangle(text: str) -> str:
     if text.isascii():
         return text
     if _HIGH.search(text):
-        text = "\n".join(_eastern(x) if _HIGH.search(x) else x for x in text.split("\n"))
-    if not ("Ã" in text or "Â" in text or "Ð" in text or "ì" in text or "â™" in text) or not _MOJIBAKE.search(text):  # one of these occurs in any longer text so mangled
+        text = _eastern(text)
+    if not _MOJIBAKE.search(text):
         return text
     whole = _decoded(text)
     return whole if whole != text else "\n".join(_decoded(x) if _MOJIBAKE.search(x) else x for x in text.split("\n"))
@@ -90,14 +133,12 @@ def has_long(text: str | None) -> bool:
 
 #: A cue's time line, with the line before it if that is a number.
 TIME_LINE = r"(?m)(?:^\d+[ \t]*\n)?^[^\n]*-->[^\n]*$"
-#: A word broken by a hyphen at the end of a line; the next line may be in the next cue.
-BROKEN = r"(\pL)[-\x{AD}](\n+\x01\n|\n)(\pL\S*)"
 
 
 def prepare(texts: list[str | None], sounds: bool, long: bool = True) -> list[str]:
     """White-space separated words of all texts: DOC before each text, CUE for each time line, LINE at each end of line.
 
-    Markup is dropped, if ``long`` of any length. Unless ``sounds``, so are sound descriptions, and words broken at the end of a line are joined. Null is an empty text.
+    Markup is dropped, if ``long`` of any length. Unless ``sounds``, so are sound descriptions. Null is an empty text.
     """
     clean = [unmangle(t).replace(DOC, " ").replace(CUE, " ").replace(LINE, " ") if t else "" for t in texts]
     a = pa.array([f"\n{DOC}\n".join(["", *clean])], pa.large_string())
@@ -106,7 +147,6 @@ def prepare(texts: list[str | None], sounds: bool, long: bool = True) -> list[st
     a = pc.replace_substring_regex(a, pattern=LONG_MARKUP if long else MARKUP, replacement="")
     if not sounds:
         a = pc.replace_substring_regex(a, pattern=LONG_SOUNDS if long else SOUNDS, replacement=" ")
-        a = pc.replace_substring_regex(a, pattern=BROKEN, replacement=r"\1\3\2")
     a = pc.replace_substring(pc.replace_substring(a, "\n\n", "\n"), "\n", f" {LINE} ")
     return a[0].as_py().split()
 

@@ -50,7 +50,7 @@ def test_passages_of_fourteen_words_are_found_and_shorter_ones_not(spark):
     want = [(1, 5), (1, 5), (3, 5), (4, 5), (5, 5), (6, 5), (8, 5), (9, 5), (13, 5)]
     items = [(5, ITEM, "x"), (6, "too short to be found", "x"), (7, None, "x"), (8, "", "x")]
     assert leaked(spark, docs, items) == want
-    assert leaked(spark, docs, [*items, (9, " ".join(WORDS[60:90]), "x")], block=1) == want
+    assert leaked(spark, docs, [*items, (9, " ".join(WORDS[60:90]), "x")], block_words=1) == want
     assert leaked(spark, [], items) == [] and leaked(spark, docs, []) == []
 
 
@@ -94,6 +94,46 @@ def test_damage_in_the_encoding_is_undone():
     assert T.unmangle(ru.encode().decode("latin-1")) == ru
 
 
+def test_short_damaged_lines_are_undone():
+    ru, ko = "Слово", "아빠"
+    assert T.unmangle(ru.encode("cp1251").decode("cp1252")) == ru
+    assert T.unmangle(ko.encode("cp949").decode("latin-1")) == ko
+    assert T.unmangle("Да, я тут\nя\n- Слушай меня".encode("cp1251").decode("cp1252")) == "Да, я тут\nя\n- Слушай меня"
+    assert T.unmangle("아, 그래\n네\n시장님이 전쟁 때문에".encode("cp949").decode("latin-1")) == "아, 그래\n네\n시장님이 전쟁 때문에"
+    for word in ("ça", "über", "ñandú", "да", "Größe", "æther", "slå"):
+        assert T.unmangle(word.encode().decode("cp1252")) == word == T.unmangle(word)
+
+
+def test_long_repeated_lines_do_not_part_a_passage(spark):
+    w = [*ITEM.split(), *WORDS[100:]]
+    line = " ".join(f"{x}{i}" for i, x in enumerate(WORDS[:70]))
+    tail = " ".join(w[8:20])
+    docs = [(1, srt([line + " " + " ".join(w[0:8]), line + " " + " ".join(w[0:8]) + "\n" + tail])), (2, srt([line + "\n" + " ".join(w[0:8]), line + "x\n" + tail]))]
+    assert leaked(spark, docs, [(5, ITEM, "x")]) == [(1, 5)]
+
+
+def test_rolling_captions_of_several_lines_and_broken_words(spark):
+    w = ITEM.split()
+    lines = [" ".join(w[i : i + 3]) for i in range(0, 24, 3)]
+    broken = [" ".join(w[0:3]), " ".join(w[3:6]) + " " + w[6][:3] + "-", w[6][3:] + " " + " ".join(w[7:10]), " ".join(w[10:14])]
+    roll = lambda x, k: srt(["\n".join(x[i : i + k]) for i in range(len(x) - k + 1)])
+    docs = [(1, roll(lines, 2)), (2, roll(lines, 3)), (3, roll(broken, 2)), (4, srt(["\n".join(x for y in lines for x in (y, y))])), (5, srt([z for y in lines for z in (y, "♪", y)])), (6, roll([*lines[:2], "other words here now", *lines[2:4]], 2))]
+    assert leaked(spark, docs, [(5, ITEM, "x")]) == [(i, 5) for i in (1, 2, 3, 4, 5)]
+
+
+def test_items_of_short_accented_words_are_found(spark):
+    item = "Là où il y a eu à peu près été où ça y est"
+    assert len(item.split()) == 14
+    docs = [(1, srt(["avant ça", item, "après"])), (2, srt(["avant ça", item.rsplit(" ", 1)[0], "après"])), (3, srt([item.upper()])), (4, srt([item.encode().decode("cp1252", "candlewick-c1")])), (5, srt([ITEM]))]
+    assert leaked(spark, docs, [(7, item, "x"), (5, ITEM, "x")]) == [(1, 7), (3, 7), (4, 7), (5, 5)]
+
+
+def test_one_very_long_item_among_many(spark):
+    long = " ".join(f"{WORDS[i % 120]}{i}" for i in range(20_000))
+    docs = [(1, srt([" ".join(long.split()[15_000:15_014])])), (2, srt([ITEM]))]
+    assert leaked(spark, docs, [(5, ITEM, "x"), (6, long, "x")]) == [(1, 6), (2, 5)]
+
+
 def test_a_very_long_text_is_searched_to_its_end(spark):
     body = " ".join(random.Random(1).choice(("alpha", "beta", "gamma")) + str(i) for i in range(400_000))
     assert leaked(spark, [(1, body + " " + ITEM)], [(5, ITEM, "x")]) == [(1, 5)]
