@@ -5,6 +5,7 @@ steps, elastic net), its scores are calibrated by a temperature on held-out cues
 score is worked out once a spelling; cues add up their words, and stretches their cues.
 """
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -13,10 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm import text as T
+from candlewick.plans.lineage import shared_dir
+from candlewick.sources.catalog import exists
 
 LANGUAGES = ("en", "es", "fr", "pt", "de", "it", "ru", "nl", "ko")
 # Other notations of the languages (ISO 639-2 codes and names), besides regional forms such as en-GB.
@@ -25,7 +28,7 @@ NOTATIONS = {
     "ita": "it", "italian": "it", "rus": "ru", "russian": "ru", "dut": "nl", "nld": "nl", "dutch": "nl", "kor": "ko", "korean": "ko",
 }
 #: The classifier is fitted on at most so many labelled documents of a language, each of at most so many characters, and as many cues in all.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_CUES = 100, 20_000, 9_000
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_CUES = 150, 20_000, 15_000
 LEAST_DOCS, EPOCHS = 6, 2
 ORDERS = (1, 2, 3, 4, 5)
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 0.02, 0.01, 0.05
@@ -150,13 +153,44 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 
 
 def train(documents: DataFrame) -> Model:
-    """Fits on a bounded sample of labelled documents, chosen by hash; the rest is scored only. Languages without labels can't be assigned."""
-    known = documents.select(F.col("doc_id"), label(F.col("lang")).alias("y"), F.xxhash64("doc_id").alias("h")).where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
-    nth = F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id"))
+    """Fits on a bounded sample of labelled documents, chosen by hash; the rest is scored only. Languages without labels can't be assigned.
+
+    Of several documents of one id the one with the least hash of its text counts. The model is stored in the shared folder under a digest of the very
+    texts, labels and settings it was fitted on; where there is one of that digest it is read instead of fitted anew.
+    """
+    short = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text", label(F.col("lang")).alias("y")).where("y is not null")
+    nth = F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id", "t"))
+    known = short.select("doc_id", "y", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
     ids = [r.doc_id for r in known.withColumn("k", nth).where(F.col("k") <= SAMPLE_DOCS).select("doc_id").collect()]
-    rows = documents.where(F.col("doc_id").isin(ids) & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text", label(F.col("lang")).alias("y")).where("y is not null").dropDuplicates(["doc_id"]).collect() if ids else []
-    rows.sort(key=lambda r: r.doc_id)
-    return fit([r.text for r in rows], [LANGUAGES.index(r.y) for r in rows])
+    rows = short.where(F.col("doc_id").isin(ids)).collect() if ids else []
+    one: dict[int, tuple[str, int]] = {}
+    for r in rows:
+        x = (r.text, LANGUAGES.index(r.y))
+        key = lambda v: (hashlib.sha256(v[0].encode("utf-8", "surrogatepass")).digest(), v[1])
+        one[r.doc_id] = min(one[r.doc_id], x, key=key) if r.doc_id in one else x
+    sample = [one[i] for i in sorted(one)]
+    settings = (LANGUAGES, SAMPLE_CUES, LEAST_DOCS, EPOCHS, ORDERS, ALPHA, BETA, L1, L2, SCALE)
+    name = hashlib.sha256(repr((settings, sample)).encode("utf-8", "surrogatepass")).hexdigest()[:32]
+    path = f"{shared_dir(documents.sparkSession)}/models/langid-{name}"
+    if exists(documents.sparkSession, f"{path}/_SUCCESS"):
+        return loaded(documents.sparkSession, path)
+    model = fit([t for t, _ in sample], [y for _, y in sample])
+    save(documents.sparkSession, model, path)
+    return model
+
+
+def save(spark: SparkSession, model: Model, path: str) -> None:
+    """One row an n-gram; the temperature is in a row without one."""
+    grams_, rows = [None, *model.weights], [[model.temperature], *(w.tolist() for w in model.weights.values())]
+    table = pa.table({"gram": pa.array(grams_, pa.string()), "weights": pa.array(rows, pa.list_(pa.float64()))})
+    spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def loaded(spark: SparkSession, path: str) -> Model:
+    table = spark.read.schema("gram string, weights array<double>").parquet(path).toArrow()  # of the size of the model
+    rows = dict(zip(table.column("gram").to_pylist(), table.column("weights").to_pylist(), strict=True))
+    temperature = rows.pop(None)[0]
+    return Model({g: np.array(w, np.float32) for g, w in rows.items()}, temperature)
 
 
 class Scorer:

@@ -186,6 +186,20 @@ def test_languages_of_texts_and_stretches(spark, model):
     assert langid.corrections(df.limit(0)).collect() == []
 
 
+def test_a_model_is_stored_once(spark, model, tmp_path, monkeypatch):
+    langid.save(spark, model, str(tmp_path / "m"))
+    again = langid.loaded(spark, str(tmp_path / "m"))
+    assert again.temperature == model.temperature and again.weights.keys() == model.weights.keys()
+    assert all((again.weights[g] == w).all() for g, w in model.weights.items())
+    r = random.Random(31)
+    rows = [(i, srt([r.choice(SENTENCES[g]) for _ in range(8)]), g, None, "x", 0) for i, g in enumerate(["en", "es", "de", "ru"] * 8)]
+    df = spark.createDataFrame([*rows, (0, rows[5][1], "es", None, "x", 0)], DOCS)
+    fitted = []
+    monkeypatch.setattr(langid, "fit", lambda texts, labels: (fitted.append(len(texts)), model)[1])
+    langid.train(df), langid.train(df.repartition(3)), langid.train(df.where("doc_id > 3"))
+    assert fitted == [32, 28]
+
+
 def test_held_out_accuracy(spark, model):
     r = random.Random(99)
     right = n = 0
