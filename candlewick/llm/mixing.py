@@ -10,13 +10,13 @@ import math
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.plans.lineage import cut
 
+#: Where the vocabulary is unless a call or the session (``spark.candlewick.vocabulary``) names another.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary splits text before merging bytes.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -31,8 +31,9 @@ def source_key(c: Column) -> Column:
     return F.when(s != "", s)
 
 
-def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_counts(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, source, h, n_tokens) of every document; ``h`` is a hash of id and text. Null and empty texts have no tokens; whole texts are counted."""
+    vocabulary = vocabulary or documents.sparkSession.conf.get("spark.candlewick.vocabulary", VOCABULARY)
     with open(vocabulary, "rb") as f:
         data = f.read()  # of fixed size, some hundred kB; shipped with the function, for the file need not be on the workers
 
@@ -73,14 +74,36 @@ def entropy(shares: Mapping[str, float]) -> float:
     return -sum(x * math.log(x) for x in shares.values() if x > 0)
 
 
-def by_entropy(tokens: Mapping[str, int], target: float) -> dict[str, float]:
-    """Shares n_s ** a, the exponent a bisected so that their entropy is ``target`` nats (at most that of equal shares)."""
+def by_entropy(tokens: Mapping[str, int], target: float) -> tuple[dict[str, float], float]:
+    """Shares n_s ** a and the exponent a, bisected so that their entropy is ``target`` nats (at most that of equal shares)."""
     total = sum(tokens.values())
     shares = {s: n / total for s, n in tokens.items() if n > 0}
     if not shares:
-        return {}
-    a = bisect(lambda x: entropy(powered(shares, 16 - x)) >= min(target, math.log(len(shares)) - 1e-9), 0.0, 16.0)
-    return powered(shares, 16 - a)
+        return {}, 0.0
+    a = 16 - bisect(lambda x: entropy(powered(shares, 16 - x)) >= min(target, math.log(len(shares)) - 1e-9), 0.0, 16.0)
+    return powered(shares, a), a
+
+
+def tempered_plan(tokens: Mapping[str, int], repeats: Mapping[str, int], target: float, budget: int | None = None) -> "Plan":
+    """Shares n_s ** a of the sources' tokens. Without ``budget`` a meets the target entropy, and the total is the largest that the repetition limits allow.
+
+    With one, a lies as near to that exponent as the limits allow at this total, between it and 1 (natural shares); a budget beyond what they allow there is reduced.
+    """
+    have = {s: n for s, n in tokens.items() if n > 0 and repeats.get(s, 0) > 0}
+    if not have:
+        return Plan({}, {}, 0.0)
+    natural = {s: n / sum(have.values()) for s, n in have.items()}
+    most = {s: n * repeats[s] for s, n in have.items()}
+    limit = lambda w: min(most[s] / w[s] for s in w)
+    w, a = by_entropy(have, target)
+    total = limit(w)
+    if budget is not None:
+        total = min(float(budget), max(total, limit(natural)))
+        wanted = a
+        x = bisect(lambda x: limit(powered(natural, wanted + (1 - wanted) * x)) >= total * (1 - 1e-12), 0.0, 1.0)
+        a = wanted + (1 - wanted) * x
+        w = powered(natural, a)
+    return Plan(w, {s: min(int(total * w[s]), most[s]) for s in w}, a)
 
 
 @dataclass(frozen=True)
@@ -172,10 +195,10 @@ def realised(counted: DataFrame, draw: Mapping[str, int], sums: Mapping[str, int
 
 
 EMPTY = "doc_id bigint, source string, n_tokens bigint, repeats bigint"
-REPORT = "source string, target_share double, max_repeats int, available bigint, drawn bigint, documents bigint, repeats bigint, actual_share double"
+REPORT = "source string, target_share double, max_repeats int, available bigint, exponent double, planned_share double, drawn bigint, documents bigint, repeats bigint, actual_share double"
 
 
-def mixture(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
+def mixture(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str | None = None) -> DataFrame:
     """One row a document of the mixture with how often it is taken, at most ``max_repeats`` times.
 
     Sources are compared in one spelling. Documents of a null source or of one without target aren't taken. No documents, or no
@@ -188,26 +211,28 @@ def mixture(documents: DataFrame, targets: DataFrame, budget: int | None = None,
     return realised(counted, draw, sums) if draw else documents.sparkSession.createDataFrame([], EMPTY)
 
 
-def shares(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``REPORT``: per target source the tokens there are and were drawn, and the actual share of all tokens drawn."""
+def shares(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str | None = None) -> DataFrame:
+    """``REPORT``: per target source the tokens there are, the exponent and the share planned, what was drawn, and the actual share of all tokens drawn."""
+    return _report(documents, targets, vocabulary, lambda sums, wanted, repeats: plan(sums, wanted, repeats, budget))
+
+
+def temperature_shares(documents: DataFrame, targets: DataFrame, budget: int | None = None, vocabulary: str | None = None) -> DataFrame:
+    """``REPORT`` of the mixture by temperature alone (``tempered_plan``): natural shares of the sources with a target, tempered to the entropy of the target shares."""
+    return _report(documents, targets, vocabulary, lambda sums, wanted, repeats: tempered_plan({s: n for s, n in sums.items() if s in wanted}, repeats, entropy(powered(wanted, 1.0)), budget))
+
+
+def _report(documents: DataFrame, targets: DataFrame, vocabulary: str | None, planner: Callable[[dict, dict, dict], Plan]) -> DataFrame:
     counted = cut(token_counts(documents, vocabulary))
     wanted, repeats = _targets(targets)
-    sums = _sums(counted.where(F.col("source").isin(list(wanted))))
-    draw = plan(sums, wanted, repeats, budget).draw
     spark = documents.sparkSession
-    mixed = realised(counted, draw, sums) if draw else spark.createDataFrame([], EMPTY)
+    if not wanted:
+        return spark.createDataFrame([], REPORT)
+    sums = _sums(counted.where(F.col("source").isin(list(wanted))))
+    made = planner(sums, wanted, repeats)
+    mixed = realised(counted, made.draw, sums) if made.draw else spark.createDataFrame([], EMPTY)
     got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("drawn"), F.count(F.lit(1)).alias("documents"), F.max("repeats").alias("repeats"))
-    rows = [(s, float(wanted[s]), int(repeats[s]), sums.get(s, 0)) for s in wanted]
-    listed = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, available bigint")
+    rows = [(s, float(wanted[s]), int(repeats[s]), sums.get(s, 0), made.exponent, float(made.shares.get(s, 0.0))) for s in wanted]
+    listed = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, available bigint, exponent double, planned_share double")
     both = listed.join(got, "source", "left").fillna(0, ["drawn", "documents", "repeats"])
     total = F.sum("drawn").over(Window.partitionBy(F.lit(0)))  # over at most MOST_SOURCES rows
     return both.withColumn("actual_share", F.when(total > 0, F.col("drawn") / total).otherwise(0.0)).select(*(x.split()[0] for x in REPORT.split(", ")))
-
-
-def temperature_shares(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(source, tokens, share): natural shares of the sources with a target, tempered to the entropy of the target shares."""
-    counted = token_counts(documents, vocabulary)
-    wanted, _ = _targets(targets)
-    sums = {s: n for s, n in _sums(counted.where(F.col("source").isin(list(wanted)))).items() if n > 0}
-    w = by_entropy(sums, entropy(powered(wanted, 1.0)) if wanted else 0.0)
-    return documents.sparkSession.createDataFrame([(s, sums[s], float(np.float64(w[s]))) for s in sorted(w)], "source string, tokens bigint, share double")

@@ -42,7 +42,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
-    """Shares by temperature alone, at the entropy of the targets."""
+    """The mixture by temperature alone: token shares raised to the exponent at which they have the entropy of the targets, drawn as far as the repetition limits allow."""
     return mixing.temperature_shares(_t(spark, d, "documents"), _t(spark, d, "mix_targets"))
 
 

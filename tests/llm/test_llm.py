@@ -254,8 +254,33 @@ def test_a_budget_beyond_the_repetitions_is_tempered():
     assert 0 < q.exponent < 1 and q.draw["b"] == pytest.approx(300, abs=1) and q.draw["a"] == pytest.approx(1700, abs=2)
     z = mixing.plan(tokens, targets, repeats, budget=10**9)
     assert z.draw == {"a": pytest.approx(3000, abs=1), "b": pytest.approx(300, abs=1)}
-    e = mixing.by_entropy({"a": 900, "b": 90, "c": 10}, 1.0)
-    assert mixing.entropy(e) == pytest.approx(1.0, abs=1e-6)
+    e, a = mixing.by_entropy({"a": 900, "b": 90, "c": 10}, 1.0)
+    assert mixing.entropy(e) == pytest.approx(1.0, abs=1e-6) and 0 < a < 1
+    assert [e[s] / e["a"] for s in "bc"] == pytest.approx([0.1**a, (1 / 90) ** a])
+
+
+def test_temperature_meets_entropy_or_repetition_limits():
+    tokens, repeats = {"a": 9000, "b": 900, "c": 100}, {"a": 5, "b": 5, "c": 5}
+    p = mixing.tempered_plan(tokens, repeats, 0.8)
+    assert mixing.entropy(p.shares) == pytest.approx(0.8, abs=1e-6) and 0 < p.exponent < 1
+    assert max(p.draw[s] / tokens[s] for s in tokens) == pytest.approx(5, abs=0.1)  # the scarcest source is used up
+    q = mixing.tempered_plan(tokens, repeats, 0.8, budget=9000)  # more than the limits allow at that entropy
+    assert p.exponent < q.exponent < 1 and abs(sum(q.draw.values()) - 9000) <= 3 and max(q.draw[s] / tokens[s] for s in tokens) == pytest.approx(5, abs=0.1)
+    assert mixing.tempered_plan(tokens, repeats, 0.8, budget=100).exponent == p.exponent
+    z = mixing.tempered_plan(tokens, repeats, 0.8, budget=10**9)
+    assert z.exponent == pytest.approx(1.0, abs=1e-6) and sum(z.draw.values()) == pytest.approx(50_000, abs=10)
+    assert mixing.tempered_plan({}, {}, 0.5).draw == {} and mixing.tempered_plan({"a": 0}, {"a": 1}, 0.5).draw == {}
+
+
+def test_tempered_mixture_is_drawn(spark):
+    docs = mixed_docs(spark)
+    targets = spark.createDataFrame([("big", 0.4, 1), ("mid", 0.3, 3), ("small", 0.3, 4)], "source string, target_share double, max_repeats int")
+    rows = {r.source: r for r in mixing.temperature_shares(docs, targets).collect()}
+    total = sum(r.drawn for r in rows.values())
+    assert total > 0 and 0 < rows["big"].exponent < 4
+    for r in rows.values():
+        assert abs(r.actual_share - r.planned_share) < 0.02 and r.repeats <= r.max_repeats and r.exponent == rows["big"].exponent
+    assert mixing.temperature_shares(docs, targets.limit(0)).collect() == [] and mixing.shares(docs.limit(0), targets).count() == 3
 
 
 def copy(row_id, node="NODE_A", ingested="2025-01-06T00:00:00+00:00", intact=True, **fields):
