@@ -1,6 +1,7 @@
 """Digests over canonical text. Decimals have 18 digits of scale, instants ISO form with microseconds, absent values the word None."""
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,10 +40,28 @@ def short_id(*parts: Column) -> Column:
 
 
 def scaled(c: Column, digits: int) -> Column:
-    """``c * 10**digits`` as a whole number; raises if digits are left over."""
-    x = c.cast("decimal(28,10)") * F.lit(10**digits).cast("decimal(10,0)")
-    return F.when(x == F.floor(x), F.floor(x).cast("decimal(38,0)")).otherwise(F.raise_error(F.concat(F.lit("more digits than the scale: "), c.cast("string"))))
+    """``c * 10**digits`` as a whole number, exactly; raises if digits are left over, however far behind the point, or if the result has over 32 digits."""
+    if not 0 <= digits <= 18:
+        raise ValueError("0 to 18 digits")
+    unit = F.lit(Decimal(1).scaleb(-digits)).cast(f"decimal({digits + 1},{digits})")
+    whole = (c.cast(f"decimal(38,{digits})") * F.lit(10**digits).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)")
+    return F.when(c % unit == 0, whole).when(c.isNotNull(), F.raise_error(F.concat(F.lit("more digits than the scale: "), c.cast("string"))))
 
 
 def unscaled(c: Column, digits: int) -> Column:
-    return c.cast("decimal(28,0)") / F.lit(10**digits).cast("decimal(10,0)")
+    """The inverse, for whole numbers of up to 19 digits."""
+    return (c.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-digits)).cast("decimal(18,18)" if digits else "decimal(1,0)")).cast(f"decimal(38,{digits})")
+
+
+def units(c: Column, digits: int) -> Column:
+    """``c * 10**digits`` of a decimal with that scale as decimal(38,0), where plain multiplication would run out of digits."""
+    fraction = (c % F.lit(1).cast("decimal(1,0)")).cast(f"decimal({digits + 1},{digits})")
+    ten = F.lit(10**digits).cast(f"decimal({digits + 1},0)")
+    small = (fraction * ten).cast("decimal(38,0)")
+    return (F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)).cast(f"decimal({38 - digits},0)").cast("decimal(38,0)") * ten).cast("decimal(38,0)") + small
+
+
+def half_even(c: Column, digits: int = 18) -> Column:
+    """``c`` (a decimal, or its text) at ``digits`` behind the point, ties to the even digit; null for what is no number. A cast rounds ties up."""
+    wide = c.try_cast(f"decimal(38,{min(digits + 2, 20)})") if digits < 18 else c.try_cast("decimal(38,20)")
+    return F.bround(wide, digits).cast(f"decimal(38,{digits})")

@@ -5,17 +5,16 @@ the first and last price in that order, volume the sum of quantities, value the
 """
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
-from decimal import Decimal
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions import normal, schemas
+from candlewick.functions import hashing, normal
+from candlewick.operators import walks
 
 SERIES = ("exchange", "symbol")
+BUCKET_S = 3600  # seconds of a series that one task ranks or walks at a time
 #: Prices and quantities are narrowed so that their product is exact: (20,8) x (16,8) is (37,16). A value that doesn't fit raises.
 PRICE, QUANTITY, NOTIONAL = "decimal(20,8)", "decimal(16,8)", "decimal(38,16)"
 # The closed set of timeframes, in seconds.
@@ -86,7 +85,7 @@ def _closing(last: Column, first: Column) -> Column:
     return F.when(last > first, last).otherwise(F.timestamp_micros(F.unix_micros(first) + 1))
 
 
-def positions(ticks: DataFrame, series: tuple[str, ...] = SERIES, bucket_s: int = 3600) -> DataFrame:
+def positions(ticks: DataFrame, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
     """``ticks`` with ``position``, counted from 0 along each series by (ts_utc, seq).
 
     A tick's position is its rank in its time bucket plus the ticks of earlier buckets, whose counts are summed along a table of one row a bucket;
@@ -110,39 +109,19 @@ def tick_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES)
     return _bars(placed, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).where(F.col("n_ticks") == rule.threshold).drop("bar")
 
 
-def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES) -> DataFrame:
+def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
     """Volume and dollar bars: a bar closes with the tick at which the sum since the last close reaches the threshold; overshoot is discarded.
 
-    Where a bar ends depends on where the one before ended, so a series is walked in order by one task, as a stream of sorted batches:
-    memory holds one batch, however long the series. Aggregation into bars is then distributed again.
+    Where a bar ends depends on where the one before ended; ``walks.events`` finds the ends by time buckets of ``bucket_s``, so a hot series is many tasks'. A null amount, and
+    one below 0, adds nothing.
     """
     amount = F.col("quantity").cast(QUANTITY) if rule.kind == "vol" else (F.col("price").cast(PRICE) * F.col("quantity").cast(QUANTITY)).cast(NOTIONAL)
     digits = 8 if rule.kind == "vol" else 16
-    scaled = amount.cast("string")  # with all digits of the scale, but for zero and tiny amounts
-    need = rule.threshold * 10**digits
-    kept = ["exchange", "symbol", "ts_utc", "price", "quantity", "seq"]
-    key = F.concat_ws("\x1f", *(F.coalesce(F.col(s).cast("string"), F.lit("\x00")) for s in series))
-    ordered = ticks.select(*kept, key.alias("_key"), scaled.alias("_amount")).repartition("_key").sortWithinPartitions("_key", "ts_utc", "seq")
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total, bar = None, 0, 0
-        for b in batches:
-            bars, closes = [], []
-            for key, amount in zip(b.column("_key").to_pylist(), b.column("_amount").to_pylist(), strict=True):
-                if key != now:
-                    now, total, bar = key, 0, 0
-                if amount is not None:
-                    total += int(Decimal(amount).scaleb(digits)) if "E" in amount else int(amount.replace(".", ""))
-                bars.append(bar)
-                if total >= need:
-                    closes.append(1)
-                    total, bar = 0, bar + 1
-                else:
-                    closes.append(0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(bars, pa.int64()), pa.array(closes, pa.int32())], names=[*kept, "bar", "closes"])
-
-    schema = schemas.plus(ticks.select(*kept).schema, bar="bigint", closes="int")
-    return _bars(ordered.mapInArrow(walk, schema), rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
+    scaled = hashing.units(amount, digits)
+    kept = ticks.select("exchange", "symbol", "ts_utc", "price", "quantity", "seq")
+    bucket = normal.bucket(F.unix_micros("ts_utc"), bucket_s * 1_000_000)
+    assigned = walks.events(kept, series, ["ts_utc", "seq"], scaled, rule.threshold * 10**digits, True, bucket, ("closes", "bar"))
+    return _bars(assigned, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
 
 
 def resample(ticks: DataFrame, label: str, start: str | None = None, end: str | None = None, symbol: str | None = None, exchange: str | None = None, compat: bool = False) -> DataFrame:

@@ -1,13 +1,14 @@
 """Data quality of candles and events: predicates, gaps, and the checks that depend on what was accepted before."""
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions import hashing, normal, schemas
+from candlewick.functions import hashing, normal
+from candlewick.operators import walks
 
+# The fields a candle must have.
 REQUIRED = ("ts_utc", "exchange", "symbol", "timeframe", "open", "high", "low", "close", "volume")
 # What each reason leads to under the quarantining policy.
 DECISIONS = {"SCHEMA_MISMATCH": "HALT", "GAP": "HALT", "VALUE_OUT_OF_RANGE": "QUARANTINE", "DUPLICATE_DIFFERENT_HASH": "QUARANTINE", "VALUE_ABSENCE": "QUARANTINE", "ACTIVE_ACTIVE_MISMATCH": "QUARANTINE"}
@@ -42,98 +43,81 @@ def provenance(ts: Column, cutoff: str) -> Column:
     return F.when(ts < F.to_timestamp(F.lit(cutoff)), "legacy_candle").otherwise("transaction_derived")
 
 
-def gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float) -> DataFrame:
-    """(series..., after_ts, before_ts, gap_s): consecutive distinct instants more than ``threshold_s`` apart."""
-    once = rows.where(F.col(ts).isNotNull()).select(*series, ts).distinct()
-    w = Window.partitionBy(*series).orderBy(ts)
-    d = (F.unix_micros(ts) - F.unix_micros("after_ts")) / F.lit(1e6)
-    return once.withColumn("after_ts", F.lag(ts).over(w)).where(d > threshold_s).select(*series, "after_ts", F.col(ts).alias("before_ts"), d.alias("gap_s"))
+def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float | Column) -> DataFrame:
+    """(series..., after_ts, before_ts, gap_s): consecutive distinct instants more than ``threshold_s`` apart; it may differ between series.
 
-
-def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float) -> DataFrame:
-    """The same for series that may hold a third of all rows: only buckets' first and last instants meet in one task a series.
-
-    Buckets are ``threshold_s`` wide, so a gap always spans two buckets; each bucket is reduced to its first and last instant before the shuffle.
+    Buckets are ``threshold_s`` wide, so a gap always spans two buckets; each bucket is reduced to its first and last instant before the shuffle, and only
+    those meet in one task a series. Rows without an instant play no part.
     """
-    bucket = normal.bucket(F.unix_micros(ts), max(int(threshold_s * 1_000_000), 1))
-    ends = rows.where(F.col(ts).isNotNull()).groupBy(*series, bucket.alias("bucket")).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    limit = F.greatest((F.lit(threshold_s) * 1_000_000).cast("bigint"), F.lit(1)) if not isinstance(threshold_s, Column) else F.greatest((threshold_s * 1_000_000).cast("bigint"), F.lit(1))
+    placed = rows.where(F.col(ts).isNotNull()).select(*series, ts, limit.alias("_limit"))
+    ends = placed.groupBy(*series, normal.bucket(F.unix_micros(ts), F.col("_limit")).alias("bucket")).agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.max("_limit").alias("_limit"))
     w = Window.partitionBy(*series).orderBy("bucket")
-    d = (F.unix_micros("first") - F.unix_micros("after_ts")) / F.lit(1e6)
-    return ends.withColumn("after_ts", F.lag("last").over(w)).where(d > threshold_s).select(*series, "after_ts", F.col("first").alias("before_ts"), d.alias("gap_s"))
-
+    d = F.unix_micros("first") - F.unix_micros("after_ts")
+    return ends.withColumn("after_ts", F.lag("last").over(w)).where(d > F.col("_limit")).select(*series, "after_ts", F.col("first").alias("before_ts"), (d / F.lit(1e6)).alias("gap_s"))
 
-def unordered(rows: DataFrame, series: Sequence[str], ts: str, position: str) -> DataFrame:
-    """(series..., n_rows, n_steps_back): how often an instant is before the one at the position before it; equal ones are in order."""
-    w = Window.partitionBy(*series).orderBy(position)
-    return rows.withColumn("_back", (F.col(ts) < F.lag(ts).over(w)).cast("int")).groupBy(*series).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("_back"), F.lit(0)).alias("n_steps_back"))
 
+def unordered(rows: DataFrame, series: Sequence[str], ts: str, position: str, width: int = 100_000) -> DataFrame:
+    """(series..., n_rows, n_steps_back): how often an instant is before the one at the position before it; equal ones are in order.
 
-def _walked(rows: DataFrame, series: Sequence[str], order: Sequence[str], start: Callable[[], object], step: Callable[[object, dict], tuple[object, object]], uses: Sequence[str], name: str, kind: pa.DataType, sql: str) -> DataFrame:
-    """``rows`` with a column worked out in order along each series, as a stream of sorted batches (memory holds one batch and the state)."""
-    key = F.concat_ws("\x1f", *(F.coalesce(F.col(s).cast("string"), F.lit("\x00")) for s in series))
-    ordered = rows.withColumn("__series", key).repartition("__series").sortWithinPartitions("__series", *order)
-    kept = rows.columns
+    Positions (whole numbers) are looked at in parts of ``width``; the ends of the parts, one row each, are compared along the series.
+    """
+    placed = rows.select(*series, ts, position, normal.bucket(F.col(position).cast("bigint"), width).alias("_part"))
+    inside = Window.partitionBy(*series, "_part").orderBy(position)
+    at = F.struct(F.col(position), F.col(ts))
+    parts = placed.withColumn("_back", (F.col(ts) < F.lag(ts).over(inside)).cast("int")).groupBy(*series, "_part")
+    ends = parts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_back"), F.lit(0)).alias("back"), F.min(at)[ts].alias("first"), F.max(at)[ts].alias("last"))
+    along = Window.partitionBy(*series).orderBy("_part")
+    step = F.when(F.col("first") < F.lag("last").over(along), 1).otherwise(0)
+    return ends.withColumn("_step", step).groupBy(*series).agg(F.sum("n").alias("n_rows"), F.sum(F.col("back") + F.col("_step")).alias("n_steps_back"))
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state = None, None
-        for b in batches:
-            out = []
-            columns = {c: b.column(c).to_pylist() for c in uses}
-            for i, k in enumerate(b.column("__series").to_pylist()):
-                if k != now or state is None:
-                    now, state = k, start()
-                state, value = step(state, {c: v[i] for c, v in columns.items()})
-                out.append(value)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(out, kind)], names=[*kept, name])
 
-    return ordered.mapInArrow(walk, schemas.plus(rows.schema, **{name: sql}))
+def ordered_or_quarantined(rows: DataFrame, series: Sequence[str], ts: str, position: str) -> tuple[DataFrame, DataFrame]:
+    """(kept, quarantined): series in which an instant steps back go to quarantine as a whole, with reason ``NOT_MONOTONIC``."""
+    bad = unordered(rows, series, ts, position).where("n_steps_back > 0").select(*(F.col(s).alias(f"_q_{s}") for s in series))
+    met = F.lit(True)
+    for s in series:
+        met = met & F.col(s).eqNullSafe(F.col(f"_q_{s}"))
+    return rows.join(bad, met, "left_anti"), rows.join(bad, met, "left_semi").withColumn("reason", F.lit("NOT_MONOTONIC"))
 
 
 def policy_pipeline(candles: DataFrame, tie: str) -> DataFrame:
-    """(candle_id, outcome): in order of instant and ``tie`` along each series, null fields, gaps, ranges and duplicates are checked.
+    """(candle_id, outcome): in order of instant, ``tie`` and id along each series, null fields, gaps, ranges and duplicates are checked.
 
-    ``accepted``, ``DUPLICATE_SAME_HASH`` or the reason of rejection. A rejected candle isn't what the next is compared with: after a
-    gap everything later is a gap too. The state is the last accepted instant and hash, as instants come in order.
+    ``accepted``, ``DUPLICATE_SAME_HASH`` or the reason of rejection. A rejected candle isn't what the next is compared with, so after a gap everything later is a
+    gap too: all that matters of a series is the last instant before its first gap. That comes from the ends of buckets, the accepted candle of an instant from an
+    aggregate with the instant in its key; no series is walked.
     """
+    key = ["exchange", "symbol", "timeframe"]
     checked = candles.select(
-        "candle_id", "exchange", "symbol", "timeframe", F.unix_micros("ts_utc").alias("ts"), F.col(tie).alias("tie"), F.when(lacks_field(), "SCHEMA_MISMATCH").alias("schema"),
-        F.when(out_of_range(), "VALUE_OUT_OF_RANGE").alias("range"), hashing.candle_policy_hash().alias("hash"), (F.coalesce(normal.timeframe_seconds(F.col("timeframe")), F.lit(60)) * 1_000_000).alias("bar"),
+        "candle_id", *key, "ts_utc", F.col(tie).alias("tie"), F.when(lacks_field(), "SCHEMA_MISMATCH").alias("schema"),
+        F.when(out_of_range(), "VALUE_OUT_OF_RANGE").alias("range"), hashing.candle_policy_hash().alias("hash"), (F.coalesce(normal.timeframe_seconds(F.col("timeframe")), F.lit(60))).alias("bar"),
     )
+    whole = checked.where("schema is null")  # none of the key columns is null here
+    good = whole.where("range is null")
+    first = good.groupBy(*key, "ts_utc").agg(F.min(F.struct("tie", "candle_id", "hash")).alias("first"))
+    broken = bucketed_gaps(good, [*key, "bar"], "ts_utc", F.col("bar")).groupBy(*key).agg(F.min("after_ts").alias("broken"))
+    ends = good.groupBy(*key).agg(F.max("ts_utc").alias("end")).join(broken, key, "left").select(*key, F.coalesce("broken", "end").alias("last"))  # a row a series
+    judged = whole.join(first, [*key, "ts_utc"], "left").join(ends, key, "left")
+    late = F.unix_micros("ts_utc") - F.unix_micros("last") > F.col("bar") * 1_000_000
+    outcome = (
+        F.when(F.coalesce(late, F.lit(False)), "GAP").when(F.col("range").isNotNull(), F.col("range")).when(F.col("candle_id") == F.col("first.candle_id"), "accepted")
+        .when(F.col("hash") == F.col("first.hash"), "DUPLICATE_SAME_HASH").otherwise("DUPLICATE_DIFFERENT_HASH")
+    )
+    return judged.select("candle_id", outcome.alias("outcome")).unionByName(checked.where("schema is not null").select("candle_id", F.col("schema").alias("outcome")))
 
-    def step(state: tuple, r: dict) -> tuple[tuple, str]:
-        ts, digest = state
-        if r["schema"]:
-            return state, r["schema"]
-        if ts is not None and r["ts"] - ts > r["bar"]:
-            return state, "GAP"
-        if r["range"]:
-            return state, r["range"]
-        if ts is not None and r["ts"] == ts:
-            return state, "DUPLICATE_SAME_HASH" if digest == r["hash"] else "DUPLICATE_DIFFERENT_HASH"
-        return (r["ts"], r["hash"]), "accepted"
-
-    got = _walked(checked, ["exchange", "symbol", "timeframe"], ["ts", "tie", "candle_id"], lambda: (None, None), step, ["schema", "ts", "range", "hash", "bar"], "outcome", pa.string(), "string")
-    return got.select("candle_id", "outcome")
-
-
-def throttled(rows: DataFrame, series: Sequence[str], ts: str, seconds: float, tie: str) -> DataFrame:
-    """Rows at least ``seconds`` after the last accepted one of their series; the first is accepted."""
-    least = int(seconds * 1_000_000)
-
-    def step(last: tuple, r: dict) -> tuple[tuple, bool]:
-        ok = r["__us"] is not None and (last[0] is None or r["__us"] - last[0] >= least)
-        return ((r["__us"],) if ok else last), ok
 
-    timed = rows.withColumn("__us", F.unix_micros(ts))
-    return _walked(timed, series, ["__us", tie], lambda: (None,), step, ["__us"], "__ok", pa.bool_(), "boolean").where("__ok").drop("__us", "__ok")
+def throttled(rows: DataFrame, series: Sequence[str], ts: str, seconds: float, tie: str, bucket_s: int = 3600) -> DataFrame:
+    """Rows at least ``seconds`` after the last accepted one of their series; the first is accepted. Rows without an instant aren't."""
+    us = F.unix_micros(ts)
+    block = normal.bucket(us, max(bucket_s, int(seconds * 64) + 1) * 1_000_000)
+    timed = rows.where(F.col(ts).isNotNull())
+    return walks.events(timed, series, [ts, tie], us, max(int(seconds * 1_000_000), 1), False, block, ("__ok", "__n")).where("__ok = 1").drop("__ok", "__n")
 
 
-def blocked(rows: DataFrame, series: Sequence[str], ts: str, ratio: str, high: float, gap: float, tie: str) -> DataFrame:
+def blocked(rows: DataFrame, series: Sequence[str], ts: str, ratio: str, high: float, gap: float, tie: str, bucket_s: int = 3600) -> DataFrame:
     """``rows`` with ``blocked``: true from the row whose ratio reaches ``high`` until one falls below ``high - gap``. A null ratio changes nothing."""
-
-    def step(on: tuple, r: dict) -> tuple[tuple, bool]:
-        x = r[ratio]
-        now = on[0] if x is None else x >= high or (on[0] and x >= high - gap)
-        return (now,), now
-
-    return _walked(rows, series, [ts, tie], lambda: (False,), step, [ratio], "blocked", pa.bool_(), "boolean")
+    x = F.col(ratio)
+    decides = F.when(x >= high, True).when(x < high - gap, False)
+    us = F.unix_micros(ts) if dict(rows.dtypes)[ts] == "timestamp" else F.col(ts).cast("bigint") * 1_000_000  # whole seconds will do too
+    return walks.followed(rows, series, [ts, tie], decides, normal.bucket(us, bucket_s * 1_000_000), "blocked", F.lit(False))

@@ -243,12 +243,25 @@ def range_violations(spark, d):
     return _t(spark, d, "candles").select("candle_id", reason.alias("reason")).where("reason is not null").withColumn("decision", quality.decision(F.col("reason")))
 
 
-@query()
+_LACKS = "open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL OR ts_utc IS NULL OR exchange IS NULL OR symbol IS NULL OR timeframe IS NULL"
+_WRONG = "coalesce(least(open, high, low, close) <= 0 OR volume < 0 OR high < greatest(open, close, low) OR low > least(open, close), FALSE)"
+
+
+@query(f"""WITH RECURSIVE n AS (SELECT candle_id, exchange || ' ' || symbol || ' ' || timeframe AS s, epoch_us(ts_utc) AS us, struct_pack(o := open, h := high, l := low, c := close, v := volume, w := value) AS v, {_WRONG} AS wrong,
+CASE timeframe WHEN '1m' THEN 60 WHEN '5m' THEN 300 WHEN '15m' THEN 900 WHEN '1h' THEN 3600 WHEN '4h' THEN 14400 WHEN '1d' THEN 86400 ELSE 60 END * 1000000 AS bar,
+row_number() OVER (PARTITION BY exchange, symbol, timeframe ORDER BY ts_utc, source_ingested_at NULLS FIRST, candle_id) AS rn FROM candles WHERE NOT ({_LACKS})),
+o AS (SELECT candle_id, s, rn, us, v, CASE WHEN wrong THEN 'VALUE_OUT_OF_RANGE' ELSE 'accepted' END AS outcome, CASE WHEN NOT wrong THEN us END AS last_us, CASE WHEN NOT wrong THEN v END AS last_v FROM n WHERE rn = 1
+UNION ALL SELECT q.candle_id, q.s, q.rn, q.us, q.v, q.outcome, CASE WHEN q.outcome = 'accepted' THEN q.us ELSE q.last_us END, CASE WHEN q.outcome = 'accepted' THEN q.v ELSE q.last_v END FROM (
+SELECT n.*, o.last_us, o.last_v, CASE WHEN n.us - o.last_us > n.bar THEN 'GAP' WHEN n.wrong THEN 'VALUE_OUT_OF_RANGE' WHEN n.us = o.last_us THEN CASE WHEN n.v IS NOT DISTINCT FROM o.last_v THEN 'DUPLICATE_SAME_HASH' ELSE 'DUPLICATE_DIFFERENT_HASH' END
+ELSE 'accepted' END AS outcome FROM o JOIN n ON n.s = o.s AND n.rn = o.rn + 1) q)
+SELECT candle_id, outcome FROM o UNION ALL SELECT candle_id, 'SCHEMA_MISMATCH' AS outcome FROM candles WHERE {_LACKS}""")
 def policy_pipeline(spark, d):
     return quality.policy_pipeline(_t(spark, d, "candles"), "source_ingested_at")
 
 
-@query()
+@query("""WITH RECURSIVE n AS (SELECT depth_id, exchange || ' ' || symbol AS s, epoch_us(ts_utc) AS us, row_number() OVER (PARTITION BY exchange, symbol ORDER BY ts_utc, depth_id) AS rn FROM orderbook_depth WHERE ts_utc IS NOT NULL),
+r AS (SELECT depth_id, s, rn, us AS last, TRUE AS ok FROM n WHERE rn = 1
+UNION ALL SELECT n.depth_id, n.s, n.rn, CASE WHEN n.us - r.last >= 1000000 THEN n.us ELSE r.last END, n.us - r.last >= 1000000 FROM r JOIN n ON n.s = r.s AND n.rn = r.rn + 1) SELECT depth_id FROM r WHERE ok""")
 def throttled_depth(spark, d):
     """Depth rows of each series at least a second after the last accepted one."""
     o = _t(spark, d, "orderbook_depth").select("exchange", "symbol", "ts_utc", "depth_id")

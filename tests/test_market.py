@@ -2,14 +2,18 @@
 
 import datetime as dt
 import random
+from bisect import bisect_left
 from decimal import Decimal
+from itertools import accumulate
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from candlewick import schemas
 from candlewick.functions import hashing, normal, paths
-from candlewick.operators import asof, bars, book, health, quality, reconcile, replicas, tiers
+from candlewick.operators import asof, bars, book, health, quality, reconcile, replicas, tiers, walks
 from candlewick.plans import market_queries
 from candlewick.sources import catalog, sinks
 from candlewick.streaming import live
@@ -142,12 +146,13 @@ def test_policy_pipeline_ignores_what_it_rejected(spark):
     assert got == {1: "accepted", 2: "VALUE_OUT_OF_RANGE", 3: "accepted", 4: "DUPLICATE_SAME_HASH", 5: "DUPLICATE_DIFFERENT_HASH", 6: "SCHEMA_MISMATCH", 7: "accepted", 8: "GAP", 9: "GAP", 10: "accepted"}
 
 
-def test_gaps_both_ways(spark):
+def test_gaps(spark):
     r = random.Random(1)
     rows = [("a", at(r.randrange(100_000))) for _ in range(60)] + [("a", None), ("b", at(5)), ("b", at(5))]
     df = spark.createDataFrame(rows, "k string, ts timestamp")
-    a, b = (sorted(map(tuple, f(df, ["k"], "ts", 300).collect())) for f in (quality.gaps, quality.bucketed_gaps))
-    assert a == b and a
+    times = sorted({t for k, t in rows if k == "a" and t})
+    want = [("a", x.replace(tzinfo=None), y.replace(tzinfo=None), (y - x).total_seconds()) for x, y in zip(times, times[1:]) if (y - x).total_seconds() > 300]
+    assert sorted(map(tuple, quality.bucketed_gaps(df, ["k"], "ts", 300).collect())) == want and want
 
 
 def test_throttle_counts_from_the_last_accepted(spark):
@@ -155,6 +160,95 @@ def test_throttle_counts_from_the_last_accepted(spark):
     assert sorted(r.i for r in quality.throttled(df, ["k"], "ts", 1.0, "i").collect()) == [0, 2, 4]
 
 
+def sum_events(amounts, need):
+    total, out = 0, []
+    for a in amounts:
+        total += max(a or 0, 0)
+        out.append(total >= need)
+        total = 0 if total >= need else total
+    return out
+
+
+@given(st.lists(st.tuples(st.integers(0, 40), st.one_of(st.none(), st.integers(0, 9), st.just(10**25))), max_size=40), st.integers(1, 30), st.integers(1, 50))
+@settings(max_examples=60, deadline=None)
+def test_steps_of_a_block_are_those_of_a_walk(rows, need, entry_parts):
+    marks = list(accumulate(a or 0 for _, a in rows))
+    if not marks:
+        return
+    first, last, count = walks._steps(marks, need)
+    for entry in range(need):  # the sum since the last event before the block
+        i = bisect_left(first, need - entry)
+        inside = sum_events([entry] + [a for _, a in rows], need)[1:]
+        at = [k for k, e in enumerate(inside) if e]
+        if i == len(first):
+            assert not at
+        else:
+            assert count[i] == len(at) and marks[at[-1]] == last[i]
+
+
+def test_events_of_a_hot_series_in_many_blocks(spark):
+    r = random.Random(21)
+    rows = [("a" if i % 3 else r.choice("bc"), i, r.choice([0, 1, 2, 3, None, 50]), r.randrange(100)) for i in range(1500)] + [(None, 1, 9, 0), (None, 1, 9, 1)]
+    df = spark.createDataFrame(rows, "k string, t int, amount int, tie int").repartition(5)
+    got = {}
+    for x in walks.events(df, ["k"], ["t", "tie"], F.col("amount").cast("bigint"), 11, True, F.floor(F.col("t") / 50)).collect():
+        got.setdefault(x.k, []).append((x.t, x.tie, bool(x.event), x.n_before))
+    for k in (None, "a", "b", "c"):
+        own = sorted((t, tie, a) for kk, t, a, tie in rows if kk == k)
+        events = sum_events([a for *_, a in own], 11)
+        before = [0, *accumulate(map(int, events))]
+        assert sorted(got[k]) == [(t, tie, e, n) for (t, tie, _), e, n in zip(own, events, before)]
+    assert walks.events(df.limit(0), ["k"], ["t", "tie"], F.col("amount"), 11, True, F.col("t")).collect() == []
+
+
+def test_no_shuffle_is_by_series_alone_where_rows_are_moved(spark):
+    """Of one series only, rows of volume bars, throttles and blocking land in several tasks."""
+    t = ticks(spark, [(i * 60, 10, 1) for i in range(3000)])
+    bucket = normal.bucket(F.unix_micros("ts_utc"), 3_600_000_000)
+    walked = walks.events(t, ["exchange", "symbol"], ["ts_utc", "seq"], F.col("quantity").cast("bigint"), 7, True, bucket)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert walked.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(out(bars.resample(t, "vol_7"), "volume")) == 3000 // 7
+    assert quality.throttled(t, ["exchange", "symbol"], "ts_utc", 90.0, "seq").count() == 1500
+
+
+def test_steps_back_across_parts(spark):
+    r = random.Random(2)
+    rows = [(r.choice("ab"), i, at(r.choice([i, i - 3]))) for i in range(500)] + [("a", 501, None), ("c", 1, None)]
+    got = {x.k: (x.n_rows, x.n_steps_back) for x in quality.unordered(spark.createDataFrame(rows, "k string, i int, ts timestamp"), ["k"], "ts", "i", width=37).collect()}
+    for k in "abc":
+        own = [t for kk, _, t in sorted(rows, key=lambda x: x[1]) if kk == k]
+        assert got[k] == (len(own), sum(1 for x, y in zip(own, own[1:]) if x and y and y < x))
+    kept, bad = quality.ordered_or_quarantined(spark.createDataFrame(rows, "k string, i int, ts timestamp"), ["k"], "ts", "i")
+    assert {x.k for x in kept.collect()} == {"c"} and {(x.k, x.reason) for x in bad.select("k", "reason").distinct().collect()} == {("a", "NOT_MONOTONIC"), ("b", "NOT_MONOTONIC")}
+
+
+def test_policy_pipeline_against_a_walk(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(600):
+        m = i // 4 + (40 if i > 500 else 0)
+        rows.append(candle(i, m, h=r.choice([2, 2, 2, 0]), o=r.choice([1, 1, 1, None]), c=r.choice([1, 2]), symbol=r.choice(["KRW-A", "KRW-B"])))
+    got = {x.candle_id: x.outcome for x in quality.policy_pipeline(spark.createDataFrame(rows, CANDLE), "candle_id").collect()}
+    state: dict = {}
+    for c in rows:
+        last = state.get(c[3])
+        if c[5] is None:
+            want = "SCHEMA_MISMATCH"
+        elif last and (c[1] - last[0]).total_seconds() > 60:
+            want = "GAP"
+        elif c[6] == 0:
+            want = "VALUE_OUT_OF_RANGE"
+        elif last and last[0] == c[1]:
+            want = "DUPLICATE_SAME_HASH" if last[1] == c[5:] else "DUPLICATE_DIFFERENT_HASH"
+        else:
+            want, state[c[3]] = "accepted", (c[1], c[5:])
+        assert got[c[0]] == want, c
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([("GAP",), ("VALUE_OUT_OF_RANGE",), (None,)], "r string")
     pick = lambda p: [x[0] for x in df.select(quality.decision(F.col("r"), p)).collect()]
@@ -213,8 +307,14 @@ def test_hashes(spark):
     text = "2025-01-06T00:00:00.000000+00:00|" + "|".join(f"{x}." + "0" * 18 for x in (1, 2, 1, 1, 1))
     assert c.select(hashing.candle_hash()).first()[0] == hashlib.sha256(text.encode()).hexdigest()
     assert c.select(hashing.scaled(F.lit(Decimal("1.25")), 2)).first()[0] == 125
-    with pytest.raises(Exception, match="more digits"):
-        c.select(hashing.scaled(F.lit(Decimal("1.255")), 2)).collect()
+    for digits, x in ((2, "1.255"), (8, "1.00000000001"), (0, "0.000000000000000001")):
+        with pytest.raises(Exception, match="more digits"):
+            c.select(hashing.scaled(F.lit(Decimal(x)), digits)).collect()
+    assert c.select(hashing.scaled(F.lit(Decimal("-12345678901234.000000000000000001")), 18)).first()[0] == -12345678901234000000000000000001
+    assert c.select(hashing.unscaled(F.lit(125), 2), hashing.unscaled(F.lit(-(10**18) - 1), 18), hashing.unscaled(F.lit(7), 0)).first()[:] == (Decimal("1.25"), Decimal("-1.000000000000000001"), 7)
+    assert c.select(hashing.units(F.lit(Decimal("-12345.0000000000000067")), 16)).first()[0] == -123450000000000000067
+    got = c.select(*(hashing.half_even(F.lit(x), 2) for x in ("1.005", "1.015", "-2.345", "x", "1.0051")), hashing.half_even(F.lit("0.0000000000000000015"))).first()
+    assert tuple(got) == (Decimal("1.00"), Decimal("1.02"), Decimal("-2.34"), None, Decimal("1.01"), Decimal("0.000000000000000002"))
 
 
 def test_paths(spark):
