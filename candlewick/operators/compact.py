@@ -11,10 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import hilbert, normal, paths, schemas
+from candlewick.plans import placement
 from candlewick.plans.lineage import cut, scratch, stored
 
 RECORD = ("ts_utc", "exchange", "symbol", "baseline_seq", "side", "level", "price", "quantity")
@@ -22,7 +23,6 @@ PARTITION = ("p_exchange", "p_symbol", "p_date")
 CODE = "hilbert_code"
 BITS, CELL_BITS = 20, 20  # bits an axis; leading bits of a code that make a histogram cell
 TARGET_ROWS = 1_000_000
-LANE_ROWS = 1_000_000  # partitions whose sizes are summed up by one task
 
 
 def digest(seed: int) -> Column:
@@ -61,46 +61,19 @@ def _partition() -> list[Column]:
 
 
 def placed(rows: DataFrame, target_rows: int = TARGET_ROWS) -> tuple[DataFrame, int]:
-    """Distinct records with partition, code, ``file_no`` within the partition and ``task``; and how many tasks there are.
+    """Distinct records with partition, code, ``file_no`` within the partition and ``task``, by the exact histogram of code cells (``placement.placed``). Copies go before the shuffle by partial aggregation."""
+    return placement.placed(_records(rows), PARTITION, "cell", "d1", target_rows)
 
-    The histogram counts every record. A partition of n records is cut into ceil(n / target_rows) files at equal counts; a cell that
-    alone exceeds a file is cut by digest, so no file exceeds twice the target whatever the skew. A task holds one file of a partition of several,
-    or whole smaller partitions up to the target (fewer where that would leave cores idle). Copies go before the shuffle by partial aggregation.
-    """
-    spark = rows.sparkSession
+
+def _records(rows: DataFrame) -> DataFrame:
     once = rows.select(*RECORD).distinct()
-    records = stored(coded(once.select(*RECORD, *_partition()), *RECORD, *PARTITION).withColumn("cell", F.shiftright(CODE, 3 * BITS - CELL_BITS)), "coded")
-    cells = records.groupBy(*PARTITION, "cell").agg(F.count(F.lit(1)).alias("n"))
-    sizes = cut(cells.groupBy(*PARTITION).agg(F.sum("n").alias("total")))  # a row a partition
-    n_partitions, n_rows = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    share = max(1, min(target_rows, n_rows // (2 * spark.sparkContext.defaultParallelism)))
-    files = F.ceil(F.col("total") / F.lit(target_rows)).cast("bigint")
-    small = F.when(F.col("files") == 1, F.col("total")).otherwise(0)
-    # task numbers: prefix sums within lanes of partitions, then over lanes
-    lane = sizes.withColumns({"files": files, "lane": F.pmod(F.xxhash64(*PARTITION), F.lit(n_partitions // LANE_ROWS + 1))})
-    before = Window.partitionBy("lane").orderBy(*PARTITION).rowsBetween(Window.unboundedPreceding, -1)
-    lane = lane.withColumns({"pack": (F.coalesce(F.sum(small).over(before), F.lit(0)) / F.lit(share)).cast("bigint"), "own": F.coalesce(F.sum(F.when(F.col("files") > 1, F.col("files")).otherwise(0)).over(before), F.lit(0))})
-    lane = cut(lane)
-    ends = lane.groupBy("lane").agg((F.max("pack") + 1).alias("packs"), F.sum(F.when(F.col("files") > 1, F.col("files")).otherwise(0)).alias("owns"))
-    up_to = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)  # over one row a lane
-    bases = ends.select(F.col("lane").alias("l"), "packs", F.coalesce(F.sum(F.col("packs") + F.col("owns")).over(up_to), F.lit(0)).alias("base"))
-    n_tasks = ends.agg(F.coalesce(F.sum(F.col("packs") + F.col("owns")), F.lit(0))).first()[0]
-    first_task = F.when(F.col("files") > 1, F.col("base") + F.col("packs") + F.col("own")).otherwise(F.col("base") + F.col("pack"))
-    plan = lane.join(bases, F.col("lane") == F.col("l")).select(*PARTITION, "files", F.ceil(F.col("total") / F.col("files")).alias("size"), first_task.alias("first_task"))
-    earlier = F.coalesce(F.sum("n").over(Window.partitionBy(*PARTITION).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # at most 2**CELL_BITS rows a partition
-    cuts = cells.withColumn("before", earlier).join(plan, list(PARTITION)).select(
-        *PARTITION, "cell", "files", "first_task", (F.col("before") / F.col("size")).cast("bigint").alias("first"), F.ceil(F.col("n") / F.col("size")).alias("parts")
-    )
-    file_no = F.least(F.col("first") + F.pmod("d1", "parts"), F.col("files") - 1)
-    got = records.join(cuts, [*PARTITION, "cell"]).withColumn("file_no", file_no)
-    return got.select(*RECORD, *PARTITION, CODE, "file_no", (F.col("first_task") + F.when(F.col("files") > 1, F.col("file_no")).otherwise(0)).alias("task")), int(n_tasks)
+    got = coded(once.select(*RECORD, *_partition()), *RECORD, *PARTITION).withColumn("cell", F.shiftright(CODE, 3 * BITS - CELL_BITS))
+    return stored(got.drop("d2"), "coded")
 
 
 def write(rows: DataFrame, path: str, target_rows: int = TARGET_ROWS, keep: tuple[str, ...] = ()) -> None:
     """The records of ``rows``, each exactly once, as Parquet partitioned by exchange, symbol and day, clustered by code; ``keep`` may name ``CODE``."""
-    records, n_tasks = placed(rows, target_rows)
-    files = records.repartitionById(max(n_tasks, 1), F.col("task").cast("int")).sortWithinPartitions(*PARTITION, "file_no", CODE)
-    files.select(*RECORD, *keep, *PARTITION).write.option("maxRecordsPerFile", 2 * target_rows).partitionBy(*PARTITION).parquet(path)
+    placement.write(_records(rows), path, PARTITION, "cell", "d1", [CODE], PARTITION, target_rows, "errorifexists", () if CODE in keep else (CODE,))
 
 
 def _sums(records: DataFrame, name: str) -> DataFrame:

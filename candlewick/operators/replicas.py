@@ -5,7 +5,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NO_NODE = "zzz_DEFAULT"  # sorts after every node
+from candlewick.functions import hashing
+
+# The name that stands for no node (it sorts after every node), and the columns by which two rows are one logical record.
+NO_NODE = "zzz_DEFAULT"
 TICK_KEY = ("exchange", "symbol", "ts_utc", "price", "quantity", "side")
 ORDERBOOK_KEY = ("exchange", "symbol", "ts_utc", "event_type", "side", "level", "price", "quantity")
 CANDLE_KEY = ("exchange", "symbol", "timeframe", "ts_utc")
@@ -54,6 +57,37 @@ def folded(rows: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
     return group.select(*key, F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), first, step).alias("f")).select(*key, F.col("f.node").alias("node_id"), "f.raw_json", F.col("f.skipped").alias("n_skipped"), F.col("f.conflicts").alias("n_conflicts"))
 
 
+def reduced(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows with one kept of each key, by the rules of ``folded``; all columns of the kept row."""
+    return _kept(rows, key, order).select("f.kept.r.*")
+
+
+def conflicting(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(key..., kept, other): the pairs that ``folded`` counts as conflicts, as structs of whole rows: what was kept until then and what differed from it."""
+    pairs = _kept(rows, key, order).select(*(F.col(f"_{k}").alias(k) for k in key), F.explode("f.pairs").alias("p"))
+    return pairs.select(*key, F.col("p.a").alias("kept"), F.col("p.b").alias("other"))
+
+
+def _kept(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(_key..., f): the fold over each key's rows in ``order``, one a (node, raw_json). Different payloads of one logical record are few; equal ones are reduced before the shuffle."""
+    node = node_priority(F.col("node_id"))
+    row = F.struct(F.struct(*order).alias("o"), node.alias("node"), F.col("raw_json").alias("raw"), F.struct(*rows.columns).alias("r"))
+    once = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in key), node.alias("_node"), F.col("raw_json").alias("_raw")).agg(F.min(row).alias("x"))
+    group = once.groupBy(*(f"_{k}" for k in key)).agg(F.array_sort(F.collect_list("x")).alias("g"))
+    pair = F.struct(F.col("g")[0]["r"].alias("a"), F.col("g")[0]["r"].alias("b"))
+    start = F.struct(F.col("g")[0].alias("kept"), F.filter(F.array(pair), lambda _: F.lit(False)).alias("pairs"))
+
+    def step(a: Column, x: Column) -> Column:
+        kept = a["kept"]
+        differ = kept["raw"].isNotNull() & x["raw"].isNotNull() & (kept["raw"] != x["raw"])
+        return F.struct(
+            F.when(differ & (x["node"] < kept["node"]), x).otherwise(kept).alias("kept"),
+            F.when(differ, F.concat(a["pairs"], F.array(F.struct(kept["r"].alias("a"), x["r"].alias("b"))))).otherwise(a["pairs"]).alias("pairs"),
+        )
+
+    return group.select(*(f"_{k}" for k in key), F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), start, step).alias("f"))
+
+
 def classified_metadata(rows: DataFrame) -> DataFrame:
     """(exchange, symbol, fetched_at, data_hash, outcome): the first of each key is ``written``, one with its hash ``skipped``, another ``quarantined``."""
     key = ["exchange", "symbol", "fetched_date"]
@@ -94,3 +128,13 @@ def folded_v11(rows: DataFrame, tie: str, body: Sequence[str] = TICK_KEY) -> Dat
 
     f = F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), start, step)
     return group.select(*body, f.alias("f")).select(*body, "f.kept", F.col("f.skipped").alias("n_skipped"), F.col("f.conflicts").alias("n_conflicts"))
+
+
+def duplicate_status(candles: DataFrame, key: Sequence[str] = CANDLE_KEY, tie: str = "candle_id", digest: Column | None = None) -> DataFrame:
+    """(``tie``, status) of each row against the first of its key by ``tie``: ``UNIQUE`` (the first), ``SAME_HASH`` or ``HASH_CONFLICT``, by ``digest`` (the candle hash by default). Null key parts are values."""
+    c = candles.select(F.col(tie), *key, (hashing.candle_hash() if digest is None else digest).alias("_h"))
+    first = c.groupBy(*key).agg(F.min(F.struct(tie, "_h")).alias("_f")).withColumnsRenamed({k: f"_k_{k}" for k in key})
+    met = F.lit(True)
+    for k in key:
+        met = met & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return c.join(first, met).select(tie, F.when(F.col(tie) == F.col(f"_f.{tie}"), "UNIQUE").when(F.col("_h").eqNullSafe(F.col("_f._h")), "SAME_HASH").otherwise("HASH_CONFLICT").alias("status"))

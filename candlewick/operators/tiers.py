@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick import schemas
-from candlewick.functions import hashing
+from candlewick.functions import hashing, paths
 from candlewick.operators import book
+from candlewick.plans import placement
 from candlewick.plans.lineage import scratch
 from candlewick.sources import catalog
 
@@ -17,55 +18,112 @@ def _instants(rows: DataFrame) -> DataFrame:
 
 
 def snapshot_hash() -> Column:
-    """16 hex digits over exchange, symbol, sequence and both sides as they came."""
-    levels = lambda c: F.concat_ws(",", F.transform(F.col(c), lambda x: F.concat(x["price"].cast("string"), F.lit("@"), x["quantity"].cast("string"))))
-    return hashing.short_id(F.col("exchange"), F.col("symbol"), F.unix_micros("ts_utc").cast("string"), levels("bids"), levels("asks"))
-
-
-def rows_of(wal: DataFrame, channel: str) -> DataFrame:
-    """Log records of a channel as rows of its table. Depth frames are numbered per file in order; a change lacking side, price or quantity raises."""
+    """16 hex digits over the compact JSON text, keys in order, of asks, baseline_seq, bids, exchange and symbol; prices and quantities as text without trailing zeros."""
+    number = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", ""), F.lit('"'))
+    levels = lambda c: F.concat(F.lit("["), F.concat_ws(",", F.transform(c, lambda x: F.concat(F.lit("["), number(x["price"]), F.lit(","), number(x["quantity"]), F.lit("]")))), F.lit("]"))
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(F.coalesce(F.col(c), F.lit("")).alias("v"))), r'^\{"v":(.*)\}$', 1)
+    side = lambda c: F.when(F.col(c).isNull(), F.lit("[]")).otherwise(levels(F.col(c)))
+    seq = F.unix_micros("ts_utc").cast("string")
+    body = F.concat(F.lit('{"asks":'), side("asks"), F.lit(',"baseline_seq":'), seq, F.lit(',"bids":'), side("bids"), F.lit(',"exchange":'), quoted("exchange"), F.lit(',"symbol":'), quoted("symbol"), F.lit("}"))
+    return F.substring(F.sha2(body, 256), 1, 16)
+
+
+def rows_of(wal: DataFrame, channel: str, *carry: str) -> DataFrame:
+    """Log records of a channel as rows of its table, with columns ``carry``. Depth rows have the ordinal of their frame within its file (``line``) as sequence; a change lacking side, price or quantity raises."""
     events = _instants(wal)
     if channel == "transaction":
-        return events.select(*schemas.schema("tick.v1").names)
+        return events.select(*schemas.schema("tick.v1").names, *carry)
     if channel == "orderbooksnapshot":
         keyed = events.withColumns({"baseline_seq": F.unix_micros("ts_utc"), "payload_hash": snapshot_hash()})
-        return book.flatten_snapshots(keyed).select(*schemas.schema("orderbook_snapshot.v1").names)
+        return book.flatten_snapshots(keyed).select(*schemas.schema("orderbook_snapshot.v1").names, *carry)
     if channel == "orderbookdepth":
         c = F.col("c")
         whole = c["side"].isNotNull() & c["price"].isNotNull() & c["quantity"].isNotNull()
-        ordered = events if "ingest_seq" in events.columns else events.withColumn("ingest_seq", F.lit(None).cast("bigint"))
-        flat = ordered.withColumn("c", F.explode("changes")).withColumn("c", F.when(whole, c).otherwise(F.raise_error(F.lit("a change lacks side, price or quantity"))))
-        return flat.withColumns({k: F.col(f"c.{k}") for k in ("side", "price", "quantity")}).select(*schemas.schema("orderbook_depth.v1").names)
+        flat = events.withColumn("ingest_seq", F.col("line")).withColumn("c", F.explode("changes")).withColumn("c", F.when(whole, c).otherwise(F.raise_error(F.lit("a change lacks side, price or quantity"))))
+        return flat.withColumns({k: F.col(f"c.{k}") for k in ("side", "price", "quantity")}).select(*schemas.schema("orderbook_depth.v1").names, *carry)
     raise ValueError(f"unknown channel {channel!r}")
 
 
-def compact_segments(spark: SparkSession, wal_path: str, out: str, channel: str) -> None:
-    """L1: pending segments become Parquet under exchange, symbol, day, sorted by instant; overwrites the days it holds, so running it again changes nothing."""
-    rows = rows_of(catalog.wal(spark, wal_path, channel), channel).withColumn("date", F.to_date("ts_utc"))
-    keys = ["exchange", "symbol", "date"]
-    rows.repartition(*keys).sortWithinPartitions(*keys, "ts_utc", "received_at").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(out)
+def snapshots_as_depth(snapshots: DataFrame) -> DataFrame:
+    """Snapshot events (arrays of levels) as rows of the depth table, to recover a book from them: bids, then asks, each level sets its price; ``ingest_seq`` numbers nothing and is null."""
+    keyed = snapshots.withColumns({"baseline_seq": F.unix_micros("ts_utc"), "payload_hash": F.lit(None).cast("string")})
+    want = schemas.schema("orderbook_depth.v1")
+    flat = book.flatten_snapshots(keyed)
+    return flat.select(*((F.col(f.name) if f.name in flat.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in want.fields))
 
 
-def merged(rows: DataFrame, unit: str) -> DataFrame:
-    """Rows with ``date`` (and ``hour`` for unit ``hour``), brought together by series and unit and sorted: what L2 and L3 write.
+def segment_id(path: Column) -> Column:
+    """The same for a segment whatever its state: sealed or compacted."""
+    return hashing.short_id(F.regexp_replace(path, r"(\.sealed)?(\.compacted)?$", ""))
+
 
-    A day of one series may be large; it is split into files by instant, as many as the row count asks for, by the writer's row limit.
+def write_l1(rows: DataFrame, out: str) -> None:
+    """Rows with ``file``, the log segment they are from, as Parquet by exchange, symbol, day and segment, sorted by instant.
+
+    A segment has folders of its own, which are replaced if it is written again: repeating changes nothing, and no other segment's rows are touched, whether or not it is still in the log.
     """
+    keyed = rows.withColumns({"date": F.coalesce(F.to_date("ts_utc").cast("string"), F.lit("unknown")), "segment": segment_id(F.col("file"))}).drop("file")
+    placement.by_time(keyed, out, ["exchange", "symbol", "date", "segment"], "ts_utc", ["ts_utc", "received_at"], mode="overwrite")
+
+
+def compact_segments(spark: SparkSession, wal_path: str, out: str, channel: str, upto: str | None = None, since: str | None = None, until: str | None = None) -> int:
+    """L1: pending segments of a channel (sealed, without a marker) are written by ``write_l1`` and get their markers; returns how many there were.
+
+    ``upto`` freezes the list at segments whose name's instant isn't later; ``since`` and ``until`` choose days of the log (``date=``, or a folder of that name), both inclusive.
+    Active segments and markers aren't read. A run that died before its markers is repeated without harm.
+    """
+    listing = catalog.pending(catalog.files(spark, wal_path, "*.sealed*")).where(F.col("path").contains(f"/{channel}/"))
+    if upto is not None:
+        listing = listing.where(paths.segment_fields(F.element_at(F.split("path", "/"), -1))["segment_ts"] <= upto)
+    day = F.regexp_extract("path", r"/(?:date=)?(\d{4}-\d{2}-\d{2})/", 1)
+    for bound, keep in ((since, day >= since), (until, day <= until)):
+        if bound is not None:
+            listing = listing.where(keep)
+    names = [r.path for r in listing.select("path").collect()]  # the backlog of one run; a path a segment
+    if names:
+        write_l1(rows_of(catalog.wal_files(spark, names, channel), channel, "file"), out)
+        catalog.touch(spark, [f"{n}.compacted" for n in names])
+    return len(names)
+
+
+def merged(rows: DataFrame, unit: str) -> DataFrame:
+    """Rows with ``date`` (and ``hour`` for unit ``hour``) of their instant: the folders that L2 and L3 write."""
     if unit not in ("hour", "day"):
         raise ValueError(f"unit is hour or day, not {unit!r}")
-    parts = {"date": F.to_date("ts_utc"), **({"hour": F.date_format("ts_utc", "HH")} if unit == "hour" else {})}
-    keys = ["exchange", "symbol", *parts]
-    return rows.withColumns(parts).repartition(*keys).sortWithinPartitions(*keys, "ts_utc", "received_at")
+    return rows.withColumns({"date": F.to_date("ts_utc"), **({"hour": F.date_format("ts_utc", "HH")} if unit == "hour" else {})})
 
 
 def write_merged(rows: DataFrame, out: str, unit: str) -> None:
+    """Replaces the hours or days that occur in ``rows``. A large one is cut into files by instant, by exact counts; small ones share tasks."""
     keys = ["exchange", "symbol", "date", *(["hour"] if unit == "hour" else [])]
-    merged(rows, unit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).partitionBy(*keys).parquet(out)
-
-
-def merge_tier(spark: SparkSession, source: str, out: str, unit: str) -> None:
-    """L2 (hours) from L1, or L3 (days) from L2; each hour holds its own rows only."""
-    write_merged(spark.read.parquet(source).drop("date", "hour"), out, unit)
+    placement.by_time(merged(rows, unit), out, keys, "ts_utc", ["ts_utc", "received_at"], mode="overwrite")
+
+
+def merge_tier(spark: SparkSession, source: str, out: str, unit: str, since: str | None = None, until: str | None = None) -> None:
+    """L2 (hours) from L1, or L3 (days) from L2; each hour holds its own rows only. ``since`` and ``until`` are days of the source's folders, both inclusive: history is promoted so."""
+    rows = spark.read.parquet(source)
+    for bound, keep in ((since, F.col("date").cast("string") >= since), (until, F.col("date").cast("string") <= until)):
+        rows = rows if bound is None else rows.where(keep)
+    write_merged(rows.drop("date", "hour", "segment"), out, unit)
+
+
+def verify_merge(source: DataFrame, merged_: DataFrame) -> DataFrame:
+    """(exchange, symbol, n_source, n_merged, equal): counts and two xors of row digests of each series in two tiers, before the lower one is given up."""
+    names = [c for c in source.columns if c in merged_.columns and c not in ("date", "hour", "segment", "node")]
+    sums = lambda df, n: df.groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias(f"n_{n}"), F.bit_xor(F.xxhash64(F.lit(1), *names)).alias(f"x_{n}"), F.bit_xor(F.xxhash64(F.lit(2), *names)).alias(f"y_{n}"))
+    both = sums(source, "source").join(sums(merged_, "merged"), ["exchange", "symbol"], "full_outer")
+    same = lambda p: F.col(f"{p}_source").eqNullSafe(F.col(f"{p}_merged"))
+    return both.select("exchange", "symbol", F.coalesce("n_source", F.lit(0)).alias("n_source"), F.coalesce("n_merged", F.lit(0)).alias("n_merged"), (same("n") & same("x") & same("y")).alias("equal"))
+
+
+def removable_segments(listing: DataFrame, now: Column, grace_s: int = 86_400, archived: DataFrame | None = None, grace_unarchived_s: int = 7 * 86_400) -> DataFrame:
+    """Sealed segments of a listing (path, modified) whose marker is at least ``grace_s`` old; with ``archived`` (path), those that aren't in it only after ``grace_unarchived_s``. A query: nothing is removed."""
+    marker = listing.where(F.col("path").endswith(".sealed.compacted")).select(F.regexp_replace("path", r"\.compacted$", "").alias("path"), "modified")
+    age = (F.unix_micros(now) - F.unix_micros("modified")) / F.lit(1e6)
+    if archived is None:
+        return marker.where(age >= grace_s).select("path")
+    known = marker.join(archived.select("path").distinct().withColumn("_archived", F.lit(True)), "path", "left")
+    return known.where(age >= F.when(F.col("_archived"), grace_s).otherwise(grace_unarchived_s)).select("path")
 
 
 def merge_report(rows: DataFrame, unit: str, path: str | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Scans of the lake's layouts: explicit schemas, columns from the path, half-open windows, no lookahead."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,17 +33,46 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read(spark: SparkSession, roots: list[str], name: str) -> DataFrame | None:
-    """All Parquet files under those roots that exist, in the declared schema, with ``node_id``, ``file`` and ``row`` of each row.
+def subfolders(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Folders under ``root`` that match a pattern such as ``date=*``; one listing of folder names, no files."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{pattern}")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found if f.isDirectory()) if found else []
 
-    Files written with nanosecond instants are read as whole numbers and scaled; columns that the files lack come from the path, or are null (older versions).
+
+def pruned(spark: SparkSession, roots: list[str], since: date | None, until: date | None) -> list[str]:
+    """The roots' day folders from ``since`` to ``until`` (inclusive, None is open): ``date=YYYY-MM-DD``, ``fetched_date=`` or ``year=/month=/date=DD``. Roots without such folders as they are."""
+    out = []
+    for root in roots:
+        iso = [*subfolders(spark, root, "date=*"), *subfolders(spark, root, "fetched_date=*")]
+        split = subfolders(spark, root, "year=*/month=*/date=*")
+        if not iso and not split:
+            out.append(root)
+        for f in [*iso, *split]:
+            values = dict(x.split("=", 1) for x in f.split("/") if "=" in x)
+            text = values.get("fetched_date") or (values["date"] if f in iso else f"{values['year']}-{values['month']}-{values['date']}")
+            try:
+                day = date.fromisoformat(text)
+            except ValueError:
+                out.append(f)  # unknown days are read
+                continue
+            if (since is None or day >= since) and (until is None or day <= until):
+                out.append(f)
+    return out
+
+
+def read(spark: SparkSession, roots: list[str], name: str, since: date | None = None, until: date | None = None) -> DataFrame | None:
+    """All Parquet files under those roots that exist, of the day folders from ``since`` to ``until``, in the declared schema, with ``node_id``, ``file`` and ``row`` of each row.
+
+    Folders outside the days aren't listed, let alone opened. Files written with nanosecond instants are read as whole numbers and scaled; columns that the files lack come
+    from the path, or are null (older versions). Folders may or may not have a node level.
     """
     have = [r for r in dict.fromkeys(roots) if exists(spark, r)]
+    have = pruned(spark, have, since, until) if since or until else have
     if not have:
         return None
     want = schemas.schema(name)
-    raw = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    got = raw.parquet(*have) if _readable(spark, have) else _nanos(spark, have)
+    got = _raw(spark, have)
     cols = []
     for f in want.fields:
         if f.name not in got.columns:
@@ -58,18 +87,17 @@ def read(spark: SparkSession, roots: list[str], name: str) -> DataFrame | None:
     return got.select(*cols, *extra, file.alias("file"), F.col("_metadata.row_index").alias("row"))
 
 
-def _readable(spark: SparkSession, have: list[str]) -> bool:
-    try:
-        return bool(spark.read.option("recursiveFileLookup", "true").parquet(*have).schema)
-    except Exception as e:  # noqa: BLE001 - the reader's complaint about nanoseconds has no class of its own
-        if "NANOS" in str(e) or "PARQUET_TYPE_ILLEGAL" in str(e):
-            return False
-        raise
+NANOS = "spark.sql.legacy.parquet.nanosAsLong"
 
 
-def _nanos(spark: SparkSession, have: list[str]) -> DataFrame:
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    return spark.read.option("recursiveFileLookup", "true").parquet(*have)
+def _raw(spark: SparkSession, have: list[str]) -> DataFrame:
+    """The files as they are, columns of all of them; nanosecond instants as whole numbers. Only the lookup of the schema needs the setting for that, which is put back."""
+    before = spark.conf.get(NANOS)
+    spark.conf.set(NANOS, "true")
+    try:
+        return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(*have)
+    finally:
+        spark.conf.set(NANOS, before)
 
 
 def candle_roots(root: str, exchange: str, symbol: str, timeframe: str, modes: list[str]) -> list[str]:
@@ -91,7 +119,7 @@ def _empty(spark: SparkSession, name: str) -> DataFrame:
 def scan_candles(spark: SparkSession, root: str, exchange: str, symbol: str, timeframe: str, start: str | datetime, end: str | datetime, mode: str | list[str] = "historical") -> DataFrame:
     """Candles of [start, end) in order; replicas are reduced to one row a candle if two nodes or more delivered."""
     a, b = window(start, end)
-    rows = read(spark, candle_roots(root, exchange, symbol, timeframe, [mode] if isinstance(mode, str) else mode), "ohlcv.v1")
+    rows = read(spark, candle_roots(root, exchange, symbol, timeframe, [mode] if isinstance(mode, str) else mode), "ohlcv.v1", a.date(), b.date())
     if rows is None:
         return _empty(spark, "ohlcv.v1")
     rows = rows.where((F.col("ts_utc") >= F.lit(a)) & (F.col("ts_utc") < F.lit(b)) & (F.col("symbol") == symbol))
@@ -100,40 +128,70 @@ def scan_candles(spark: SparkSession, root: str, exchange: str, symbol: str, tim
     return rows.orderBy("ts_utc", "node_id", "file", "row").select(*schemas.schema("ohlcv.v1").names)
 
 
-def scan_events(spark: SparkSession, root: str, name: str, exchange: str, symbol: str, start: str | datetime, end: str | datetime, clock: datetime | None = None) -> DataFrame:
+def scan_events(spark: SparkSession, root: str, name: str, exchange: str, symbol: str, start: str | datetime, end: str | datetime, clock: datetime | None = None, latest_arrival_days: int | None = None) -> DataFrame:
     """Ticks, order book events or snapshots of [start, end), both generations of layout; with ``clock`` only what had been received by then.
 
-    Tick replicas are reduced if two nodes or more delivered. Order is total: instant, arrival, file, row.
+    Replicas of ticks and order book events are reduced if two nodes or more delivered.
+    Folders of days before the window aren't read; those after it are, since tiers may be filed by day of arrival, unless ``latest_arrival_days`` says after how many days nothing arrives any more. Order is total: instant, arrival, file, row.
     """
     a, b = window(start, end)
     e, s = paths.safe(exchange), paths.safe(symbol)
     folder = {"tick.v1": ["ticks", "transaction"], "orderbook.v1": ["orderbook"], "orderbook_snapshot.v1": ["orderbook_snapshot", "orderbooksnapshot"], "orderbook_depth.v1": ["orderbookdepth"]}[name]
     tiers = ["", "/tier=L1", "/tier=L2", "/tier=L3"]
-    rows = read(spark, [f"{root}/market/{f}/schema_version={name}{t}/exchange={e}/symbol={s}" for f in folder for t in tiers], name)
+    roots = [f"{root}/market/{f}/schema_version={name}{t}/exchange={e}/symbol={s}" for f in folder for t in tiers]
+    until = None if latest_arrival_days is None else b.date() + timedelta(days=latest_arrival_days)
+    rows = read(spark, roots, name, a.date() - timedelta(days=1), until)  # clocks of arrival may be slightly behind
     if rows is None:
         return _empty(spark, name)
     rows = rows.where((F.col("ts_utc") >= F.lit(a)) & (F.col("ts_utc") < F.lit(b)) & (F.col("symbol") == symbol))
     if clock is not None:
         rows = rows.where(F.col("received_at") <= F.lit(clock))
-    if name == "tick.v1" and replicas.several_nodes(rows):
-        rows = replicas.latest(rows, replicas.TICK_KEY, "received_at", [replicas.node_priority(F.col("node_id"))])
+    key = {"tick.v1": replicas.TICK_KEY, "orderbook.v1": replicas.ORDERBOOK_KEY}.get(name)
+    if key and replicas.several_nodes(rows):
+        rows = replicas.reduced(rows, key, ["ts_utc", "received_at", "file", "row"])
     order = ["ts_utc", "baseline_seq", "file", "row"] if name == "orderbook_snapshot.v1" else ["ts_utc", "received_at", "file", "row"]
     return rows.orderBy(*order).select(*schemas.schema(name).names)
 
 
 def scan_metadata(spark: SparkSession, root: str, exchange: str, symbol: str, at: datetime) -> DataFrame:
     """The row of the latest fetch at or before an instant; none if there is none."""
-    rows = read(spark, [f"{root}/market/exchange_metadata/schema_version=exchange_metadata.v1/exchange={paths.safe(exchange)}"], "exchange_metadata.v1")
+    rows = read(spark, [f"{root}/market/exchange_metadata/schema_version=exchange_metadata.v1/exchange={paths.safe(exchange)}"], "exchange_metadata.v1", None, at.date())
     if rows is None:
         return _empty(spark, "exchange_metadata.v1")
     names = schemas.schema("exchange_metadata.v1").names
     return rows.where((F.col("symbol") == symbol) & (F.col("fetched_at") <= F.lit(at))).orderBy(F.desc("fetched_at"), "file", "row").limit(1).select(*names)
 
 
-def wal(spark: SparkSession, path: str, channel: str) -> DataFrame:
-    """NDJSON log lines in the channel's schema, decimals exact, with the file of each; a line that is no object has nulls only."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    return lines.where(F.trim("value") != "").select(F.from_json("value", schemas.wal_schema(channel)).alias("r"), "file").select("r.*", "file")
+def numbered_lines(files_: DataFrame, channel: str, value: str = "value") -> DataFrame:
+    """Records of whole log segments (``value``, ``file``) in the channel's schema, decimals exact; ``line`` counts a file's records from 0. A line that is no object has nulls only."""
+    line = F.posexplode(F.filter(F.split(value, r"\r?\n"), lambda x: F.trim(x) != "")).alias("line", "json")
+    got = files_.select("file", line).select(F.from_json("json", schemas.wal_schema(channel)).alias("r"), "file", F.col("line").cast("bigint").alias("line"))
+    return got.select("r.*", "file", "line").where((F.col("channel") == channel) | F.col("channel").isNull())
+
+
+def wal_files(spark: SparkSession, names: list[str], channel: str) -> DataFrame:
+    """Records of the named segments, each of which is a few minutes' log and is read as a whole, as lines are numbered within it."""
+    return numbered_lines(spark.read.option("wholetext", "true").text(names).select("value", F.col("_metadata.file_path").alias("file")), channel)
+
+
+def wal(spark: SparkSession, path: str, channel: str, pattern: str = "*.ndjson*") -> DataFrame:
+    """Records of all segments under a folder whose names match, markers (which are empty) and active ones too."""
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
+    return numbered_lines(raw.select("value", F.col("_metadata.file_path").alias("file")), channel)
+
+
+def encoded(rows: DataFrame) -> DataFrame:
+    """Rows as log lines (``value``): JSON with plain exact decimals and ISO instants; nulls are left out. Double and float columns, which may hold what JSON can't, raise."""
+    schemas.reject_floats(rows.schema)
+    return rows.select(F.to_json(F.struct(*rows.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
+
+
+def touch(spark: SparkSession, names: list[str]) -> None:
+    """Creates empty files; those there are stay."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        p.getFileSystem(conf).createNewFile(p)
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -1,8 +1,8 @@
 """Writers. Partitions come from each row, never from the first of a batch; writing a batch again changes nothing."""
 
+import hashlib
 import json
 import os
-import tempfile
 from datetime import timedelta
 
 import pyarrow as pa
@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas
 from candlewick.functions import hashing, paths
-from candlewick.plans.lineage import cut
+from candlewick.plans import placement
+from candlewick.plans.lineage import cut, stored
 from candlewick.sources import catalog
 
-MAX_ROWS = 5_000_000  # of a file
-
 
 def storable(candles: DataFrame, snapshot_id: str) -> DataFrame:
     """Candles with the columns that storage adds: completeness, version, instant of writing, hash."""
@@ -33,13 +32,17 @@ def write_candles(candles: DataFrame, root: str, snapshot_id: str, mode: str | N
     base = f"{root}/market/ohlcv/schema_version=ohlcv.v1" + (f"/mode={mode}" if mode else "")
     rows = storable(candles, snapshot_id)
     schemas.reject_floats(rows.schema)
-    if catalog.exists(spark, base):
-        old = catalog.read(spark, [base], "ohlcv.v1").select("exchange", "symbol", "timeframe", "ts_utc", "data_hash")
-        rows = rows.join(old, ["exchange", "symbol", "timeframe", "ts_utc", "data_hash"], "left_anti").select(*rows.columns)
     parts = {"year": F.date_format("ts_utc", "yyyy"), "month": F.date_format("ts_utc", "MM"), "date": F.date_format("ts_utc", "dd")}
     keys = ["exchange", "symbol", "timeframe", *parts]
-    out = rows.withColumns(parts).repartition(*keys).sortWithinPartitions(*keys, "ts_utc")
-    out.write.mode("append").option("maxRecordsPerFile", MAX_ROWS).partitionBy(*keys).parquet(base)
+    if catalog.exists(spark, base):
+        first, last = rows.agg(F.min(F.to_date("ts_utc")), F.max(F.to_date("ts_utc"))).first()
+        series = rows.select("exchange", "symbol", "timeframe").distinct().collect()  # of one batch
+        roots = [f"{base}/exchange={r.exchange}/symbol={r.symbol}/timeframe={r.timeframe}" for r in series]
+        old = catalog.read(spark, roots, "ohlcv.v1", first, last) if first else None  # only the folders that the batch goes to
+        if old is not None:
+            same = ["exchange", "symbol", "timeframe", "ts_utc", "data_hash"]
+            rows = rows.join(old.select(*same), same, "left_anti").select(*rows.columns)
+    placement.by_time(stored(rows.withColumns(parts), "batch"), base, keys, "ts_utc", ["ts_utc"], span_s=3600)
 
 
 def write_paper_candles(candles: DataFrame, root: str, run_id: str, snapshot_id: str, lineage: dict) -> None:
@@ -76,7 +79,7 @@ def append_events(rows: DataFrame, root: str, folder: str, name: str, tier: str
     base = f"{root}/market/{folder}/schema_version={name}" + (f"/tier={tier}" if tier else "")
     keyed = rows.select(*schemas.schema(name).names).withColumns({"date": F.to_date("ts_utc").cast("string"), **({"node": F.lit(node)} if node else {})})
     keys = ["exchange", "symbol", "date", *(["node"] if node else [])]
-    keyed.repartition(*keys).sortWithinPartitions(*keys, "ts_utc").write.mode("append").option("maxRecordsPerFile", MAX_ROWS).partitionBy(*keys).parquet(base)
+    placement.by_time(keyed, base, keys, "ts_utc", ["ts_utc"])
 
 
 def quarantine(rows: DataFrame, path: str, reason: str) -> None:
@@ -84,17 +87,60 @@ def quarantine(rows: DataFrame, path: str, reason: str) -> None:
     rows.withColumn("reason", F.col(reason)).withColumn("detected_date", F.current_date()).write.mode("append").partitionBy("detected_date", "reason").parquet(path)
 
 
+def write_text(path: str, text: str) -> None:
+    """A small artefact, replaced as a whole, on any file system that the session knows: written beside its place and renamed."""
+    spark = SparkSession.active()
+    target, beside = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.{os.urandom(6).hex()}.tmp"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(beside, target):  # file systems differ in whether renaming replaces
+        fs.delete(target, False)
+        if not fs.rename(beside, target):
+            raise OSError(f"can't replace {path}")
+
+
+def read_text(path: str) -> str:
+    return "".join(r.value for r in SparkSession.active().read.option("wholetext", "true").text(path).collect())
+
+
 def write_json(path: str, value: dict) -> None:
-    """A small artefact (manifest, lineage, report), replaced as a whole."""
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with tempfile.NamedTemporaryFile("w", dir=os.path.dirname(path), delete=False) as f:
-        json.dump(value, f, sort_keys=True, default=str)
-    os.replace(f.name, path)
+    """A small artefact (manifest, lineage, report)."""
+    write_text(path, json.dumps(value, sort_keys=True, default=str))
 
 
 def read_json(path: str) -> dict:
-    with open(path) as f:
-        return json.load(f)
+    return json.loads(read_text(path))
+
+
+def manifests_of(spark: SparkSession, path: str, symbol: str) -> DataFrame:
+    """(collector_run_id, selected_symbols, path) of the manifests under a folder whose ``selected_symbols`` contain the symbol."""
+    got = spark.read.schema("collector_run_id string, selected_symbols array<string>").option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
+    return got.where(F.array_contains("selected_symbols", symbol)).select("collector_run_id", "selected_symbols", F.col("_metadata.file_path").alias("path"))
+
+
+def front_matter(values: dict) -> str:
+    """A flat dictionary as the YAML block at the head of a manifest; values are JSON, which YAML includes."""
+    return "---\n" + "".join(f"{k}: {json.dumps(v, default=str)}\n" for k, v in values.items()) + "---\n"
+
+
+def put_batch(rows: DataFrame, path: str, body: str) -> str:
+    """A batch written back under ``path`` once: ``written``, ``skipped`` if the same ``body`` (its request) was written before, ``conflict`` if another was."""
+    digest = hashlib.sha256(body.encode()).hexdigest()
+    spark = rows.sparkSession
+    if catalog.exists(spark, f"{path}.sha256"):
+        return "skipped" if read_text(f"{path}.sha256").strip() == digest else "conflict"
+    rows.write.mode("overwrite").parquet(path)
+    write_text(f"{path}.sha256", digest)  # last, so that a batch that died is written again
+    return "written"
+
+
+def request_hash(request: dict) -> str:
+    """SHA-256 of a request's canonical JSON: keys in order, no white space."""
+    return hashlib.sha256(json.dumps(request, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()
 
 
 def day_of_events(spark: SparkSession, root: str, name: str, exchange: str, symbol: str, start: str, end: str) -> bytes:

@@ -1,16 +1,18 @@
 """The same operators on streams: log routing, micro-batch compaction, incremental bars, replica dedup."""
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator, Sequence
 from decimal import Decimal
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
-from candlewick import schemas
 from candlewick.operators import bars, tiers
+from candlewick.sources import catalog
 
 BAR = "bar_label string, exchange string, symbol string, genesis_us bigint, close_us bigint, open string, high string, low string, close string, volume string, value string, n_ticks bigint"
 _STATE = "window bigint, first_us bigint, last_us bigint, open string, high string, low string, close string, volume string, value string, n bigint"
@@ -18,22 +20,63 @@ _STATE = "window bigint, first_us bigint, last_us bigint, open string, high stri
 
 def wal_stream(spark: SparkSession, path: str, channel: str, files_per_batch: int = 1000) -> DataFrame:
     """Records of one channel from sealed segments as they appear; the checkpoint knows which were read."""
-    lines = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sealed").option("maxFilesPerTrigger", files_per_batch).text(path)
-    record = F.from_json("value", schemas.wal_schema(channel))
-    return lines.where(F.trim("value") != "").select(record.alias("r")).select("r.*").where((F.col("channel") == channel) | F.col("channel").isNull())
+    raw = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sealed").option("maxFilesPerTrigger", files_per_batch).option("wholetext", "true").text(path)
+    return catalog.numbered_lines(raw.select("value", F.col("_metadata.file_path").alias("file")), channel)
 
 
 def compact_stream(stream: DataFrame, out: str, checkpoint: str, channel: str, trigger: dict | None = None) -> StreamingQuery:
-    """L1 as a stream: each micro-batch appends its rows sorted. A batch that is run again after a failure overwrites its own folder."""
+    """L1 as a stream: each micro-batch writes its segments to their own folders, so a batch that is run again after a failure replaces what it wrote."""
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = tiers.rows_of(batch, channel).withColumn("date", F.to_date("ts_utc"))
-        keys = ["exchange", "symbol", "date"]
-        rows.repartition(*keys).sortWithinPartitions(*keys, "ts_utc", "received_at").write.mode("overwrite").partitionBy(*keys).parquet(f"{out}/batch={number}")
+        if not batch.isEmpty():
+            tiers.write_l1(tiers.rows_of(batch, channel, "file"), out)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def merge_stream(spark: SparkSession, source: str, out: str, checkpoint: str, unit: str, trigger: dict | None = None) -> StreamingQuery:
+    """L2 or L3 as a scheduled job: whenever the tier below has new files, the hours or days they belong to are read whole and replaced."""
+    schema = spark.read.parquet(source).schema
+    keys = ["exchange", "symbol", "date", *(["hour"] if unit == "hour" else [])]
+    fresh = tiers.merged(spark.readStream.schema(schema).parquet(source), unit).select(*keys)
+
+    def write(batch: DataFrame, number: int) -> None:
+        touched = batch.distinct()
+        if touched.isEmpty():
+            return
+        days = [r.date for r in touched.select("date").distinct().collect()]  # of one batch; they prune the folders that are read
+        rows = tiers.merged(spark.read.parquet(source).where(F.col("date").cast("date").isin(days) if unit == "day" else F.lit(True)).drop("hour", "segment"), unit)
+        tiers.write_merged(rows.join(touched, keys, "left_semi").drop("date", "hour"), out, unit)
+
+    return fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def late_rows(stream: DataFrame, out: str, checkpoint: str, delay_s: int, trigger: dict | None = None) -> StreamingQuery:
+    """Rows that arrived more than ``delay_s`` after their instant, appended to a table of their own: what ``watermarked_bars`` may have dropped can be merged from there."""
+    late = stream.where(F.unix_micros("received_at") - F.unix_micros("ts_utc") > delay_s * 1_000_000).withColumn("late_day", F.to_date("ts_utc"))
+    return late.writeStream.partitionBy("late_day").option("path", out).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def coverage_counters(stream: DataFrame, delay: str = "1 day") -> DataFrame:
+    """(symbol, tier, day, row_count, byte_count, last_event_ts) as they grow; rows need symbol, tier, ts_utc and bytes (null counts as 0)."""
+    return stream.withWatermark("ts_utc", delay).groupBy("symbol", "tier", F.window("ts_utc", "1 day").alias("w")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("byte_count"), F.max("ts_utc").alias("last_event_ts")
+    ).select("symbol", "tier", F.to_date("w.start").alias("day"), "row_count", "byte_count", "last_event_ts")
+
+
+def restarting(start: Callable[[], StreamingQuery], waits_s: Sequence[float] = (5, 30, 120), sleep: Callable[[float], None] = time.sleep) -> int:
+    """Runs a query to its end; after a failure it is started again from its checkpoint, after waiting; the last wait's failure is raised. Returns how many restarts it took."""
+    for n, wait in enumerate((*waits_s, None)):
+        try:
+            start().awaitTermination()
+            return n
+        except StreamingQueryException:
+            if wait is None:
+                raise
+            sleep(wait)
+    return len(waits_s)
+
+
 def without_replicas(ticks: DataFrame, key: tuple[str, ...], delay: str = "10 minutes") -> DataFrame:
     """One delivery of each tick; deliveries later than ``delay`` behind the newest instant may pass again."""
     return ticks.withWatermark("ts_utc", delay).dropDuplicatesWithinWatermark(list(key))
