@@ -54,3 +54,13 @@ def bucket(c: Column, width: Column | int) -> Column:
     """floor(c / width) of whole numbers, exact and right for negative ones too."""
     w = F.lit(width) if isinstance(width, int) else width
     return ((c - F.pmod(c, w)) / w).cast("bigint")
+
+
+def last_closed(now: Column, timeframe: str) -> Column:
+    """The end of the last bar that is closed at ``now``: the epoch floor of the timeframe; for ``1d`` midnight in Korea (nine hours ahead of UTC all year)."""
+    seconds = {"1m": 60, "5m": 300, "15m": 900, "1h": 3600, "4h": 14400, "1d": 86400}.get(timeframe)
+    if seconds is None:
+        raise ValueError(f"not a timeframe: {timeframe!r}")
+    ahead = 9 * 3600 if timeframe == "1d" else 0
+    us = F.unix_micros(now) + F.lit(ahead * 1_000_000)
+    return F.timestamp_micros(bucket(us, seconds * 1_000_000) * F.lit(seconds * 1_000_000) - F.lit(ahead * 1_000_000))

@@ -4,8 +4,12 @@ Ticks have (exchange, symbol, ts_utc, price, quantity, seq); (ts_utc, seq) is a
 the first and last price in that order, volume the sum of quantities, value the exact sum of price times quantity.
 """
 
+import hashlib
 import re
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields
+from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +27,7 @@ TIMEFRAMES = {"1m": 60, "5m": 300, "15m": 900, "1h": 3600, "4h": 14400, "1d": 86
 
 @dataclass(frozen=True)
 class BarRule:
-    """Kind (``time``, ``tick``, ``vol`` or ``dollar``) and threshold of a bar label such as ``vol_50``."""
+    """Kind (one of ``KINDS``) and threshold of a bar label such as ``vol_50``."""
 
     kind: str
     threshold: int
@@ -34,9 +38,9 @@ class BarRule:
 
 
 def parse_label(label: str) -> BarRule:
-    m = re.fullmatch(r"(time|tick|vol|dollar)_(\d+)", label)
-    if not m or int(m[2]) <= 0:
-        raise ValueError(f"not a bar label with a positive whole threshold: {label!r}")
+    m = re.fullmatch(r"([a-z][a-z0-9]*)_(\d+)", label)
+    if not m or m[1] not in KINDS or int(m[2]) <= 0:
+        raise ValueError(f"not a bar label with a positive whole threshold: {label!r}; kinds: {', '.join(KINDS)}")
     return BarRule(m[1], int(m[2]))
 
 
@@ -109,19 +113,38 @@ def tick_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES)
     return _bars(placed, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).where(F.col("n_ticks") == rule.threshold).drop("bar")
 
 
+def summed_bars(amount: Column, digits: int) -> Callable[..., DataFrame]:
+    """A kind of bar that closes when the sum of ``amount`` (a decimal with so many digits behind the point, per tick) reaches the threshold: ``register("lots", summed_bars(...))``."""
+
+    def build(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
+        kept = ticks.select("exchange", "symbol", "ts_utc", "price", "quantity", "seq", hashing.units(amount, digits).alias("_amount"))
+        bucket = normal.bucket(F.unix_micros("ts_utc"), bucket_s * 1_000_000)
+        assigned = walks.events(kept, series, ["ts_utc", "seq"], F.col("_amount"), rule.threshold * 10**digits, True, bucket, ("closes", "bar"))
+        return _bars(assigned, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
+
+    return build
+
+
 def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
     """Volume and dollar bars: a bar closes with the tick at which the sum since the last close reaches the threshold; overshoot is discarded.
 
     Where a bar ends depends on where the one before ended; ``walks.events`` finds the ends by time buckets of ``bucket_s``, so a hot series is many tasks'. A null amount, and
     one below 0, adds nothing.
     """
-    amount = F.col("quantity").cast(QUANTITY) if rule.kind == "vol" else (F.col("price").cast(PRICE) * F.col("quantity").cast(QUANTITY)).cast(NOTIONAL)
-    digits = 8 if rule.kind == "vol" else 16
-    scaled = hashing.units(amount, digits)
-    kept = ticks.select("exchange", "symbol", "ts_utc", "price", "quantity", "seq")
-    bucket = normal.bucket(F.unix_micros("ts_utc"), bucket_s * 1_000_000)
-    assigned = walks.events(kept, series, ["ts_utc", "seq"], scaled, rule.threshold * 10**digits, True, bucket, ("closes", "bar"))
-    return _bars(assigned, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
+    if rule.kind == "vol":
+        return summed_bars(F.col("quantity").cast("decimal(38,8)"), 8)(ticks, rule, series, bucket_s)
+    return summed_bars((F.col("price").cast(PRICE) * F.col("quantity").cast(QUANTITY)).cast(NOTIONAL), 16)(ticks, rule, series, bucket_s)
+
+
+#: Kinds of bars by the first part of their label. A builder takes ticks, rule and series and gives the columns of ``time_bars``.
+KINDS: dict[str, Callable[..., DataFrame]] = {"time": time_bars, "tick": tick_bars, "vol": accumulating_bars, "dollar": accumulating_bars}
+
+
+def register(kind: str, builder: Callable[..., DataFrame]) -> None:
+    """Adds a kind of bar, so that ``<kind>_<threshold>`` is a label; one that exists can't be replaced."""
+    if not re.fullmatch(r"[a-z][a-z0-9]*", kind) or kind in KINDS:
+        raise ValueError(f"not a new kind of bar: {kind!r}")
+    KINDS[kind] = builder
 
 
 def resample(ticks: DataFrame, label: str, start: str | None = None, end: str | None = None, symbol: str | None = None, exchange: str | None = None, compat: bool = False) -> DataFrame:
@@ -136,10 +159,42 @@ def resample(ticks: DataFrame, label: str, start: str | None = None, end: str |
         if value is not None:
             t = t.where(F.col(name) == value)
     series = ("symbol",) if compat else SERIES
-    return {"time": time_bars, "tick": tick_bars}.get(rule.kind, accumulating_bars)(t, rule, series)
+    return KINDS[rule.kind](t, rule, series)
 
 
 def candles(bars: DataFrame, timeframe: str) -> DataFrame:
     """Time bars as candles derived from transactions."""
     timeframe_rule(timeframe)
     return bars.select(F.col("genesis_ts").alias("ts_utc"), "exchange", "symbol", F.lit(timeframe).alias("timeframe"), "open", "high", "low", "close", "volume", "value", F.lit("transaction_derived").alias("source"))
+
+
+@dataclass(frozen=True)
+class Contract:
+    """What information bars were made by; ``contract_id`` is the same for equal contracts and different otherwise."""
+
+    bar_label: str
+    genesis_ts: datetime
+    threshold: Decimal
+    precision: int
+    rounding_rule: str
+    source_cutoff: datetime
+    tie_breaking: str
+    version: str = "info_bar.v1"
+
+    def __post_init__(self) -> None:
+        if not self.bar_label:
+            raise ValueError("a contract needs a bar label")
+        if self.threshold <= 0 or self.precision < 0:
+            raise ValueError("threshold must be above 0, precision at least 0")
+        if self.tie_breaking not in ("current_tick", "next_tick"):
+            raise ValueError(f"unknown tie breaking {self.tie_breaking!r}")
+        for name in ("genesis_ts", "source_cutoff"):
+            t = getattr(self, name)
+            if t.tzinfo is None or t.utcoffset() != timedelta(0):
+                raise ValueError(f"{name} must be in UTC")
+
+    @property
+    def contract_id(self) -> str:
+        """16 hex digits over name=value of the fields in order."""
+        text = lambda v: v.isoformat() if isinstance(v, datetime) else str(v)
+        return hashlib.sha256("|".join(f"{f.name}={text(getattr(self, f.name))}" for f in fields(self)).encode()).hexdigest()[:16]

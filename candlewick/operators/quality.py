@@ -43,6 +43,47 @@ def provenance(ts: Column, cutoff: str) -> Column:
     return F.when(ts < F.to_timestamp(F.lit(cutoff)), "legacy_candle").otherwise("transaction_derived")
 
 
+def allowed(rows: DataFrame, allowlist: Sequence[tuple[str, ...]], columns: Sequence[str] = ("exchange", "channel")) -> tuple[DataFrame, DataFrame]:
+    """(kept, refused): rows whose ``columns`` are one of the combinations of the list (a configuration), and the others, with ``reason``: ``UNKNOWN`` and the first column whose value the list doesn't know at all, or ``UNSUPPORTED``. Null is never known."""
+    known = F.lit(False)
+    for combination in allowlist:
+        one = F.lit(True)
+        for c, v in zip(columns, combination, strict=True):
+            one = one & F.col(c).eqNullSafe(F.lit(v))
+        known = known | one
+    reason = F.lit("UNSUPPORTED")
+    for c, values in reversed([(c, sorted({a[i] for a in allowlist})) for i, c in enumerate(columns)]):
+        reason = F.when(~F.coalesce(F.col(c).isin(values), F.lit(False)), f"UNKNOWN {c}").otherwise(reason)
+    return rows.where(known), rows.where(~known).withColumn("reason", reason)
+
+
+def require_allowed(values: Sequence[str], allowlist: Sequence[tuple[str, ...]], columns: Sequence[str] = ("exchange", "channel")) -> None:
+    """Raises unless one combination is listed, and says which value is unknown."""
+    if tuple(values) in set(map(tuple, allowlist)):
+        return
+    for i, (c, v) in enumerate(zip(columns, values, strict=True)):
+        if v not in {a[i] for a in allowlist}:
+            raise ValueError(f"unknown {c} {v!r}; known: {', '.join(sorted({a[i] for a in allowlist}))}")
+    raise ValueError(f"unsupported combination of {', '.join(columns)}: {', '.join(values)}")
+
+
+def closed_days(rows: DataFrame, today: Column | str, day: str = "date") -> DataFrame:
+    """Rows of days before ``today`` (UTC); a day that is null or isn't one is left out."""
+    limit = F.to_date(F.lit(today)) if isinstance(today, str) else today
+    return rows.where(F.col(day).cast("string").try_cast("date") < limit)
+
+
+def redacted(rows: DataFrame, keep_chars: int | None = None, column: str = "raw_json") -> DataFrame:
+    """Rows without raw payloads, or with ``keep_chars`` with what is longer cut and marked with its length."""
+    if column not in rows.columns:
+        return rows
+    if keep_chars is None:
+        return rows.drop(column)
+    c = F.col(column)
+    cut = F.concat(F.left(c, F.lit(keep_chars)), F.lit(" [truncated, len="), F.length(c).cast("string"), F.lit("]"))
+    return rows.withColumn(column, F.when(F.length(c) > keep_chars, cut).otherwise(c))
+
+
 def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s: float | Column) -> DataFrame:
     """(series..., after_ts, before_ts, gap_s): consecutive distinct instants more than ``threshold_s`` apart; it may differ between series.
 

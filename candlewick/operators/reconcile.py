@@ -62,14 +62,27 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
-def count_verdicts(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: int = 0) -> DataFrame:
-    """(key..., n_left, n_right, verdict): PASS if counts agree within ``tolerance``, FAIL otherwise, SKIP if one side has none."""
-    n = lambda df, name: df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
-    both = n(left, "n_left").join(n(right, "n_right"), list(key), "full_outer")
+def compared_counts(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: int = 0) -> DataFrame:
+    """(key..., n_left, n_right, verdict) of two tables of counts: PASS if they agree within ``tolerance``, FAIL otherwise, SKIP if one side has none."""
+    both = left.select(*key, "n_left").join(right.select(*key, "n_right"), list(key), "full_outer")
     verdict = F.when(F.col("n_left").isNull() | F.col("n_right").isNull(), "SKIP").when(F.abs(F.col("n_left") - F.col("n_right")) <= tolerance, "PASS").otherwise("FAIL")
     return both.select(*key, "n_left", "n_right", verdict.alias("verdict"))
 
 
+def count_verdicts(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: int = 0) -> DataFrame:
+    """``compared_counts`` of the rows of two tables; counted before they are joined."""
+    n = lambda df, name: df.groupBy(*key).agg(F.count(F.lit(1)).alias(name))
+    return compared_counts(n(left, "n_left"), n(right, "n_right"), key, tolerance)
+
+
+def coverage_ratio(expected: DataFrame, present: DataFrame, key: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """(key..., n_expected, n_present, ratio): of the distinct parts (days, hours) that ``expected`` has of a key, those that ``present`` has too."""
+    names = [*key, *parts]
+    there = present.select(*names).distinct().withColumn("_there", F.lit(1))
+    got = expected.select(*names).distinct().join(there, names, "left").groupBy(*key).agg(F.count(F.lit(1)).alias("n_expected"), F.count("_there").alias("n_present"))
+    return got.withColumn("ratio", F.col("n_present") / F.col("n_expected"))
+
+
 def flat_first(flat: DataFrame, legacy: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of both by key, those of ``flat`` where both have one; both have the same columns and unique keys."""
     return flat.unionByName(legacy.join(flat.select(*key), list(key), "left_anti").select(*flat.columns))
@@ -88,16 +101,49 @@ def gap_causes(gaps: DataFrame, heartbeats: DataFrame, fresh_s: float) -> DataFr
     return g.join(near, "_id", "left").withColumn("cause", F.when(F.col("_alive"), "UNKNOWN").otherwise("LIKELY_NODE_DOWN")).drop("_id", "_alive")
 
 
-def file_invariants(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row of checks over two listings (name, rows, bytes, digest, schema): counts, names, rows, bytes, digests and schemas agree."""
-    both = left.join(right.withColumnsRenamed({c: f"r_{c}" for c in right.columns}), F.col("name") == F.col("r_name"), "full_outer")
-    every = lambda c: F.coalesce(F.bool_and(c), F.lit(True))
-    same = lambda n: F.col(n).eqNullSafe(F.col(f"r_{n}"))
+#: Checks in the order in which the first that fails names the outcome.
+INVARIANTS = ("object_count", "sha256", "row_count", "column_count", "column_order", "dtype", "schema_version", "ambiguity")
+
+
+def file_invariants(left: DataFrame, right: DataFrame, columns: dict[str, Sequence[str]]) -> DataFrame:
+    """(invariant, ok, n_bad) of eight checks over two listings (name, rows, digest, names array<string>, types array<string>, schema_version), in the order of ``INVARIANTS``.
+
+    Files pair by name. object_count: as many files on both sides. Of pairs: digests and row counts agree; both have as many columns, and just those, as ``columns`` declares for the
+    left side's schema version (an unknown version fails); types agree in order; schema version: all are declared and the sides agree. ambiguity: a file is at both places at once
+    (``left`` and ``right`` having a column ``authoritative`` that is true on both sides; without it nothing is ambiguous).
+    """
+    claims = "authoritative" in left.columns and "authoritative" in right.columns
+    fields = ["name", "rows", "digest", "names", "types", "schema_version", *(["authoritative"] if claims else [])]
+    r = right.select(*(F.col(c).alias(f"r_{c}") for c in fields))
+    both = left.select(*fields).join(r, F.col("name") == F.col("r_name"), "full_outer")
     paired = F.col("name").isNotNull() & F.col("r_name").isNotNull()
-    return both.agg(
-        (F.count("name") == F.count("r_name")).alias("same_count"), every(paired).alias("same_names"), (F.coalesce(F.sum("rows"), F.lit(0)) == F.coalesce(F.sum("r_rows"), F.lit(0))).alias("same_rows"),
-        every(~paired | same("bytes")).alias("same_bytes"), every(~paired | same("digest")).alias("same_digests"), every(~paired | same("schema")).alias("same_schemas"),
-    )
+    bad = lambda c: F.count(F.when(paired & ~F.coalesce(c, F.lit(False)), 1))
+    same = lambda n: F.col(n).eqNullSafe(F.col(f"r_{n}"))
+    declared = F.create_map(*(x for k, v in columns.items() for x in (F.lit(k), F.array(*map(F.lit, v))))) if columns else F.lit(None).cast("map<string,array<string>>")
+    want = F.try_element_at(declared, F.col("schema_version"))
+    count_ok = (F.size("names") == F.size(want)) & (F.size("r_names") == F.size(want))
+    versions = F.col("schema_version").isin(list(columns)) & same("schema_version")
+    n = {
+        "object_count": F.abs(F.count("name") - F.count("r_name")), "sha256": bad(same("digest")), "row_count": bad(same("rows")), "column_count": bad(count_ok & want.isNotNull()),
+        "column_order": bad((F.col("names") == want) & (F.col("r_names") == want)), "dtype": bad(same("types")), "schema_version": bad(versions),
+        "ambiguity": F.count(F.when(paired & F.col("authoritative") & F.col("r_authoritative"), 1)) if claims else F.lit(0).cast("bigint"),
+    }
+    got = both.agg(*(c.alias(k) for k, c in n.items()))
+    rows = F.array(*(F.struct(F.lit(i).alias("k"), F.lit(k).alias("invariant"), (F.col(k) == 0).alias("ok"), F.col(k).alias("n_bad")) for i, k in enumerate(INVARIANTS)))
+    return got.select(F.inline(rows)).orderBy("k").select("invariant", "ok", "n_bad")
+
+
+def invariant_status(checks: DataFrame) -> str:
+    """``all_pass``, or the first of ``INVARIANTS`` that fails, with ``_fail``; of eight rows."""
+    bad = {r.invariant for r in checks.where(~F.col("ok")).collect()}
+    return next((f"{k}_fail" for k in INVARIANTS if k in bad), "all_pass")
+
+
+def with_status(items: DataFrame, statuses: DataFrame, key: str, default: str = "0") -> DataFrame:
+    """``items`` with ``asset_status`` of their key: ``1`` if deposit and withdrawal are both open; ``default`` for items without a status. Of several statuses of a key the most open counts."""
+    opened = (F.coalesce(F.col("deposit_status"), F.lit("0")) == "1") & (F.coalesce(F.col("withdrawal_status"), F.lit("0")) == "1")
+    one = statuses.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(F.col(key).alias("_key")).agg(F.max(F.when(opened, "1").otherwise("0")).alias("asset_status"))
+    return items.join(one, F.col(key) == F.col("_key"), "left").drop("_key").withColumn("asset_status", F.coalesce("asset_status", F.lit(default)))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import hashing, normal, paths
 from candlewick.operators import asof, bars, book, health, quality, reconcile, replicas, tiers
+from candlewick.sources import catalog
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -145,15 +146,32 @@ def _two_nodes(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
-@query(f"""WITH {TICKS} SELECT exchange, symbol, us AS ts_us, CAST(price AS VARCHAR) AS price, side, CASE WHEN seq % 50 = 0 THEN 'NODE_A' ELSE 'NODE_B' END AS node_id,
-CASE WHEN seq % 50 = 0 THEN 0 ELSE 1 END AS n_skipped, CASE WHEN seq % 50 = 0 THEN 1 ELSE 0 END AS n_conflicts FROM t""")
+_COPIES = f"""{TICKS}, c AS (SELECT *, 'NODE_A' AS node, 'a' || seq AS raw, seq * 2 + 1 AS arrival FROM t UNION ALL SELECT *, 'NODE_B' AS node, CASE WHEN seq % 50 = 0 THEN 'b' || seq ELSE 'a' || seq END AS raw, seq * 2 AS arrival FROM t)"""
+
+
+def fold_sql(copies: str, key: str, columns: str) -> str:
+    """The fold over each key's copies in order of arrival, walked copy by copy."""
+    same = "f.raw IS NULL OR n.raw IS NULL OR f.raw = n.raw"
+    return f"""WITH RECURSIVE {copies}, n AS (SELECT *, dense_rank() OVER (ORDER BY {key}) AS g, row_number() OVER (PARTITION BY {key} ORDER BY arrival) AS rn FROM c),
+f AS (SELECT g, rn, node, raw, 0 AS n_skipped, 0 AS n_conflicts FROM n WHERE rn = 1
+UNION ALL SELECT n.g, n.rn, CASE WHEN NOT ({same}) AND n.node < f.node THEN n.node ELSE f.node END, CASE WHEN NOT ({same}) AND n.node < f.node THEN n.raw ELSE f.raw END,
+f.n_skipped + CASE WHEN {same} THEN 1 ELSE 0 END, f.n_conflicts + CASE WHEN {same} THEN 0 ELSE 1 END FROM f JOIN n ON n.g = f.g AND n.rn = f.rn + 1),
+z AS (SELECT g, max(rn) AS last FROM n GROUP BY 1)
+SELECT {columns}, f.node AS node_id, f.n_skipped, f.n_conflicts FROM f JOIN z ON f.g = z.g AND f.rn = z.last JOIN n ON n.g = f.g AND n.rn = 1"""
+
+
+@query(fold_sql(_COPIES, "exchange, symbol, us, price, quantity, side", "n.exchange, n.symbol, n.us AS ts_us, CAST(n.price AS VARCHAR) AS price, n.side"))
 def dedup_ticks(spark, d):
     got = replicas.folded(_two_nodes(spark, d), replicas.TICK_KEY, "arrival")
     return got.select("exchange", "symbol", us("ts_utc").alias("ts_us"), F.col("price").cast("string").alias("price"), "side", "node_id", F.col("n_skipped").cast("int").alias("n_skipped"), F.col("n_conflicts").cast("int").alias("n_conflicts"))
 
 
-@query(f"""WITH {TICKS} SELECT exchange, symbol, us AS ts_us, CAST(price AS VARCHAR) AS price, side, CASE WHEN seq % 50 <> 0 AND seq % 3 = 0 THEN 2 ELSE 1 END AS n_kept, CASE WHEN seq % 50 = 0 THEN 'NODE_A' ELSE 'NODE_B' END AS first_node,
-CASE WHEN seq % 50 <> 0 AND seq % 3 <> 0 THEN 1 ELSE 0 END AS n_skipped, CASE WHEN seq % 50 = 0 THEN 1 ELSE 0 END AS n_conflicts FROM t""")
+@query(f"""WITH {_COPIES}, q AS (SELECT *, CASE WHEN seq % 3 = 0 AND node = 'NODE_B' THEN 2 ELSE 1 END AS iseq, row_number() OVER w AS rn, count(*) OVER (PARTITION BY exchange, symbol, us, price, quantity, side) AS n
+FROM c WINDOW w AS (PARTITION BY exchange, symbol, us, price, quantity, side ORDER BY arrival)),
+p AS (SELECT a.*, b.node AS node2, a.raw = b.raw AND a.iseq = b.iseq AS again, a.raw <> b.raw AS clash FROM q a JOIN q b ON a.exchange = b.exchange AND a.symbol = b.symbol AND a.us = b.us AND a.price = b.price AND a.quantity = b.quantity AND a.side = b.side
+WHERE a.rn = 1 AND b.rn = 2 AND a.n = 2)
+SELECT exchange, symbol, us AS ts_us, CAST(price AS VARCHAR) AS price, side, CASE WHEN again OR clash THEN 1 ELSE 2 END AS n_kept, CASE WHEN clash AND node2 < node THEN node2 ELSE node END AS first_node,
+CASE WHEN again THEN 1 ELSE 0 END AS n_skipped, CASE WHEN clash THEN 1 ELSE 0 END AS n_conflicts FROM p""")
 def dedup_ticks_v11(spark, d):
     two = _two_nodes(spark, d).withColumnRenamed("raw_json", "payload_hash")
     two = two.withColumn("ingest_seq", F.when((F.col("seq") % 3 == 0) & (F.col("node_id") == "NODE_B"), 2).otherwise(1))
@@ -219,14 +237,30 @@ def gap_list(spark, d):
 @query("""SELECT exchange, symbol, epoch_us(min(ts_utc)) AS first_us, epoch_us(max(ts_utc)) AS last_us, count(*) AS n_rows, count(DISTINCT node_id) AS n_nodes, count(DISTINCT collector_run_id) AS n_runs,
 count(DISTINCT CAST(ts_utc AT TIME ZONE 'UTC' AS DATE)) AS n_days FROM orderbook_depth GROUP BY 1, 2""")
 def coverage(spark, d):
-    o = _t(spark, d, "orderbook_depth")
-    return o.groupBy("exchange", "symbol").agg(us(F.min("ts_utc")).alias("first_us"), us(F.max("ts_utc")).alias("last_us"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("node_id").alias("n_nodes"), F.count_distinct("collector_run_id").alias("n_runs"), F.count_distinct(F.to_date("ts_utc")).alias("n_days"))
+    got = health.coverage(_t(spark, d, "orderbook_depth"))
+    return got.select("exchange", "symbol", us("first_ts").alias("first_us"), us("last_ts").alias("last_us"), "n_rows", "n_nodes", "n_runs", "n_days")
+
+
+_GAPS = """g AS (SELECT DISTINCT {key}, epoch_us(ts_utc) AS us FROM orderbook_depth WHERE ts_utc IS NOT NULL), l AS (SELECT *, us - lag(us) OVER (PARTITION BY {key} ORDER BY us) AS d FROM g),
+s AS (SELECT {key}, count(*) FILTER (d > 300000000) AS n_gaps, coalesce(max(d) FILTER (d > 300000000), 0) / 1e6 AS longest_gap_s FROM l GROUP BY {key})"""
+
+
+@query(f"WITH {_GAPS.format(key='exchange, symbol')} SELECT * FROM s")
+def coverage_gaps(spark, d):
+    """How many silences of over five minutes a source has, and the longest."""
+    return health.coverage(_t(spark, d, "orderbook_depth")).select("exchange", "symbol", "n_gaps", "longest_gap_s")
+
+
+@query(f"WITH {_GAPS.format(key='exchange, symbol, node_id')} SELECT * FROM s")
+def node_gaps(spark, d):
+    """The same of each node by itself."""
+    return health.node_coverage(_t(spark, d, "orderbook_depth")).select("exchange", "symbol", "node_id", "n_gaps", "longest_gap_s")
 
 
 @query("""SELECT exchange, symbol, node_id, epoch_us(min(ts_utc)) AS first_us, epoch_us(max(ts_utc)) AS last_us, count(*) AS n_rows, max(epoch_us(received_at) - epoch_us(ts_utc)) AS worst_delay_us FROM orderbook_depth GROUP BY 1, 2, 3""")
 def node_coverage(spark, d):
-    o = _t(spark, d, "orderbook_depth")
-    return o.groupBy("exchange", "symbol", "node_id").agg(us(F.min("ts_utc")).alias("first_us"), us(F.max("ts_utc")).alias("last_us"), F.count(F.lit(1)).alias("n_rows"), F.max(us("received_at") - us("ts_utc")).alias("worst_delay_us"))
+    got = health.node_coverage(_t(spark, d, "orderbook_depth"))
+    return got.select("exchange", "symbol", "node_id", us("first_ts").alias("first_us"), us("last_ts").alias("last_us"), "n_rows", "worst_delay_us")
 
 
 @query("""SELECT CASE WHEN ts_utc < TIMESTAMPTZ '2025-01-01 00:00:00+00' THEN 'legacy_candle' ELSE 'transaction_derived' END AS provenance, count(*) AS n FROM candles GROUP BY 1""")
@@ -276,14 +310,13 @@ def data_hash(spark, d):
     return _t(spark, d, "candles").select("candle_id", hashing.candle_hash("T").alias("hash_t"), hashing.candle_hash(" ").alias("hash_space"))
 
 
-@query("""WITH s AS (SELECT candle_id, sha256(CAST(open AS VARCHAR) || '|' || CAST(close AS VARCHAR)) AS h, exchange, symbol, ts_utc, row_number() OVER (PARTITION BY exchange, symbol, timeframe, ts_utc ORDER BY candle_id) AS k FROM candles)
-SELECT a.candle_id, CASE WHEN a.k = 1 THEN 'UNIQUE' WHEN a.h = b.h THEN 'SAME_HASH' ELSE 'HASH_CONFLICT' END AS status FROM s a JOIN s b ON a.exchange = b.exchange AND a.symbol = b.symbol AND a.ts_utc = b.ts_utc AND b.k = 1""")
+@query(f"""WITH s AS (SELECT candle_id, {_HASHED.format('T')} AS h, exchange, symbol, timeframe, ts_utc FROM candles),
+f AS (SELECT exchange, symbol, timeframe, ts_utc, min(candle_id) AS first FROM s GROUP BY 1, 2, 3, 4)
+SELECT a.candle_id, CASE WHEN a.candle_id = f.first THEN 'UNIQUE' WHEN a.h IS NOT DISTINCT FROM b.h THEN 'SAME_HASH' ELSE 'HASH_CONFLICT' END AS status
+FROM s a JOIN f ON a.exchange IS NOT DISTINCT FROM f.exchange AND a.symbol IS NOT DISTINCT FROM f.symbol AND a.timeframe IS NOT DISTINCT FROM f.timeframe AND a.ts_utc IS NOT DISTINCT FROM f.ts_utc JOIN s b ON b.candle_id = f.first""")
 def duplicate_status(spark, d):
-    """Each candle against the first of its key, by the hash of instant and OHLCV. The SQL's hash is of open and close alone: it calls copies revised in high, low or volume SAME_HASH."""
-    c = _t(spark, d, "candles").select("candle_id", "exchange", "symbol", "timeframe", "ts_utc", hashing.candle_hash().alias("h"))
-    key = ["exchange", "symbol", "timeframe", "ts_utc"]
-    first = c.groupBy(*key).agg(F.min(F.struct("candle_id", "h")).alias("f"))
-    return c.join(first, key).select("candle_id", F.when(F.col("candle_id") == F.col("f.candle_id"), "UNIQUE").when(F.col("h") == F.col("f.h"), "SAME_HASH").otherwise("HASH_CONFLICT").alias("status"))
+    """Each candle against the first of its key, by the hash of instant and OHLCV."""
+    return replicas.duplicate_status(_t(spark, d, "candles"))
 
 
 @query("""SELECT event_id, CAST(CAST(CAST(value AS DECIMAL(20,8)) * 100000000 AS DECIMAL(38,0)) AS VARCHAR) AS scaled, CAST(CAST(value AS DECIMAL(20,8)) AS VARCHAR) AS price FROM events""")
@@ -377,8 +410,10 @@ def drift(spark, d):
     return reconcile.drift(_hot_cold(spark, d)).withColumn("drift", F.round(F.col("drift").cast("double"), 9))
 
 
-@query(f"""WITH {TICKS}, b AS (SELECT exchange, symbol, us // 3600000000 AS k, CAST(sum(quantity) AS DECIMAL(26,8)) AS volume FROM t GROUP BY 1, 2, 3)
-SELECT exchange, symbol, count(*) AS n_bars, count(*) FILTER (k % 10 = 0) AS n_mismatches, count(*) FILTER (k % 10 = 0) / CAST(count(*) AS DOUBLE) AS share FROM b GROUP BY 1, 2""")
+@query(f"""WITH {TICKS}, a AS (SELECT exchange, symbol, us // 3600000000 AS k, CAST(sum(quantity) AS DECIMAL(27,8)) AS volume FROM t GROUP BY 1, 2, 3),
+b AS (SELECT exchange, symbol, k, CASE WHEN k % 10 = 0 THEN volume + 1 ELSE volume END AS volume FROM a),
+j AS (SELECT coalesce(a.exchange, b.exchange) AS exchange, coalesce(a.symbol, b.symbol) AS symbol, a.volume IS DISTINCT FROM b.volume AS bad FROM a FULL JOIN b ON a.exchange = b.exchange AND a.symbol = b.symbol AND a.k = b.k)
+SELECT exchange, symbol, count(*) AS n_bars, count(*) FILTER (bad) AS n_mismatches, count(*) FILTER (bad) / CAST(count(*) AS DOUBLE) AS share FROM j GROUP BY 1, 2""")
 def dual_write_diff(spark, d):
     """Hourly volumes against a copy in which every tenth is altered."""
     t = ticks(spark, d).withColumn("k", normal.bucket(us("ts_utc"), 3_600_000_000))
@@ -393,9 +428,10 @@ def dual_write_diff(spark, d):
 FROM (SELECT chunk_id, max(n_rows) AS n_rows FROM chunks GROUP BY 1) c LEFT JOIN (SELECT chunk_id, count(*) AS n FROM chunk_rows GROUP BY 1) r USING (chunk_id)""")
 def listed_counts(spark, d):
     """Row counts as listed against those stored."""
-    c = _t(spark, d, "chunks").groupBy("chunk_id").agg(F.max("n_rows").alias("n_rows"))
-    n = _t(spark, d, "chunk_rows").groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"))
-    return c.join(n, "chunk_id", "left").select("chunk_id", "n_rows", F.coalesce("n", F.lit(0)).alias("n_stored"), F.when(F.col("n").isNull(), "SKIP").when(F.col("n") == F.col("n_rows"), "PASS").otherwise("FAIL").alias("verdict"))
+    c = _t(spark, d, "chunks").groupBy("chunk_id").agg(F.max("n_rows").alias("n_left"))
+    n = _t(spark, d, "chunk_rows").groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n_right"))
+    got = reconcile.compared_counts(c, n, ["chunk_id"]).where("n_left is not null")
+    return got.select("chunk_id", F.col("n_left").alias("n_rows"), F.coalesce("n_right", F.lit(0)).alias("n_stored"), "verdict")
 
 
 @query("SELECT DISTINCT chunk_id FROM chunks WHERE chunk_id NOT IN (SELECT chunk_id FROM chunk_rows WHERE chunk_id IS NOT NULL)")
@@ -427,17 +463,18 @@ def tick_upgrade(spark, d):
 @query(f"""WITH {TICKS} SELECT exchange, symbol, us AS ts_us, seq, CAST(price AS VARCHAR) AS price, CAST(quantity AS VARCHAR) AS quantity FROM t""")
 def wal_round_trip(spark, d):
     """Ticks written as JSON lines and decoded with exact decimals."""
-    t = ticks(spark, d)
-    line = F.to_json(F.struct(us("ts_utc").alias("us"), "exchange", "symbol", "price", "quantity", "seq"))
-    r = t.select(F.from_json(line, "us bigint, exchange string, symbol string, price decimal(20,8), quantity decimal(16,8), seq bigint").alias("r")).select("r.*")
-    return r.select("exchange", "symbol", F.col("us").alias("ts_us"), "seq", F.col("price").cast("string").alias("price"), F.col("quantity").cast("string").alias("quantity"))
+    t = ticks(spark, d).select("ts_utc", "exchange", "symbol", F.col("price").cast("decimal(38,18)").alias("price"), F.col("quantity").cast("decimal(38,18)").alias("quantity"), F.concat("side", F.lit(":"), "seq").alias("side"), F.lit("transaction").alias("channel"))
+    r = catalog.numbered_lines(catalog.encoded(t).withColumn("file", F.lit("log")), "transaction").withColumn("ts_utc", F.to_timestamp("ts_utc"))
+    text = lambda c, kind: F.col(c).cast(kind).cast("string").alias(c)
+    return r.select("exchange", "symbol", us("ts_utc").alias("ts_us"), F.split_part("side", F.lit(":"), F.lit(2)).cast("bigint").alias("seq"), text("price", "decimal(20,8)"), text("quantity", "decimal(16,8)"))
 
 
 @query("""SELECT node_id, quantile_disc(epoch_us(received_at) - epoch_us(ts_utc), 0.99) AS p99_us, CAST(avg(epoch_us(received_at) - epoch_us(ts_utc)) AS BIGINT) AS mean_us FROM orderbook_depth GROUP BY 1""")
 def delay_p99(spark, d):
     """Nearest-rank percentile and mean of the delays a node."""
-    x = us("received_at") - us("ts_utc")
-    return _t(spark, d, "orderbook_depth").select("node_id", x.alias("x")).groupBy("node_id").agg(F.expr("percentile_disc(0.99) within group (order by x)").cast("bigint").alias("p99_us"), F.round(F.avg("x")).cast("bigint").alias("mean_us"))
+    x = _t(spark, d, "orderbook_depth").select("node_id", (us("received_at") - us("ts_utc")).alias("x"))
+    p99 = health.nearest_rank(x, ["node_id"], "x", 0.99).select("node_id", F.col("x").alias("p99_us"))  # a row a node, as are the means
+    return p99.join(x.groupBy("node_id").agg(F.round(F.avg("x")).cast("bigint").alias("mean_us")), "node_id")
 
 
 @query("""SELECT node_id, epoch_us(max(received_at)) AS last_us, CASE WHEN (epoch_us(TIMESTAMPTZ '2025-03-15 00:00:00+00') - epoch_us(max(received_at))) / 1e6 <= 30 THEN 'GREEN'
@@ -468,8 +505,8 @@ SELECT f.symbol, count(*) AS n_listed, count(r.date) AS n_stored, count(r.date)
 def tier_coverage_ratio(spark, d):
     """Of the days listed for each symbol, the share that has stored rows."""
     f = _files(spark, d).select("symbol", "date").distinct()
-    r = _t(spark, d, "chunk_rows").select(F.col("symbol"), F.to_date("ts_utc").cast("string").alias("date")).distinct().withColumn("there", F.lit(1))
-    return f.join(r, ["symbol", "date"], "left").groupBy("symbol").agg(F.count(F.lit(1)).alias("n_listed"), F.count("there").alias("n_stored"), (F.count("there") / F.count(F.lit(1))).alias("ratio"))
+    r = _t(spark, d, "chunk_rows").select(F.col("symbol"), F.to_date("ts_utc").cast("string").alias("date")).distinct()
+    return reconcile.coverage_ratio(f, r, ["symbol"], ["date"]).select("symbol", F.col("n_expected").alias("n_listed"), F.col("n_present").alias("n_stored"), "ratio")
 
 
 @query("""WITH g AS (SELECT exchange, symbol, count(DISTINCT data_hash) AS hashes, count(*) AS n FROM candles GROUP BY 1, 2)
