@@ -90,7 +90,7 @@ def bucketed_gaps(rows: DataFrame, series: Sequence[str], ts: str, threshold_s:
     Buckets are ``threshold_s`` wide, so a gap always spans two buckets; each bucket is reduced to its first and last instant before the shuffle, and only
     those meet in one task a series. Rows without an instant play no part.
     """
-    limit = F.greatest((F.lit(threshold_s) * 1_000_000).cast("bigint"), F.lit(1)) if not isinstance(threshold_s, Column) else F.greatest((threshold_s * 1_000_000).cast("bigint"), F.lit(1))
+    limit = F.greatest((threshold_s.cast("double") * 1e6).cast("bigint"), F.lit(1)) if isinstance(threshold_s, Column) else F.lit(max(int(threshold_s * 1_000_000), 1)).cast("bigint")
     placed = rows.where(F.col(ts).isNotNull()).select(*series, ts, limit.alias("_limit"))
     ends = placed.groupBy(*series, normal.bucket(F.unix_micros(ts), F.col("_limit")).alias("bucket")).agg(F.min(ts).alias("first"), F.max(ts).alias("last"), F.max("_limit").alias("_limit"))
     w = Window.partitionBy(*series).orderBy("bucket")

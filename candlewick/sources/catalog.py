@@ -1,6 +1,8 @@
 """Scans of the lake's layouts: explicit schemas, columns from the path, half-open windows, no lookahead."""
 
-from datetime import date, datetime, timedelta
+import re
+from datetime import UTC, date, datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,12 +173,12 @@ def numbered_lines(files_: DataFrame, channel: str, value: str = "value") -> Dat
 
 def wal_files(spark: SparkSession, names: list[str], channel: str) -> DataFrame:
     """Records of the named segments, each of which is a few minutes' log and is read as a whole, as lines are numbered within it."""
-    return numbered_lines(spark.read.option("wholetext", "true").text(names).select("value", F.col("_metadata.file_path").alias("file")), channel)
+    return numbered_lines(spark.read.text(names, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")), channel)
 
 
 def wal(spark: SparkSession, path: str, channel: str, pattern: str = "*.ndjson*") -> DataFrame:
     """Records of all segments under a folder whose names match, markers (which are empty) and active ones too."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(path)
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
     return numbered_lines(raw.select("value", F.col("_metadata.file_path").alias("file")), channel)
 
 
@@ -194,9 +196,25 @@ def touch(spark: SparkSession, names: list[str]) -> None:
         p.getFileSystem(conf).createNewFile(p)
 
 
+LISTING = "path string, length bigint, modified timestamp"
+
+
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length, modified, exchange, symbol, channel, tier, date, hour, node) of every file; contents aren't read."""
-    got = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+    """(path, length, modified, exchange, symbol, tier, date, hour, node, channel) of every file whose name matches; contents aren't read. A missing folder has none.
+
+    The file source leaves out empty files, such as markers; these are added from its index, one look-up each.
+    """
+    got = spark.createDataFrame([], LISTING)
+    if exists(spark, path):
+        source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+        got = source.select("path", "length", F.col("modificationTime").alias("modified"))
+        names = spark.createDataFrame([(re.sub("^file:/+", "file:/", unquote(n)),) for n in source.inputFiles()], "path string")
+        conf, empty = spark.sparkContext._jsc.hadoopConfiguration(), []
+        for r in names.join(got, "path", "left_anti").toLocalIterator():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(r.path)
+            empty.append((r.path, 0, datetime.fromtimestamp(p.getFileSystem(conf).getFileStatus(p).getModificationTime() / 1000, UTC)))
+        if empty:
+            got = got.unionByName(spark.createDataFrame(empty, LISTING))
     p = F.col("path")
     return got.select("path", "length", "modified", *(paths.hive(p, k).alias(k) for k in ("exchange", "symbol", "tier", "date", "hour")), paths.node(p).alias("node"), F.regexp_extract(p, r"/market/([^/]+)/", 1).alias("channel"))
 

@@ -104,7 +104,7 @@ def write_text(path: str, text: str) -> None:
 
 
 def read_text(path: str) -> str:
-    return "".join(r.value for r in SparkSession.active().read.option("wholetext", "true").text(path).collect())
+    return "".join(r.value for r in SparkSession.active().read.text(path, wholetext=True).collect())
 
 
 def write_json(path: str, value: dict) -> None:
@@ -116,10 +116,18 @@ def read_json(path: str) -> dict:
     return json.loads(read_text(path))
 
 
-def manifests_of(spark: SparkSession, path: str, symbol: str) -> DataFrame:
-    """(collector_run_id, selected_symbols, path) of the manifests under a folder whose ``selected_symbols`` contain the symbol."""
-    got = spark.read.schema("collector_run_id string, selected_symbols array<string>").option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
-    return got.where(F.array_contains("selected_symbols", symbol)).select("collector_run_id", "selected_symbols", F.col("_metadata.file_path").alias("path"))
+MANIFEST = "collector_run_id string, selected_symbols array<string>"
+
+
+def manifests(spark: SparkSession, path: str) -> DataFrame:
+    """The manifests under a folder, one JSON object a file, however it is laid out, with ``path``."""
+    got = spark.read.schema(MANIFEST).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(path)
+    return got.select("*", F.col("_metadata.file_path").alias("path"))
+
+
+def manifests_of(manifests_: DataFrame, symbol: str) -> DataFrame:
+    """Manifests whose ``selected_symbols`` contain the symbol."""
+    return manifests_.where(F.array_contains("selected_symbols", symbol))
 
 
 def front_matter(values: dict) -> str:

@@ -20,7 +20,7 @@ _STATE = "window bigint, first_us bigint, last_us bigint, open string, high stri
 
 def wal_stream(spark: SparkSession, path: str, channel: str, files_per_batch: int = 1000) -> DataFrame:
     """Records of one channel from sealed segments as they appear; the checkpoint knows which were read."""
-    raw = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sealed").option("maxFilesPerTrigger", files_per_batch).option("wholetext", "true").text(path)
+    raw = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.sealed").option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True)
     return catalog.numbered_lines(raw.select("value", F.col("_metadata.file_path").alias("file")), channel)
 
 

@@ -1,6 +1,7 @@
 """Market operators: hand-computed cases, round trips, streams against batch."""
 
 import datetime as dt
+import json
 import random
 from bisect import bisect_left
 from decimal import Decimal
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from candlewick import schemas
 from candlewick.functions import hashing, normal, paths
 from candlewick.operators import asof, bars, book, health, quality, reconcile, replicas, tiers, walks
-from candlewick.plans import market_queries
-from candlewick.sources import catalog, sinks
+from candlewick import __main__ as cli
+from candlewick.plans import market_queries, placement
+from candlewick.sources import catalog, session, sinks
 from candlewick.streaming import live
 
 T0 = dt.datetime(2025, 1, 6, tzinfo=dt.UTC)
@@ -277,10 +279,24 @@ def test_sets_samples_and_causes(spark):
     assert {r.k: r.cause for r in reconcile.gap_causes(g, h, 30).collect()} == {"a": "UNKNOWN", "b": "LIKELY_NODE_DOWN"}
     flat = reconcile.flat_first(spark.createDataFrame([(1, "f")], "k int, v string"), spark.createDataFrame([(1, "l"), (2, "l")], "k int, v string"), ["k"])
     assert sorted(map(tuple, flat.collect())) == [(1, "f"), (2, "l")]
-    ddl = "name string, rows int, bytes int, digest string, schema string"
-    x, y = spark.createDataFrame([("a", 1, 2, "d", "s")], ddl), spark.createDataFrame([("a", 1, 2, "e", "s")], ddl)
-    got = reconcile.file_invariants(x, y).first()
-    assert got.same_count and got.same_names and got.same_bytes and not got.same_digests
+
+
+def test_eight_file_checks(spark):
+    ddl = "name string, rows int, digest string, names array<string>, types array<string>, schema_version string, authoritative boolean"
+    row = lambda **k: tuple({"name": "a", "rows": 1, "digest": "d", "names": ["x", "y"], "types": ["int", "dec"], "schema_version": "s.v1", "authoritative": False, **k}.values())
+    cases = {
+        "all_pass": {}, "sha256": {"digest": "e"}, "row_count": {"rows": 2}, "column_order": {"names": ["y", "x"]}, "dtype": {"types": ["int", "str"]}, "schema_version": {"schema_version": "s.v2"},
+        "column_count": {"names": ["x"]}, "object_count": None, "ambiguity": {"authoritative": True},
+    }
+    for name, change in cases.items():
+        left = [row(authoritative=name == "ambiguity")]
+        right = [row(**change)] if change is not None else [row(), row(name="b")]
+        got = reconcile.file_invariants(spark.createDataFrame(left, ddl), spark.createDataFrame(right, ddl), {"s.v1": ["x", "y"]})
+        assert [r.invariant for r in got.collect()] == list(reconcile.INVARIANTS)
+        assert reconcile.invariant_status(got) == (name if name == "all_pass" else f"{name}_fail")
+    x = spark.createDataFrame([row()], ddl)
+    assert reconcile.invariant_status(reconcile.file_invariants(x, x, {})) == "column_count_fail"
+    assert reconcile.invariant_status(reconcile.file_invariants(x.limit(0), x.limit(0), {"s.v1": ["x", "y"]})) == "all_pass"
 
 
 def test_health(spark):
@@ -400,11 +416,197 @@ def wal_lines(channel, n):
     return "".join("{" + base(i) + ", " + body + "}\n" for i in range(n))
 
 
+def test_segments_are_compacted_once_and_nothing_is_lost(spark, tmp_path):
+    """Active segments and markers aren't read; a repeated run changes nothing; removing segments from the log loses no rows; frames are numbered within their file."""
+    seg = tmp_path / "wal/north/orderbookdepth/KRW-A/2025-01-06"
+    seg.mkdir(parents=True)
+    out = str(tmp_path / "l1")
+    name = lambda i, end: seg / f"segment-20250106T00{i:02d}00Z-NODE_A.ndjson{end}"
+    name(0, ".sealed").write_text(wal_lines("orderbookdepth", 5) + "\n")
+    name(5, ".sealed").write_text(wal_lines("orderbookdepth", 3))
+    name(10, "").write_text(wal_lines("orderbookdepth", 7))
+    (tmp_path / "wal/north/transaction").mkdir()
+    (tmp_path / "wal/north/transaction/segment-20250106T000000Z-NODE_A.ndjson.sealed").write_text(wal_lines("transaction", 4))
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth", upto="20250106T000000Z") == 1
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth", since="2025-01-07") == 0
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth") == 1
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth") == 0
+    name(0, ".sealed.compacted").unlink()
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth") == 1  # again: its marker is gone
+    for f in seg.glob("*.sealed*"):
+        f.unlink()
+    name(15, ".sealed").write_text(wal_lines("orderbookdepth", 2))
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), out, "orderbookdepth") == 1
+    rows = spark.read.parquet(out)
+    assert sorted(r.ingest_seq for r in rows.collect()) == sorted([*range(5), *range(3), *range(2)])
+    assert rows.select("segment").distinct().count() == 3
+    tiers.merge_tier(spark, out, str(tmp_path / "l2"), "hour", since="2025-01-06", until="2025-01-06")
+    tiers.merge_tier(spark, out, str(tmp_path / "none"), "hour", since="2025-01-07")
+    assert tiers.verify_merge(rows, spark.read.parquet(str(tmp_path / "l2"))).collect()[0][:] == ("north", "KRW-A", 10, 10, True)
+    assert not tiers.verify_merge(rows.limit(9), spark.read.parquet(str(tmp_path / "l2"))).first().equal
+
+
+def test_a_malformed_frame_raises(spark):
+    bad = wal_lines("orderbookdepth", 1).replace('"side": "bid", ', "")
+    got = catalog.numbered_lines(spark.createDataFrame([("f", bad)], "file string, value string"), "orderbookdepth")
+    with pytest.raises(Exception, match="lacks side"):
+        tiers.rows_of(got, "orderbookdepth").collect()
+
+
+def test_tiers_follow_in_streams(spark, tmp_path):
+    seg = tmp_path / "wal/north/transaction"
+    seg.mkdir(parents=True)
+    (seg / "segment-1-NODE_A.ndjson.sealed").write_text(wal_lines("transaction", 5))
+    tiers.compact_segments(spark, str(tmp_path / "wal"), str(tmp_path / "l1"), "transaction")
+    step = lambda: live.restarting(lambda: live.merge_stream(spark, str(tmp_path / "l1"), str(tmp_path / "l2"), str(tmp_path / "cp"), "hour"))
+    assert step() == 0 and spark.read.parquet(str(tmp_path / "l2")).count() == 5
+    (seg / "segment-2-NODE_A.ndjson.sealed").write_text(wal_lines("transaction", 3))
+    tiers.compact_segments(spark, str(tmp_path / "wal"), str(tmp_path / "l1"), "transaction")
+    step()
+    assert spark.read.parquet(str(tmp_path / "l2")).count() == 8
+    waits = []
+
+    def failing():
+        stream = spark.readStream.format("rate").load().withColumn("x", F.raise_error(F.lit("boom")))
+        return stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp2")).start()
+
+    with pytest.raises(Exception, match="boom"):
+        live.restarting(failing, (1, 2), waits.append)
+    assert waits == [1, 2]
+
+
+def test_late_rows_and_counters(spark, tmp_path):
+    rows = [("KRW-A", "depth", at(i), at(i + (900 if i == 3 else 1)), i) for i in range(6)]
+    spark.createDataFrame(rows, "symbol string, tier string, ts_utc timestamp, received_at timestamp, bytes int").write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("symbol string, tier string, ts_utc timestamp, received_at timestamp, bytes int").parquet(str(tmp_path / "in"))
+    live.late_rows(stream(), str(tmp_path / "late"), str(tmp_path / "cp"), 600).awaitTermination(60)
+    assert [r.bytes for r in spark.read.parquet(str(tmp_path / "late")).collect()] == [3]
+    q = live.coverage_counters(stream()).writeStream.outputMode("update").format("memory").queryName("counters").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp2")).start()
+    q.awaitTermination(60)
+    assert [(r.row_count, r.byte_count) for r in spark.sql("select * from counters").collect()] == [(6, 15)]
+
+
+def test_scans_read_the_days_they_need(spark, tmp_path):
+    c = spark.createDataFrame([candle(i, 1440 * i) for i in range(4)], CANDLE).drop("candle_id")
+    sinks.write_candles(c, str(tmp_path), "snap")
+    days = lambda df: sorted(f.split("date=")[1][:2] for f in df.inputFiles())
+    base = str(tmp_path / "market/ohlcv/schema_version=ohlcv.v1/exchange=north/symbol=KRW-A/timeframe=1m")
+    assert days(catalog.read(spark, [base], "ohlcv.v1", dt.date(2025, 1, 7), dt.date(2025, 1, 8))) == ["07", "08"]
+    assert days(catalog.read(spark, [base], "ohlcv.v1")) == ["06", "07", "08", "09"]
+    got = catalog.scan_candles(spark, str(tmp_path), "north", "KRW-A", "1m", "2025-01-07T00:00:00+00:00", "2025-01-08T00:00:00+00:00")
+    assert got.count() == 1 and days(got) == ["07", "08"]
+    assert catalog.scan_candles(spark, str(tmp_path), "north", "KRW-A", "1m", "2025-03-07T00:00:00+00:00", "2025-03-08T00:00:00+00:00").count() == 0
+
+
+def test_a_hot_day_is_cut_into_files_by_time(spark, tmp_path):
+    t = ticks(spark, [(i, 1, 1) for i in range(2000)]).unionByName(ticks(spark, [(i, 1, 1) for i in range(5)], "KRW-B"))
+    placement.by_time(t, str(tmp_path / "t"), ["exchange", "symbol"], "ts_utc", ["ts_utc"], span_s=60, target_rows=300)
+    got = spark.read.parquet(str(tmp_path / "t")).selectExpr("symbol", "_metadata.file_path f", "ts_utc").groupBy("symbol", "f").agg(F.count(F.lit(1)).alias("n"), F.min("ts_utc").alias("a"), F.max("ts_utc").alias("b")).collect()
+    hot = sorted((r.a, r.b, r.n) for r in got if r.symbol == "KRW-A")
+    assert len(hot) == 7 and sum(n for *_, n in hot) == 2000 and max(n for *_, n in hot) <= 400 and all(x[1] < y[0] for x, y in zip(hot, hot[1:]))
+    assert [r.n for r in got if r.symbol == "KRW-B"] == [5]
+    placement.by_time(t.limit(0), str(tmp_path / "t"), ["exchange", "symbol"], "ts_utc", ["ts_utc"])
+    one = ticks(spark, [(0, 1, 1)] * 900).withColumn("exchange", F.lit(None).cast("string"))  # one instant, no exchange
+    placement.by_time(one, str(tmp_path / "one"), ["exchange"], "ts_utc", ["seq"], target_rows=300)
+    assert spark.read.parquet(str(tmp_path / "one")).where("exchange is null").count() == 900
+
+
+def test_small_artefacts(spark, tmp_path):
+    path = str(tmp_path / "a/b.json")
+    for v in ({"x": 1}, {"x": "ü"}):
+        sinks.write_json(path, v)
+    assert sinks.read_json(path) == {"x": "ü"} and [f.name for f in (tmp_path / "a").iterdir() if not f.name.startswith(".")] == ["b.json"]
+    for run, symbols in (("r1", ["KRW-A", "KRW-B"]), ("r2", ["KRW-B"])):
+        sinks.write_text(str(tmp_path / f"m/{run}.json"), json.dumps({"collector_run_id": run, "selected_symbols": symbols}, indent=2))
+    assert [r.collector_run_id for r in sinks.manifests_of(sinks.manifests(spark, str(tmp_path / "m")), "KRW-A").collect()] == ["r1"]
+    rows = spark.range(3)
+    assert [sinks.put_batch(rows, str(tmp_path / "p"), b) for b in ("a", "a", "b")] == ["written", "skipped", "conflict"] and spark.read.parquet(str(tmp_path / "p")).count() == 3
+    assert sinks.request_hash({"b": 1, "a": 2}) == sinks.request_hash({"a": 2, "b": 1}) != sinks.request_hash({"a": 1})
+    assert sinks.front_matter({"a": 1, "b": "x"}) == '---\na: 1\nb: "x"\n---\n'
+    with pytest.raises(TypeError, match="x"):
+        catalog.encoded(spark.range(1).select(F.lit(0.5).alias("x")))
+
+
+def test_lists_days_and_closed_bars(spark):
+    rows = spark.createDataFrame([("n", "t"), ("n", "d"), ("s", "d"), ("x", "t"), ("n", None)], "exchange string, channel string")
+    kept, refused = quality.allowed(rows, [("n", "t"), ("n", "d"), ("s", "t")])
+    assert kept.count() == 2 and {(r.exchange, r.channel): r.reason for r in refused.collect()} == {("s", "d"): "UNSUPPORTED", ("x", "t"): "UNKNOWN exchange", ("n", None): "UNKNOWN channel"}
+    quality.require_allowed(("n", "t"), [("n", "t")])
+    for bad, text in ((("x", "t"), "unknown exchange"), (("s", "d"), "unsupported")):
+        with pytest.raises(ValueError, match=text):
+            quality.require_allowed(bad, [("n", "t"), ("n", "d"), ("s", "t")])
+    d = spark.createDataFrame([("2025-01-05",), ("2025-01-06",), ("x",), (None,)], "date string")
+    assert [r.date for r in quality.closed_days(d, "2025-01-06").collect()] == ["2025-01-05"]
+    now = spark.createDataFrame([(dt.datetime(2025, 1, 6, 14, 59, 30, tzinfo=dt.UTC),), (dt.datetime(2025, 1, 6, 15, 0, tzinfo=dt.UTC),)], "t timestamp")
+    assert [r[0].isoformat() for r in now.select(normal.last_closed(F.col("t"), "1d")).collect()] == ["2025-01-05T15:00:00", "2025-01-06T15:00:00"]
+    assert now.select(normal.last_closed(F.col("t"), "15m")).first()[0].isoformat() == "2025-01-06T14:45:00"
+    with pytest.raises(ValueError, match="timeframe"):
+        normal.last_closed(F.col("t"), "2m")
+    raw = spark.createDataFrame([("x" * 9,), ("short",), (None,)], "raw_json string")
+    assert quality.redacted(raw).columns == [] and [r[0] for r in quality.redacted(raw, 5).collect()] == ["xxxxx [truncated, len=9]", "short", None]
+
+
+def test_ranks_reports_and_queues(spark, tmp_path):
+    r = random.Random(4)
+    rows = [("a", r.choice([r.randrange(-(10**12), 10**12), 7])) for _ in range(700)] + [("b", 5), ("b", None), (None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "k string, x bigint")
+    for q in (0.01, 0.5, 0.99, 1.0):
+        got = {x.k: (x.n, x.x) for x in health.nearest_rank(df, ["k"], "x", q).collect()}
+        for k in ("a", "b", None):
+            own = sorted(v for kk, v in rows if kk == k and v is not None)
+            assert got[k] == (len(own), own[max(-(-int(q * 100) * len(own) // 100), 1) - 1])
+    assert health.nearest_rank(df.limit(0), ["k"], "x", 0.5).collect() == []
+    files = spark.createDataFrame([("n", "A", "2025-01-06", 2**30, at(0)), ("s", "A", "2025-01-06", None, at(50))], "exchange string, symbol string, date string, bytes bigint, modified timestamp")
+    none = spark.createDataFrame([], "day date")
+    rep = health.report(files, none, none, F.lit(at(70)), 1.1)
+    assert [(x.layer, x.verdict, x.actual) for x in rep.collect()] == [("volume", "PASS", 1.0), ("gap", "PASS", 0.0), ("file_count", "PASS", 2.0), ("lag", "FAIL", 70.0)]
+    assert json.loads(health.formatted(rep, "json"))["overall"] == "FAIL" and health.formatted(rep, "csv").count("\n") == 5 and "| volume | 1.0 | 1.1 |" in health.formatted(rep, "markdown")
+    assert [x.verdict for x in health.report(files.limit(0), none, none, F.lit(at(70)), 0).collect()] == ["FAIL", "PASS", "PASS", "N/A"]
+    q = spark.createDataFrame([("p", 5), ("p", None), (None, 1)], "status string, bytes bigint")
+    assert {(x.status, x.depth, x.bytes) for x in health.queue_depth(q).collect()} == {("p", 2, 5), ("unknown", 1, 1), ("all", 3, 6)}
+    assert spark.range(1).select(health.hit_ratio(F.lit(3), F.lit(1)), health.hit_ratio(F.lit(0), F.lit(0))).first()[:] == (0.75, None)
+    names = spark.createDataFrame([("/x/part-r1.parquet",), ("/x/run-7-0003.parquet",), ("plain.parquet",)], "p string")
+    assert [x[0] for x in names.select(health.run_id(F.col("p"))).collect()] == ["r1", "run-7", "plain"]
+
+
+def test_contracts_and_kinds_of_bars(spark):
+    c = bars.Contract("vol_5", at(0), Decimal(5), 8, "HALF_EVEN", at(9), "current_tick")
+    assert len(c.contract_id) == 16 and c.contract_id == bars.Contract("vol_5", at(0), Decimal(5), 8, "HALF_EVEN", at(9), "current_tick").contract_id != bars.Contract("vol_5", at(0), Decimal(6), 8, "HALF_EVEN", at(9), "current_tick").contract_id
+    for bad in ({"bar_label": ""}, {"threshold": Decimal(0)}, {"precision": -1}, {"tie_breaking": "x"}, {"genesis_ts": dt.datetime(2025, 1, 1)}):
+        with pytest.raises(ValueError):
+            bars.Contract(**({"bar_label": "vol_5", "genesis_ts": at(0), "threshold": Decimal(5), "precision": 8, "rounding_rule": "x", "source_cutoff": at(9), "tie_breaking": "current_tick"} | bad))
+    bars.register("lots", bars.summed_bars(F.col("price").cast("decimal(38,8)"), 8))
+    try:
+        assert out(bars.resample(ticks(spark, [(i, 3, 1) for i in range(7)]), "lots_6"), "n_ticks", "bar_label") == [(2, "lots_6")] * 3
+        with pytest.raises(ValueError, match="new kind"):
+            bars.register("vol", bars.tick_bars)
+    finally:
+        bars.KINDS.pop("lots")
+
+
+def test_sessions_and_command_line(spark, tmp_path, monkeypatch):
+    got = session.settings(session.ObjectStore("http://store:9000", "a", "b"), {"spark.sql.adaptive.enabled": "false"})
+    assert got["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000" and got["spark.hadoop.fs.s3a.path.style.access"] == "true" and got["spark.sql.adaptive.enabled"] == "false"
+    assert "spark.hadoop.fs.s3a.access.key" not in session.settings(session.ObjectStore("x"))
+    monkeypatch.setattr(session, "session", lambda **k: spark)
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert cli.run(["query", "--folder", str(tmp_path), "--table", "t", "--sql", "select count(*) n from t"]) == (0, "n\n3")
+    assert cli.run(["compact", "--wal", str(tmp_path / "no"), "--out", str(tmp_path / "o"), "--channel", "transaction"])[1] == "0 segments"
+    c = spark.createDataFrame([candle(i, 1440 * i) for i in (0, 2)], CANDLE).drop("candle_id")
+    placement.by_time(c.withColumn("date", F.to_date("ts_utc").cast("string")), str(tmp_path / "h"), ["exchange", "symbol", "date"], "ts_utc", ["ts_utc"])
+    code, text = cli.run(["health-check", "--folder", str(tmp_path / "h"), "--expected-gib", "1", "--format", "json"])
+    layers = {x["layer"]: x["verdict"] for x in json.loads(text)["layers"]}
+    assert code == 1 and layers["gap"] == "FAIL" and layers["volume"] == "FAIL"
+    assert cli.run(["effective-config"])[0] == 0
+
+
 @pytest.mark.parametrize(("channel", "rows"), [("transaction", 5), ("orderbooksnapshot", 15), ("orderbookdepth", 5)])
 def test_log_to_tiers_in_batch_and_stream(spark, tmp_path, channel, rows):
     seg = tmp_path / "wal/north" / channel
     seg.mkdir(parents=True)
     (seg / "segment-20250106T000000Z-NODE_A.ndjson.sealed").write_text(wal_lines(channel, 5))
+    listing = catalog.files(spark, str(tmp_path / "wal"))
+    assert [r.node for r in catalog.pending(listing).collect()] == ["DEFAULT"]
     tiers.compact_segments(spark, str(tmp_path / "wal"), str(tmp_path / "l1"), channel)
     l1 = spark.read.parquet(str(tmp_path / "l1"))
     assert l1.count() == rows
@@ -416,8 +618,7 @@ def test_log_to_tiers_in_batch_and_stream(spark, tmp_path, channel, rows):
     q = live.compact_stream(live.wal_stream(spark, str(tmp_path / "wal"), channel), str(tmp_path / "s"), str(tmp_path / "cp"), channel)
     q.awaitTermination(120)
     assert spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "s")).count() == rows
-    listing = catalog.files(spark, str(tmp_path / "wal"))
-    assert [r.node for r in catalog.pending(listing).collect()] == ["DEFAULT"]
+    assert catalog.pending(catalog.files(spark, str(tmp_path / "wal"))).count() == 0
 
 
 def test_a_copy_revised_in_any_field_of_its_hash_is_a_conflict(spark, tmp_path):
