@@ -5,7 +5,7 @@ files its key. Both carry the change's sequence number. A reader drops each row
 Order comes from the sequence number alone, so that repeated, late and out-of-order changes need no care when appended.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +25,18 @@ class Feed:
     row_id: str
     valid: Column
     deletes: Column
+    payload: dict[str, Column] = field(default_factory=dict)  # other columns of a row, carried with inserts
 
 
-def depth_feed() -> Feed:
-    """``orderbook_depth.v1``: a row sets one level; quantity 0 (or less) removes it. Rows lacking side, price or quantity aren't changes."""
+def depth_feed(payload: bool = False) -> Feed:
+    """``orderbook_depth.v1``: a row sets one level; quantity 0 (or less) removes it. Rows lacking side, price or quantity aren't changes. ``payload`` carries the quantity."""
     return Feed(
         key={"exchange": F.col("exchange"), "symbol": F.col("symbol"), "side": normal.side(F.col("side")), "price": F.col("price")},
         sequence=(F.unix_micros("ts_utc"), F.col("ingest_seq")),
         row_id="depth_id",
         valid=normal.side(F.col("side")).isNotNull() & F.col("price").isNotNull() & F.col("quantity").isNotNull() & F.col("ts_utc").isNotNull(),
         deletes=F.col("quantity") <= 0,
+        payload={"quantity": F.col("quantity")} if payload else {},
     )
 
 
@@ -45,14 +47,15 @@ def _seq(feed: Feed) -> Column:
 
 
 def split(changes: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
-    """(inserts, deletes) of the changes, as they are appended: key columns named ``k_...`` and ``seq``.
+    """(inserts, deletes) of the changes, as they are appended: key columns named ``k_...``, ``seq``, and of inserts ``p_...``.
 
     An update is a delete of the key's earlier rows and an insert, so every change yields a delete key. A null key part is a
     value of its own. Other columns of ``changes`` play no part, whatever their names.
     """
     keys = [c.alias(f"k_{n}") for n, c in feed.key.items()]
     kept = changes.where(feed.valid)
-    return kept.where(~feed.deletes).select(*keys, _seq(feed).alias("seq")), kept.select(*keys, _seq(feed).alias("seq"))
+    payload = [c.alias(f"p_{n}") for n, c in feed.payload.items()]
+    return kept.where(~feed.deletes).select(*keys, _seq(feed).alias("seq"), *payload), kept.select(*keys, _seq(feed).alias("seq"))
 
 
 def read_current(inserts: DataFrame, deletes: DataFrame) -> DataFrame:
@@ -61,8 +64,11 @@ def read_current(inserts: DataFrame, deletes: DataFrame) -> DataFrame:
     Of the inserts of one key only the last can survive, and of its deletes only the last matters; both are reduced to
     those before the shuffle (partial aggregation), so a key with a third of all changes sends one row a task.
     """
-    keys = [c for c in inserts.columns if c.startswith("k_")]
-    last = inserts.groupBy(*keys).agg(F.max("seq").alias("seq"))
+    keys, payload = ([c for c in inserts.columns if c.startswith(p)] for p in ("k_", "p_"))
+    if payload:  # travels in the struct that the maximum is taken of
+        last = inserts.groupBy(*keys).agg(F.max(F.struct("seq", *payload)).alias("r")).select(*keys, "r.*")
+    else:
+        last = inserts.groupBy(*keys).agg(F.max("seq").alias("seq"))
     gone = deletes.groupBy(*keys).agg(F.max("seq").alias("later")).select(*(F.col(k).alias(f"d_{k}") for k in keys), "later")
     same = F.lit(True)
     for k in keys:
@@ -71,10 +77,13 @@ def read_current(inserts: DataFrame, deletes: DataFrame) -> DataFrame:
 
 
 def current_rows(changes: DataFrame, feed: Feed | None = None) -> DataFrame:
-    """The surviving ``row_id`` of each key, with the key's columns. Empty changes give an empty result."""
+    """The surviving ``row_id`` of each key, with the key's columns and the payload. Empty changes give an empty result."""
     feed = feed or depth_feed()
-    out = read_current(*split(changes, feed))
-    return out.select((-F.col("seq.row")).alias(feed.row_id), *(F.col(f"k_{n}").alias(n) for n in feed.key))
+    return _named(read_current(*split(changes, feed)), feed)
+
+
+def _named(out: DataFrame, feed: Feed) -> DataFrame:
+    return out.select((-F.col("seq.row")).alias(feed.row_id), *(F.col(f"k_{n}").alias(n) for n in feed.key), *(F.col(f"p_{n}").alias(n) for n in feed.payload))
 
 
 class EqualityDeleteTable:
@@ -91,8 +100,7 @@ class EqualityDeleteTable:
 
     def read(self) -> DataFrame:
         got = self.spark.read.parquet
-        out = read_current(got(f"{self.path}/data"), got(f"{self.path}/deletes"))
-        return out.select((-F.col("seq.row")).alias(self.feed.row_id), *(F.col(f"k_{n}").alias(n) for n in self.feed.key))
+        return _named(read_current(got(f"{self.path}/data"), got(f"{self.path}/deletes")), self.feed)
 
     def compact(self, target: str) -> "EqualityDeleteTable":
         """A new table with one row and one delete key a key; the delete keys stay, for changes that arrive still later."""

@@ -48,7 +48,7 @@ def readings(candles: DataFrame) -> DataFrame:
     ts = F.unix_micros("ts_utc")
     return candles.select(
         "candle_id", *(F.coalesce(F.col(s), F.lit(NO_NAME)).alias(s) for s in SERIES), ts.alias("ts"), normal.bucket(ts, bar).alias("block"), F.unix_micros("source_ingested_at").alias("ingested"),
-        *(F.coalesce(bad[f], F.lit(False)).alias(f"bad_{f}") for f in FIELDS), *(excess[f].alias(f"e_{f}") for f in FIELDS), *(F.xxhash64(f).alias(f"v_{f}") for f in FIELDS),
+        *(F.coalesce(bad[f], F.lit(False)).alias(f"bad_{f}") for f in FIELDS), *(excess[f].alias(f"e_{f}") for f in FIELDS), *(F.when(F.col(f).isNotNull(), F.xxhash64(f)).otherwise(F.xxhash64(F.lit("no value"), ts)).alias(f"v_{f}") for f in FIELDS),
     )
 
 
@@ -146,10 +146,10 @@ def _stuck(found: DataFrame) -> DataFrame:
     return whole.where(F.col("total") >= STUCK_BARS).select(*keep).unionByName(found.where(F.col("kind") == "inner").select(*keep))
 
 
-def implausible(candles: DataFrame) -> DataFrame:
-    """(candle_id, field_name): every impossible, spiking or stuck reading; each copy of a bar that has it.
+def kinds(candles: DataFrame) -> DataFrame:
+    """(candle_id, field_name, kind): every ``impossible``, ``spike`` or ``stuck`` reading; each copy of a bar that has it. A reading may be impossible and stuck.
 
-    Series keys are taken as they are; a null key part is a value of its own.
+    Series keys are taken as they are; a null key part is a value of its own. Null values are never stuck.
     A source without readings or with equal ones has no spikes. Empty candles give an empty result.
     """
     rows = readings(candles)
@@ -160,6 +160,12 @@ def implausible(candles: DataFrame) -> DataFrame:
     marks = spikes.unionByName(_stuck(found).withColumn("limit", F.lit(None).cast("double")))
     pick = lambda p: F.when(F.col("field") == "high", F.col(f"{p}_high")).when(F.col("field") == "low", F.col(f"{p}_low")).otherwise(F.col(f"{p}_volume"))
     met = rows.join(marks, [*SERIES, "block"]).where(F.col("ts").between(F.col("ts_from"), F.col("ts_to")))
-    met = met.where((~pick("bad") & (pick("e") > F.col("limit"))) | (pick("v") == F.col("value_id"))).select("candle_id", F.col("field").alias("field_name"))
+    is_spike, is_stuck = ~pick("bad") & (pick("e") > F.col("limit")), pick("v") == F.col("value_id")
+    met = met.where(is_spike | is_stuck).select("candle_id", F.col("field").alias("field_name"), F.when(is_spike, "spike").otherwise("stuck").alias("kind"))
     bad: Column = F.array_compact(F.array(*(F.when(F.col(f"bad_{f}"), F.lit(f)) for f in FIELDS)))
-    return met.unionByName(rows.select("candle_id", F.explode(bad).alias("field_name"))).distinct()
+    return met.unionByName(rows.select("candle_id", F.explode(bad).alias("field_name")).withColumn("kind", F.lit("impossible"))).distinct()
+
+
+def implausible(candles: DataFrame) -> DataFrame:
+    """(candle_id, field_name) of ``kinds``, each once."""
+    return kinds(candles).select("candle_id", "field_name").distinct()

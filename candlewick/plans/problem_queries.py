@@ -14,6 +14,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return spikes.implausible(_t(spark, d, "candles"))
 
 
+def p1_certain(spark: SparkSession, d: str) -> DataFrame:
+    """Of the readings of p1_found, those that are impossible or stuck, with which."""
+    return spikes.kinds(_t(spark, d, "candles")).where("kind <> 'spike'")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return compact.contained_files(_t(spark, d, "chunk_rows"))
 
@@ -33,8 +38,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_book(spark: SparkSession, d: str) -> DataFrame:
     """The current book with its quantities."""
-    depth = _t(spark, d, "orderbook_depth")
-    return equality_deletes.current_rows(depth).join(depth.select("depth_id", "quantity"), "depth_id").select("exchange", "symbol", "side", "price", "quantity", "depth_id")
+    book = equality_deletes.current_rows(_t(spark, d, "orderbook_depth"), equality_deletes.depth_feed(payload=True))
+    return book.select("exchange", "symbol", "side", "price", "quantity", "depth_id")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -56,7 +61,7 @@ def p7_versions(spark: SparkSession, d: str) -> DataFrame:
     return versions.history(_t(spark, d, "exchange_metadata")).drop("attribute_hash")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_compacted, p4_found, p5_found, p5_book, p6_found, p6_views, p7_found, p7_versions)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_certain, p3_found, p3_compacted, p4_found, p5_found, p5_book, p6_found, p6_views, p7_found, p7_versions)}
 
 _SIDE = "CASE lower(trim(side)) WHEN 'bid' THEN 'bid' WHEN 'b' THEN 'bid' WHEN 'buy' THEN 'bid' WHEN 'ask' THEN 'ask' WHEN 'a' THEN 'ask' WHEN 'sell' THEN 'ask' END"
 _BOOK = f"""
@@ -86,7 +91,21 @@ _BAR = f"""SELECT DISTINCT bar_label, epoch_us(CAST(genesis_ts AS TIMESTAMPTZ))
 lower(trim(exchange)) AS exchange, {_SYMBOL} AS symbol, open, high, low, close, volume, value"""
 _CHANGED = " UNION ALL ".join(f"SELECT bar_label, genesis_us, ts_close_us, exchange, symbol, '{f}' AS difference FROM h JOIN c USING (bar_label, genesis_us, ts_close_us, exchange, symbol) WHERE h.{f} IS DISTINCT FROM c.{f}" for f in chunk_diff.BAR_FIELDS)
 
+_STUCK = " UNION ALL ".join(
+    f"SELECT exchange, symbol, timeframe, ts_utc, '{f}' AS field_name, {f} AS v, row_number() OVER (PARTITION BY exchange, symbol, timeframe ORDER BY ts_utc) - row_number() OVER (PARTITION BY exchange, symbol, timeframe, {f} ORDER BY ts_utc) AS island FROM b WHERE trading"
+    for f in spikes.FIELDS
+)
+
 ORACLES = {
+    "p1_certain": f"""
+WITH b AS (SELECT exchange, symbol, timeframe, ts_utc, high, low, volume, avg(CASE WHEN volume > 0 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY exchange, symbol, timeframe) > {spikes.TRADING_SHARE} AS trading
+           FROM (SELECT *, row_number() OVER (PARTITION BY exchange, symbol, timeframe, ts_utc ORDER BY source_ingested_at DESC NULLS LAST, candle_id DESC) AS k FROM candles WHERE ts_utc IS NOT NULL) WHERE k = 1),
+i AS ({_STUCK}),
+r AS (SELECT exchange, symbol, timeframe, field_name, v, island, min(ts_utc) AS a, max(ts_utc) AS z FROM i WHERE v IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6 HAVING count(*) >= {spikes.STUCK_BARS}),
+c AS (SELECT candle_id, exchange, symbol, timeframe, ts_utc, 'high' AS field_name, high AS v, high < greatest(open, close) AS bad FROM candles UNION ALL SELECT candle_id, exchange, symbol, timeframe, ts_utc, 'low', low, low > least(open, close) OR low <= 0 FROM candles
+      UNION ALL SELECT candle_id, exchange, symbol, timeframe, ts_utc, 'volume', volume, volume < 0 FROM candles)
+SELECT candle_id, field_name, 'impossible' AS kind FROM c WHERE bad
+UNION SELECT c.candle_id, c.field_name, 'stuck' AS kind FROM c JOIN r ON c.exchange = r.exchange AND c.symbol = r.symbol AND c.timeframe = r.timeframe AND c.field_name = r.field_name AND c.v = r.v AND c.ts_utc BETWEEN r.a AND r.z""",
     "p3_found": """
 WITH r AS (SELECT DISTINCT * EXCLUDE (row_no) FROM chunk_rows WHERE chunk_id IS NOT NULL),
 n AS (SELECT chunk_id, count(*) AS n FROM r GROUP BY 1),

@@ -33,7 +33,7 @@ def settings(store: ObjectStore | None = None, extra: dict[str, str] | None = No
     """What the operators rely on: UTC, adaptive execution with skew handling, Arrow; then the store's, then ``extra``, which wins."""
     base = {
         "spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.sql.sources.partitionOverwriteMode": "dynamic", "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true", "spark.sql.sources.partitionOverwriteMode": "dynamic", "spark.sql.parquet.filterPushdown": "true", "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     return {**base, **(store.settings() if store else {}), **(extra or {})}
 

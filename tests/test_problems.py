@@ -73,6 +73,18 @@ def test_a_source_that_hardly_trades_is_not_stuck(spark):
     assert found(spark, rows) == []
 
 
+def test_series_with_null_keys_and_null_values(spark):
+    rows = [change(r, exchange=None, symbol=None) for r in ordinary(600, "KRW-A", 0, 5)]
+    rows[50] = change(rows[50], high=rows[50][6] * 3)
+    for m in range(100, 110):
+        rows[m] = change(rows[m], volume=Decimal("5"))
+    for m in range(200, 212):  # absent values aren't stuck, nor do they break the ids of those that are
+        rows[m] = change(rows[m], volume=None)
+    assert found(spark, rows) == sorted([(50, "high"), *((m, "volume") for m in range(100, 110))])
+    kinds = {(r.candle_id, r.kind) for r in spikes.kinds(spark.createDataFrame(rows, CANDLE)).collect()}
+    assert kinds == {(50, "spike"), *((m, "stuck") for m in range(100, 110))}
+
+
 def test_no_candles(spark):
     assert found(spark, []) == []
 
