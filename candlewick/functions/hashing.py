@@ -15,6 +15,12 @@ def iso(c: Column, sep: str = "T") -> Column:
     return F.date_format(c, f"yyyy-MM-dd'{sep}'HH:mm:ss.SSSSSS'+00:00'")
 
 
+def iso_short(c: Column) -> Column:
+    """ISO form whose fraction is left out if it is zero."""
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(whole, F.when(F.pmod(F.unix_micros(c), F.lit(1_000_000)) == 0, "").otherwise(F.date_format(c, ".SSSSSS")), F.lit("+00:00"))
+
+
 def digest(parts: Sequence[Column], length: int = 64) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, length)
 

@@ -18,6 +18,11 @@ def side(c: Column) -> Column:
     return F.when(s.isin(*BID_SPELLINGS), "bid").when(s.isin(*ASK_SPELLINGS), "ask").when(s != "", s)
 
 
+def trade_side(c: Column) -> Column:
+    """``BUY`` if it says so in whatever case, else ``SELL``, also for null."""
+    return F.when(F.upper(c) == "BUY", "BUY").otherwise("SELL")
+
+
 def exchange(c: Column) -> Column:
     return F.lower(F.trim(c))
 

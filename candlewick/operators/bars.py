@@ -107,6 +107,12 @@ def positions(ticks: DataFrame, series: tuple[str, ...] = SERIES, bucket_s: int
     return ranked.withColumn("position", F.col("_before") + F.col("_rank") - 1).select(*ticks.columns, "position")
 
 
+def trades(ticks: DataFrame, series: tuple[str, ...] = SERIES) -> DataFrame:
+    """Ticks with ``side`` as BUY or SELL and ``trade_id``: exchange, symbol, ISO instant and position in the series, joined by colons."""
+    placed = positions(ticks, series)
+    return placed.withColumns({"side": normal.trade_side(F.col("side")), "trade_id": F.concat_ws(":", "exchange", "symbol", hashing.iso_short(F.col("ts_utc")), F.col("position").cast("string"))})
+
+
 def tick_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES) -> DataFrame:
     """Every N ticks; an unfinished bar is dropped."""
     placed = positions(ticks, series).withColumn("bar", normal.bucket(F.col("position"), rule.threshold))

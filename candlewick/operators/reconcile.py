@@ -62,6 +62,12 @@ def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
 
 
+def same_set(left: DataFrame, right: DataFrame, column: str) -> bool:
+    """Whether both sides have the same distinct values of a column (hashes of a batch and of what is stored), null included."""
+    a, b = left.select(column).distinct(), right.select(column).distinct()
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def compared_counts(left: DataFrame, right: DataFrame, key: Sequence[str], tolerance: int = 0) -> DataFrame:
     """(key..., n_left, n_right, verdict) of two tables of counts: PASS if they agree within ``tolerance``, FAIL otherwise, SKIP if one side has none."""
     both = left.select(*key, "n_left").join(right.select(*key, "n_right"), list(key), "full_outer")
@@ -101,6 +107,13 @@ def gap_causes(gaps: DataFrame, heartbeats: DataFrame, fresh_s: float) -> DataFr
     return g.join(near, "_id", "left").withColumn("cause", F.when(F.col("_alive"), "UNKNOWN").otherwise("LIKELY_NODE_DOWN")).drop("_id", "_alive")
 
 
+def gap_causes_now(gaps: DataFrame, heartbeats: DataFrame, now: Column, stale_s: float) -> DataFrame:
+    """Gaps with ``cause`` by the state of the nodes at ``now``: LIKELY_NODE_DOWN if any is disconnected (``ws_state``) or its heartbeat (``at``) is ``stale_s`` old or older, else UNKNOWN. Nodes that never gave one tell nothing."""
+    old = F.coalesce((F.unix_micros(now) - F.unix_micros("at")) >= int(stale_s * 1_000_000), F.lit(False))
+    down = heartbeats.where(old | F.coalesce(F.col("ws_state") == "disconnected", F.lit(False)))
+    return gaps.withColumn("cause", F.lit("UNKNOWN" if down.isEmpty() else "LIKELY_NODE_DOWN"))
+
+
 #: Checks in the order in which the first that fails names the outcome.
 INVARIANTS = ("object_count", "sha256", "row_count", "column_count", "column_order", "dtype", "schema_version", "ambiguity")
 

@@ -111,8 +111,14 @@ FROM t WHERE us >= epoch_us(TIMESTAMP '2024-01-10 00:00:00') AND us < epoch_us(T
 def scan_window(spark, d):
     """Half-open window of ticks in one spelling of side, with ids by position in the series' order."""
     t = ticks(spark, d).where((F.col("ts_utc") >= F.lit("2024-01-10 00:00:00").cast("timestamp")) & (F.col("ts_utc") < F.lit(INSTANT).cast("timestamp")))
-    side = F.when(F.upper("side") == "BUY", "BUY").otherwise("SELL")
-    return bars.positions(t).select("exchange", "symbol", us("ts_utc").alias("ts_us"), "seq", F.col("price").cast("string").alias("price"), side.alias("side"), F.concat_ws(":", "exchange", "symbol", us("ts_utc"), "position").alias("trade_id"))
+    return bars.trades(t).select("exchange", "symbol", us("ts_utc").alias("ts_us"), "seq", F.col("price").cast("string").alias("price"), "side", F.concat_ws(":", "exchange", "symbol", us("ts_utc"), "position").alias("trade_id"))
+
+
+@query(f"""WITH {TICKS} SELECT seq, upper(side) AS side, exchange || ':' || symbol || ':' || strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S') || CASE WHEN us % 1000000 = 0 THEN '' ELSE strftime(make_timestamp(us), '.%f') END || '+00:00:'
+|| (row_number() OVER (PARTITION BY exchange, symbol ORDER BY us, seq) - 1) AS trade_id FROM t""")
+def trade_ids(spark, d):
+    """Every tick with its side and id."""
+    return bars.trades(ticks(spark, d)).select("seq", "side", "trade_id")
 
 
 @query("""WITH p AS (SELECT DISTINCT exchange, symbol, epoch_us(fetched_at) + 43200000000 AS at FROM exchange_metadata),

@@ -1,5 +1,6 @@
 """Scans of the lake's layouts: explicit schemas, columns from the path, half-open windows, no lookahead."""
 
+import hashlib
 import re
 from datetime import UTC, date, datetime, timedelta
 from urllib.parse import unquote
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
-from candlewick.functions import paths
-from candlewick.operators import replicas
+from candlewick.functions import hashing, paths
+from candlewick.operators import reconcile, replicas
 
 TIMED = ("ts_utc", "received_at")
 
@@ -164,6 +165,53 @@ def scan_metadata(spark: SparkSession, root: str, exchange: str, symbol: str, at
     return rows.where((F.col("symbol") == symbol) & (F.col("fetched_at") <= F.lit(at))).orderBy(F.desc("fetched_at"), "file", "row").limit(1).select(*names)
 
 
+class Missing(FileNotFoundError):
+    """No store has the partition."""
+
+
+def located(spark: SparkSession, stores: list[str], partition: str) -> str:
+    """The first store's folder that has the partition; raises ``Missing`` where none has. Later stores are fallbacks. The default node's rows may lie in a folder without a node level."""
+    plain = partition.strip("/")
+    spelt = [plain, *([plain.replace("/node=DEFAULT", "")] if "/node=DEFAULT" in plain else [])]
+    for store in stores:
+        for name in spelt:
+            if exists(spark, f"{store.rstrip('/')}/{name}"):
+                return f"{store.rstrip('/')}/{name}"
+    raise Missing(f"{partition} in {', '.join(stores)}")
+
+
+def tier_of(partition: str) -> str:
+    """``L1``, ``L2`` or ``L3`` of a partition path; anything else raises."""
+    m = re.search(r"(?:^|/)tier=(L[123])(?:/|$)", partition)
+    if not m:
+        raise ValueError(f"no tier in {partition!r}")
+    return m[1]
+
+
+def scan_partition(spark: SparkSession, stores: list[str], partition: str, name: str) -> DataFrame:
+    """The rows of one partition of a tier, wherever it lies, in the declared schema; ``node_id`` where its path has none is the default node."""
+    tier_of(partition)
+    return read(spark, [located(spark, stores, partition)], name)
+
+
+def polled_metadata(tickers: DataFrame, statuses: DataFrame, exchange: str, at: datetime) -> DataFrame:
+    """Records of ``exchange_metadata.v1`` from a public poll: ``tickers`` (code, acc_trade_value_24h as text), ``statuses`` (currency, deposit_status, withdrawal_status).
+
+    Values that are no numbers count as 0; codes without a status have ``0``. The snapshot id is a digest of all that was polled, the same for the same content in any order.
+    """
+    names = schemas.schema("exchange_metadata.v1")
+    value = F.coalesce(hashing.half_even(F.col("acc_trade_value_24h")), F.lit(0).cast("decimal(38,18)"))
+    codes = tickers.where(F.col("code").isNotNull() & (F.col("code") != "date")).select(F.col("code").alias("currency"), value.alias("acc_trade_value_24h"))
+    content = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(F.lit(1), *df.columns)), F.bit_xor(F.xxhash64(F.lit(2), *df.columns))).first()
+    snapshot = hashlib.sha256(repr((exchange, tuple(content(tickers)), tuple(content(statuses)))).encode()).hexdigest()[:16]
+    got = reconcile.with_status(codes, statuses, "currency")
+    fixed = {"exchange": F.lit(exchange), "symbol": F.concat(F.lit("KRW-"), "currency"), "fetched_date": F.lit(at.date()), "fetched_at": F.lit(at), "source_snapshot_id": F.lit(snapshot), "available_from_ts": F.lit(at)}
+    rows = got.withColumns(fixed)
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in names.fields if f.name not in rows.columns})
+    hashed = ["symbol", "exchange", "asset_status", "acc_trade_value_24h", "tick_size", "min_order_qty", "fee_maker", "fee_taker", "min_order_notional_krw"]
+    return rows.withColumn("data_hash", hashing.metadata_hash(hashed)).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in names.fields))
+
+
 def numbered_lines(files_: DataFrame, channel: str, value: str = "value") -> DataFrame:
     """Records of whole log segments (``value``, ``file``) in the channel's schema, decimals exact; ``line`` counts a file's records from 0. A line that is no object has nulls only."""
     line = F.posexplode(F.filter(F.split(value, r"\r?\n"), lambda x: F.trim(x) != "")).alias("line", "json")

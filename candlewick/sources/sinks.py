@@ -159,6 +159,14 @@ def day_of_events(spark: SparkSession, root: str, name: str, exchange: str, symb
     return ipc_bytes(catalog.scan_events(spark, root, name, exchange, symbol, a, b))
 
 
+def day_of_candles(spark: SparkSession, root: str, exchange: str, symbol: str, timeframe: str, start: str, end: str, mode: str | list[str] = "historical") -> bytes:
+    """Candles of at most 24 hours of one series as an Arrow stream; a longer window raises."""
+    a, b = catalog.window(start, end)
+    if b - a > timedelta(hours=24):
+        raise ValueError("at most 24 hours")
+    return ipc_bytes(catalog.scan_candles(spark, root, exchange, symbol, timeframe, a, b, mode))
+
+
 def ipc_bytes(df: DataFrame) -> bytes:
     """A bounded result (a scan of at most a day of one series) as an Arrow IPC stream."""
     table = df.toArrow()

@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from candlewick.operators import bars, tiers
@@ -135,6 +136,72 @@ def incremental_bars(ticks: DataFrame, label: str) -> DataFrame:
     return flat.groupBy("exchange", "symbol").applyInPandasWithState(apply, BAR, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def append_log(stream: DataFrame, wal: str, channel: str, node: str, checkpoint: str, seconds: int = 300, trigger: dict | None = None) -> StreamingQuery:
+    """Records of a channel as sealed log segments, one a series and micro-batch: ``<exchange>/<channel>/<symbol>/<day>/segment-<batch>-<node>.ndjson.sealed``.
+
+    A batch is by default what arrives in ``seconds`` of processing time. One that is run again writes the same names again, so the log holds each once. Rows need exchange and symbol.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("channel", F.lit(channel))
+        day = F.date_format(F.current_timestamp() if "received_at" not in batch.columns else F.coalesce("received_at", F.current_timestamp()), "yyyy-MM-dd")
+        keyed = rows.select("exchange", "symbol", day.alias("day"), F.to_json(F.struct(*rows.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
+        beside = f"{wal}/_batch-{channel}-{node}-{number}"
+        keyed.repartition("exchange", "symbol", "day").write.mode("overwrite").partitionBy("exchange", "symbol", "day").text(beside)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        path = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+        fs = path(wal).getFileSystem(conf)
+        for f in fs.globStatus(path(f"{beside}/exchange=*/symbol=*/day=*/part-*")) or []:  # a file a series of the batch
+            parts = dict(x.split("=", 1) for x in f.getPath().toString().split("/") if "=" in x)
+            folder = f"{wal}/{parts['exchange']}/{channel}/{parts['symbol']}/{parts['day']}"
+            target = path(f"{folder}/segment-{number:012d}-{node}.ndjson.sealed")
+            fs.mkdirs(path(folder))
+            fs.delete(target, False)
+            if not fs.rename(f.getPath(), target):
+                raise OSError(f"can't seal {target}")
+        fs.delete(path(beside), True)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": f"{seconds} seconds"})).start()
+
+
+def retrying(publish: Callable[[DataFrame, int], None], tries: int = 5, wait_s: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[DataFrame, int], None]:
+    """``publish`` tried several times, the waits doubling; the last failure is raised, and the stream stops at this batch rather than drop it."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        for n in range(tries):
+            try:
+                return publish(batch, number)
+            except Exception:
+                if n == tries - 1:
+                    raise
+                sleep(wait_s * 2**n)
+
+    return run
+
+
+class Progress(StreamingQueryListener):
+    """The latest figures of each query: rows in, rows a second, milliseconds a batch, and how often queries ended in failure. ``spark.streams.addListener(Progress())``."""
+
+    def __init__(self) -> None:
+        self.latest: dict[str, dict] = {}
+        self.failures = 0
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.latest.setdefault(str(event.name or event.id), {})
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        have = self.latest.setdefault(str(p.name or p.id), {})
+        have.update({"batch": p.batchId, "rows": have.get("rows", 0) + p.numInputRows, "rows_per_second": p.processedRowsPerSecond, "batch_ms": p.batchDuration})
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.failures += event.exception is not None
+
+
 def alternate_sink(stream: DataFrame, checkpoint: str, publish, trigger: dict | None = None) -> StreamingQuery:
     """Hands each micro-batch and its number to ``publish`` (a message broker, a second store); numbers repeat after failures."""
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

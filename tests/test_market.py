@@ -19,6 +19,7 @@ from candlewick import __main__ as cli
 from candlewick.plans import market_queries, placement
 from candlewick.sources import catalog, session, sinks
 from candlewick.streaming import live
+from tests import edge_cases
 
 T0 = dt.datetime(2025, 1, 6, tzinfo=dt.UTC)
 TICK = "ts_utc timestamp, exchange string, symbol string, price decimal(20,8), quantity decimal(16,8), seq bigint"
@@ -402,6 +403,7 @@ def test_paper_candles_and_day_limit(spark, tmp_path):
     with pytest.raises(ValueError, match="24"):
         sinks.day_of_events(spark, str(tmp_path), "tick.v1", "north", "KRW-A", span[0], "2025-01-08T00:00:00+00:00")
     assert sinks.ipc_table(sinks.day_of_events(spark, str(tmp_path), "tick.v1", "north", "KRW-A", *span)).num_rows == 0
+    assert sinks.ipc_table(sinks.day_of_candles(spark, str(tmp_path), "north", "KRW-A", "1m", *span, mode="paper")).num_rows == 1
 
 
 def test_blocking_with_hysteresis(spark):
@@ -527,6 +529,94 @@ def test_small_artefacts(spark, tmp_path):
         catalog.encoded(spark.range(1).select(F.lit(0.5).alias("x")))
 
 
+def test_partitions_are_found_in_the_first_store(spark, tmp_path):
+    part = "market/transaction/schema_version=tick.v1/tier=L2/exchange=north/symbol=KRW-A/date=2025-01-06/hour=03"
+    t = ticks(spark, [(0, 1, 1)]).withColumns({"received_at": F.col("ts_utc"), "side": F.lit("buy"), "raw_json": F.lit(None).cast("string")}).drop("seq", "exchange", "symbol")
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    t.write.parquet(f"{b}/{part}/node=DEFAULT")
+    assert catalog.located(spark, [a, b], part) == f"{b}/{part}" and catalog.located(spark, [a, b], f"{part}/node=DEFAULT") == f"{b}/{part}/node=DEFAULT"
+    t.unionByName(t).write.parquet(f"{a}/{part}")
+    assert catalog.located(spark, [a, b], f"{part}/node=DEFAULT") == f"{a}/{part}"
+    got = catalog.scan_partition(spark, [a, b], part, "tick.v1").collect()
+    assert [(r.exchange, r.symbol, r.node_id) for r in got] == [("north", "KRW-A", replicas.NO_NODE)] * 2
+    with pytest.raises(catalog.Missing):
+        catalog.located(spark, [a, b], part.replace("06", "07"))
+    with pytest.raises(ValueError, match="tier"):
+        catalog.tier_of("market/date=2025-01-06")
+
+
+def test_polled_metadata(spark):
+    tick = spark.createDataFrame([("BTC", "1.0000000000000000015"), ("ETH", "n/a"), ("date", "5"), (None, "1")], "code string, acc_trade_value_24h string")
+    status = spark.createDataFrame([("BTC", "1", "1"), ("ETH", "1", "0"), ("", "1", "1"), (None, "1", "1")], "currency string, deposit_status string, withdrawal_status string")
+    now = dt.datetime(2025, 1, 6, 3, tzinfo=dt.UTC)
+    got = {r.symbol: r for r in catalog.polled_metadata(tick, status, "north", now).collect()}
+    assert {s: (r.asset_status, str(r.acc_trade_value_24h)) for s, r in got.items()} == {"KRW-BTC": ("1", "1.000000000000000002"), "KRW-ETH": ("0", "0E-18")}
+    again = catalog.polled_metadata(tick.orderBy(F.desc("code")), status.repartition(3), "north", now).first()
+    assert again.source_snapshot_id == got["KRW-BTC"].source_snapshot_id and len(got["KRW-BTC"].data_hash) == 32
+    assert catalog.polled_metadata(tick.limit(0), status, "north", now).collect() == []
+
+
+def test_a_log_is_appended_sealed_and_compacted(spark, tmp_path):
+    src = str(tmp_path / "in")
+    t = ticks(spark, [(i, 1, 1) for i in range(4)]).unionByName(ticks(spark, [(0, 1, 1)], "KRW-B")).withColumns({"received_at": F.col("ts_utc"), "side": F.lit("buy"), "price": F.col("price").cast(D), "quantity": F.col("quantity").cast(D)}).drop("seq")
+    t.write.parquet(src)
+    listener = live.Progress()
+    spark.streams.addListener(listener)
+    try:
+        live.append_log(spark.readStream.schema(t.schema).parquet(src), str(tmp_path / "wal"), "transaction", "NODE_A", str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination(60)
+    finally:
+        spark.streams.removeListener(listener)
+    names = sorted(str(f.relative_to(tmp_path / "wal")) for f in (tmp_path / "wal").rglob("*.sealed"))
+    assert names == [f"north/transaction/KRW-{s}/2025-01-06/segment-000000000000-NODE_A.ndjson.sealed" for s in "AB"]
+    assert tiers.compact_segments(spark, str(tmp_path / "wal"), str(tmp_path / "l1"), "transaction") == 2
+    got = spark.read.parquet(str(tmp_path / "l1"))
+    assert got.count() == 5 and got.where("symbol = 'KRW-A'").first().price == 1
+    waits, calls = [], []
+
+    def publish(batch, number):
+        calls.append(number)
+        if len(calls) < 3:
+            raise OSError("away")
+
+    live.retrying(publish, sleep=waits.append)(spark.range(1), 7)
+    assert calls == [7, 7, 7] and waits == [1.0, 2.0]
+    with pytest.raises(OSError):
+        live.retrying(lambda b, n: (_ for _ in ()).throw(OSError("gone")), 2, sleep=waits.append)(spark.range(1), 1)
+
+
+def test_replicas_of_book_events(spark):
+    """Equal or unknown payloads keep the first row, differing ones the lower node's; both rows of a conflict are put out."""
+    ddl = "exchange string, symbol string, ts_utc timestamp, event_type string, side string, level int, price int, quantity int, node_id string, raw_json string, n int"
+    row = lambda p, node, raw, n: ("e", "s", at(0), "delta", "bid", -1, p, 1, node, raw, n)
+    df = spark.createDataFrame([row(1, "B", "x", 1), row(1, "A", "y", 2), row(1, "C", "z", 3), row(2, "B", None, 1), row(2, "A", "y", 2), row(3, "B", "x", 1), row(3, "B", "x", 2), (None, None, None, None, None, None, None, None, None, None, 1)], ddl)
+    got = replicas.reduced(df, replicas.ORDERBOOK_KEY, ["n"])
+    assert sorted((r.price or 0, r.node_id or "", r.n) for r in got.collect()) == [(0, "", 1), (1, "A", 2), (2, "B", 1), (3, "B", 1)] and got.columns == df.columns
+    assert sorted((r.kept.node_id, r.other.node_id) for r in replicas.conflicting(df, replicas.ORDERBOOK_KEY, ["n"]).collect()) == [("A", "C"), ("B", "A")]
+    assert reconcile.same_set(df, df.limit(5), "node_id") is False and reconcile.same_set(df, df, "raw_json")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bars_on_their_edges(spark, seed):
+    def made(series):
+        rows = [("north", "KRW-A", t, p, q, i) for i, (t, p, q) in enumerate(series)]
+        return spark.createDataFrame(rows, "exchange string, symbol string, ts_utc timestamp, price decimal(20,8), quantity decimal(16,8), seq bigint")
+
+    series, n = edge_cases.sums_that_meet_the_threshold(seed, 7, 9)
+    assert out(bars.resample(made(series), "vol_7"), "volume") == [(7,)] * n
+    series, n = edge_cases.ticks_at_the_ends_of_windows(seed, 60, 8)
+    assert out(bars.resample(made(series), "time_60"), "n_ticks", "open", "close") == [(2, series[2 * k][1], series[2 * k + 1][1]) for k in range(n)]
+    series, n = edge_cases.notionals_between_digits(seed, 1000, 6)
+    assert out(bars.resample(made(series), "dollar_1000"), "value", "n_ticks") == [(1000, 4)] * n
+
+
+def test_causes_by_the_present_state(spark):
+    g = spark.createDataFrame([("a",)], "k string")
+    beat = lambda *rows: spark.createDataFrame(list(rows), "ws_state string, at timestamp")
+    cause = lambda h: reconcile.gap_causes_now(g, h, F.lit(at(100)), 30).first().cause
+    assert cause(beat(("connected", at(80)))) == "UNKNOWN" and cause(beat(("connected", at(80)), ("connected", at(70)))) == "LIKELY_NODE_DOWN"
+    assert cause(beat(("disconnected", at(99)))) == "LIKELY_NODE_DOWN" and cause(beat()) == "UNKNOWN" and cause(beat(("connected", None))) == "UNKNOWN"
+
+
 def test_lists_days_and_closed_bars(spark):
     rows = spark.createDataFrame([("n", "t"), ("n", "d"), ("s", "d"), ("x", "t"), ("n", None)], "exchange string, channel string")
     kept, refused = quality.allowed(rows, [("n", "t"), ("n", "d"), ("s", "t")])
