@@ -16,8 +16,13 @@ from pyspark.sql import functions as F
 
 from candlewick.plans.lineage import cut
 
-#: Where the vocabulary is unless a call or the session (``spark.candlewick.vocabulary``) names another.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+try:
+    import public_tokenizers
+except ImportError:
+    public_tokenizers = None
+
+#: The vocabulary's file unless a call or the session (``spark.candlewick.vocabulary``) names another: that of the package of public tokenizers, where it is installed.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken") if public_tokenizers else None
 # Fixed value: how this vocabulary splits text before merging bytes.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCKS = 1024
@@ -33,7 +38,9 @@ def source_key(c: Column) -> Column:
 
 def token_counts(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, source, h, n_tokens) of every document; ``h`` is a hash of id and text. Null and empty texts have no tokens; whole texts are counted."""
-    vocabulary = vocabulary or documents.sparkSession.conf.get("spark.candlewick.vocabulary", VOCABULARY)
+    vocabulary = vocabulary or documents.sparkSession.conf.get("spark.candlewick.vocabulary", None) or VOCABULARY
+    if not vocabulary:
+        raise ValueError("spark.candlewick.vocabulary must name a vocabulary of ranks")
     with open(vocabulary, "rb") as f:
         data = f.read()  # of fixed size, some hundred kB; shipped with the function, for the file need not be on the workers
 
