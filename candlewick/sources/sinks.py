@@ -59,7 +59,9 @@ def write_metadata(rows: DataFrame, root: str) -> DataFrame:
     base = f"{root}/market/exchange_metadata/schema_version=exchange_metadata.v1"
     names = schemas.schema("exchange_metadata.v1").names
     key = ["exchange", "symbol", "fetched_date"]
-    old = catalog.read(spark, [base], "exchange_metadata.v1")
+    first_day, last_day = rows.agg(F.min("fetched_date"), F.max("fetched_date")).first()
+    venues = [r.exchange for r in rows.select("exchange").distinct().collect()]  # of one batch
+    old = catalog.read(spark, [f"{base}/exchange={e}" for e in venues], "exchange_metadata.v1", first_day, last_day) if first_day else None
     every = rows.select(*names).withColumn("_old", F.lit(False))
     if old is not None:
         every = every.unionByName(old.select(*names).withColumn("_old", F.lit(True)))
