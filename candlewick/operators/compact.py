@@ -71,9 +71,9 @@ def _records(rows: DataFrame) -> DataFrame:
     return stored(got.drop("d2"), "coded")
 
 
-def write(rows: DataFrame, path: str, target_rows: int = TARGET_ROWS, keep: tuple[str, ...] = ()) -> None:
-    """The records of ``rows``, each exactly once, as Parquet partitioned by exchange, symbol and day, clustered by code; ``keep`` may name ``CODE``."""
-    placement.write(_records(rows), path, PARTITION, "cell", "d1", [CODE], PARTITION, target_rows, "errorifexists", () if CODE in keep else (CODE,))
+def write(rows: DataFrame, path: str, target_rows: int = TARGET_ROWS, keep: tuple[str, ...] = (), flat: bool = False) -> None:
+    """The records of ``rows``, each exactly once, as Parquet partitioned by exchange, symbol and day, clustered by code; ``keep`` may name ``CODE``. ``flat`` makes no folders, so that small partitions share files."""
+    placement.write(_records(rows), path, PARTITION, "cell", "d1", [CODE], PARTITION, target_rows, "errorifexists", () if CODE in keep else (CODE,), flat)
 
 
 def _sums(records: DataFrame, name: str) -> DataFrame:
@@ -118,10 +118,8 @@ def containment(rows: DataFrame, target_rows: int = TARGET_ROWS, path: str | Non
     spark = rows.sparkSession
     named = rows.where(F.col("chunk_id").isNotNull())
     path = path or scratch(spark, "compacted")
-    write(named, path, target_rows, keep=(CODE,))
+    write(named, path, target_rows, keep=(CODE,), flat=True)
     schema = schemas.plus(named.select(*RECORD).schema, **{CODE: "bigint"})
-    for f in named.select(*_partition()).schema:
-        schema = schema.add(f)
     laid = spark.read.schema(schema).parquet(path).select(digest(11).alias("d1"), digest(12).alias("d2"), F.col(CODE).alias("code"))
     held = named.select("chunk_id", digest(11).alias("d1"), digest(12).alias("d2")).distinct()
     met = held.join(laid, ["d1", "d2"], "left").withColumn("code", F.when(F.col("code").isNull(), F.raise_error(F.lit("a source record is not in the destination"))).otherwise(F.col("code")))

@@ -48,17 +48,19 @@ def placed(records: DataFrame, parts: Sequence[str], cell: str, tie: str, target
     return got.select(*records.columns, "file_no", (F.col("first_task") + several(F.col("file_no"))).alias("task")), int(n_tasks)
 
 
-def write(records: DataFrame, path: str, parts: Sequence[str], cell: str, tie: str, order: Sequence[str], folders: Sequence[str] | None = None, target_rows: int = FILE_ROWS, mode: str = "append", drop: Sequence[str] = ()) -> None:
+def write(records: DataFrame, path: str, parts: Sequence[str], cell: str, tie: str, order: Sequence[str], folders: Sequence[str] | None = None, target_rows: int = FILE_ROWS, mode: str = "append", drop: Sequence[str] = (), flat: bool = False) -> None:
     """The records under ``path``, in files of one span of cells each, sorted by ``order``; without ``cell``, ``tie`` and those of ``drop``. ``overwrite`` replaces the partitions that occur.
 
-    ``folders`` names the columns that folders are made of, in place of those of ``parts`` in the same order, which are then not written.
+    ``folders`` names the columns that folders are made of, in place of those of ``parts`` in the same order, which are then not written. ``flat`` makes no folders: the columns are
+    written, small partitions share files.
     """
     rows, n_tasks = placed(records, parts, cell, tie, target_rows)
     made = list(folders or parts)
     files = rows.repartitionById(max(n_tasks, 1), F.col("task").cast("int")).sortWithinPartitions(*made, "file_no", *order)
     gone = {cell, tie, *made, *parts, *drop}
     out = files.select(*(c for c in records.columns if c not in gone), *made).write.option("maxRecordsPerFile", 2 * target_rows).option("partitionOverwriteMode", "dynamic")
-    out.mode(mode).partitionBy(*made).parquet(path)
+    out = out.mode(mode)
+    (out if flat else out.partitionBy(*made)).parquet(path)
 
 
 def by_time(rows: DataFrame, path: str, parts: Sequence[str], ts: str, order: Sequence[str], span_s: int = 60, target_rows: int = FILE_ROWS, mode: str = "append") -> None:
