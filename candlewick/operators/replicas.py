@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions import hashing
@@ -33,59 +33,59 @@ def candles(rows: DataFrame, newest: str = "source_ingested_at", node: str = "no
     return latest(rows, CANDLE_KEY, newest, [node_priority(F.col(node))])
 
 
-def folded(rows: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
-    """Rows of ``key`` seen by several nodes: (key..., kept node and raw_json, n_skipped, n_conflicts).
+def _walked(rows: DataFrame, key: Sequence[str], order: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """One row a (key, node, raw_json), the first by ``order`` with columns ``carry`` in ``r`` and ``n`` copies, in the order of the walk: (_k..., node, raw, o, n, r, kept, before).
 
-    Nodes are taken in arrival order (``tie``). A copy whose raw_json equals the kept one, or one of which is null, is skipped; a differing
-    one is a conflict, after which the row of the lower node is kept. A key has at most a few copies a node, reduced to one a (node, raw_json).
+    ``kept`` is the key's row in the end, ``before`` what was kept until this row (null for the first). A kept row gives way to the first later one whose payload differs, neither being null, and
+    whose node is lower; so it changes at most as often as there are nodes, and each change is a minimum over the key's rows: no key's rows are collected, and Spark's windows spill.
     """
     node = node_priority(F.col("node_id"))
-    once = rows.groupBy(*key, node.alias("node"), "raw_json").agg(F.min(tie).alias("tie"), F.count(F.lit(1)).alias("n"))
-    group = once.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("tie", "node", "raw_json", "n"))).alias("g"))
-    first = F.struct(F.col("g")[0]["node"].alias("node"), F.col("g")[0]["raw_json"].alias("raw_json"), (F.col("g")[0]["n"] - 1).alias("skipped"), F.lit(0).cast("bigint").alias("conflicts"))
+    n_nodes = rows.select(node.alias("n")).distinct().count()
+    own = F.struct(*carry) if carry else F.lit(None).cast("struct<x:int>")
+    once = rows.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(key)), node.alias("node"), F.col("raw_json").alias("raw")).agg(F.min(F.struct(F.struct(*order).alias("o"), own.alias("r"))).alias("x"), F.count(F.lit(1)).alias("n"))
+    keys = [f"_k{i}" for i in range(len(key))]
+    whole, along = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("o", "node", "raw")
+    it = F.struct("o", "node", "raw", "r")
+    walked = once.select(*keys, "node", "raw", F.col("x.o").alias("o"), F.col("x.r").alias("r"), "n").withColumn("_c0", F.first(it).over(along))
+    place = lambda c: F.struct(c["o"].alias("o"), c["node"].alias("node"), c["raw"].alias("raw"))
+    steps = max(n_nodes, 1)
+    for i in range(1, steps):
+        last = F.coalesce(*(F.col(f"_c{j}") for j in range(i - 1, -1, -1)))
+        wins = (F.col("node") < last["node"]) & F.col("raw").isNotNull() & last["raw"].isNotNull() & (F.col("raw") != last["raw"]) & (F.struct("o", "node", "raw") > place(last))
+        walked = walked.withColumn(f"_c{i}", F.min(F.when(wins, it)).over(whole))
+    chain = [F.col(f"_c{i}") for i in range(steps)]
+    before = F.coalesce(*(F.when(place(c) < F.struct("o", "node", "raw"), c) for c in reversed(chain)))
+    return walked.select(*keys, "node", "raw", "o", "n", "r", F.coalesce(*reversed(chain)).alias("kept"), before.alias("before"))
+
+
+def _conflict() -> Column:
+    return F.coalesce(F.col("before.raw").isNotNull() & F.col("raw").isNotNull() & (F.col("before.raw") != F.col("raw")), F.lit(False))
 
-    def step(a: Column, x: Column) -> Column:
-        same = a["raw_json"].isNull() | x["raw_json"].isNull() | (a["raw_json"] == x["raw_json"])
-        lower = ~same & (x["node"] < a["node"])
-        return F.struct(
-            F.when(lower, x["node"]).otherwise(a["node"]).alias("node"),
-            F.when(lower, x["raw_json"]).otherwise(a["raw_json"]).alias("raw_json"),
-            (a["skipped"] + F.when(same, x["n"]).otherwise(x["n"] - 1)).alias("skipped"),
-            (a["conflicts"] + F.when(same, 0).otherwise(1)).cast("bigint").alias("conflicts"),
-        )
 
-    return group.select(*key, F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), first, step).alias("f")).select(*key, F.col("f.node").alias("node_id"), "f.raw_json", F.col("f.skipped").alias("n_skipped"), F.col("f.conflicts").alias("n_conflicts"))
+def folded(rows: DataFrame, key: Sequence[str], tie: str) -> DataFrame:
+    """Rows of ``key`` seen by several nodes: (key..., kept node and raw_json, n_skipped, n_conflicts).
+
+    Nodes are taken in arrival order (``tie``). A copy whose raw_json equals the kept one, or one of which is null, is skipped; a differing
+    one is a conflict, after which the row of the lower node is kept. Copies of a node with one payload are reduced before the shuffle. Null key parts are values.
+    """
+    w = _walked(rows, key, [tie], ())
+    keys = [f"_k{i}" for i in range(len(key))]
+    first, clash = F.col("before").isNull(), _conflict()
+    skipped = F.when(first | clash, F.col("n") - 1).otherwise(F.col("n"))
+    got = w.groupBy(*keys).agg(F.first("kept").alias("kept"), F.sum(skipped).alias("n_skipped"), F.count(F.when(clash, 1)).alias("n_conflicts"))
+    return got.select(*(F.col(k).alias(n) for k, n in zip(keys, key, strict=True)), F.col("kept.node").alias("node_id"), F.col("kept.raw").alias("raw_json"), "n_skipped", "n_conflicts")
 
 
 def reduced(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows with one kept of each key, by the rules of ``folded``; all columns of the kept row."""
-    return _kept(rows, key, order).select("f.kept.r.*")
+    w = _walked(rows, key, order, rows.columns)
+    return w.where(F.struct("o", "node", "raw").eqNullSafe(F.struct("kept.o", "kept.node", "kept.raw"))).select("r.*")
 
 
 def conflicting(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """(key..., kept, other): the pairs that ``folded`` counts as conflicts, as structs of whole rows: what was kept until then and what differed from it."""
-    pairs = _kept(rows, key, order).select(*(F.col(f"_{k}").alias(k) for k in key), F.explode("f.pairs").alias("p"))
-    return pairs.select(*key, F.col("p.a").alias("kept"), F.col("p.b").alias("other"))
-
-
-def _kept(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """(_key..., f): the fold over each key's rows in ``order``, one a (node, raw_json). Different payloads of one logical record are few; equal ones are reduced before the shuffle."""
-    node = node_priority(F.col("node_id"))
-    row = F.struct(F.struct(*order).alias("o"), node.alias("node"), F.col("raw_json").alias("raw"), F.struct(*rows.columns).alias("r"))
-    once = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in key), node.alias("_node"), F.col("raw_json").alias("_raw")).agg(F.min(row).alias("x"))
-    group = once.groupBy(*(f"_{k}" for k in key)).agg(F.array_sort(F.collect_list("x")).alias("g"))
-    pair = F.struct(F.col("g")[0]["r"].alias("a"), F.col("g")[0]["r"].alias("b"))
-    start = F.struct(F.col("g")[0].alias("kept"), F.filter(F.array(pair), lambda _: F.lit(False)).alias("pairs"))
-
-    def step(a: Column, x: Column) -> Column:
-        kept = a["kept"]
-        differ = kept["raw"].isNotNull() & x["raw"].isNotNull() & (kept["raw"] != x["raw"])
-        return F.struct(
-            F.when(differ & (x["node"] < kept["node"]), x).otherwise(kept).alias("kept"),
-            F.when(differ, F.concat(a["pairs"], F.array(F.struct(kept["r"].alias("a"), x["r"].alias("b"))))).otherwise(a["pairs"]).alias("pairs"),
-        )
-
-    return group.select(*(f"_{k}" for k in key), F.aggregate(F.slice("g", 2, F.greatest(F.size("g") - 1, F.lit(0))), start, step).alias("f"))
+    w = _walked(rows, key, order, rows.columns).where(_conflict())
+    return w.select(*(F.col(f"_k{i}").alias(k) for i, k in enumerate(key)), F.col("before.r").alias("kept"), F.col("r").alias("other"))
 
 
 def classified_metadata(rows: DataFrame) -> DataFrame:

@@ -584,6 +584,31 @@ def test_a_log_is_appended_sealed_and_compacted(spark, tmp_path):
         live.retrying(lambda b, n: (_ for _ in ()).throw(OSError("gone")), 2, sleep=waits.append)(spark.range(1), 1)
 
 
+def test_fold_of_replicas_against_a_walk(spark):
+    r = random.Random(17)
+    rows = [(r.choice([1, 2, 3, None]), r.choice("ABCD"), r.choice(["x", "y", "z", None]), i) for i in range(300)] + [(9, "D", f"p{i}", 1000 + i) for i in range(200)] + [(9, "C", f"p{i}", 2000 + i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, node_id string, raw_json string, tie int").repartition(3)
+    got = {x.k: (x.node_id, x.raw_json, x.n_skipped, x.n_conflicts) for x in replicas.folded(df, ["k"], "tie").collect()}
+    pairs = sorted((x.kept.tie, x.other.tie) for x in replicas.conflicting(df, ["k"], ["tie"]).collect())
+    want_pairs = []
+    for k in (1, 2, 3, None, 9):
+        first: dict = {}
+        for _, node, raw, tie in sorted((x for x in rows if x[0] == k), key=lambda x: x[3]):
+            first.setdefault((node, raw), [tie, 0])[1] += 1
+        order = sorted((tie, node, raw, n) for (node, raw), (tie, n) in first.items())
+        kept, skipped, conflicts = order[0], order[0][3] - 1, 0
+        for x in order[1:]:
+            if kept[2] is None or x[2] is None or kept[2] == x[2]:
+                skipped += x[3]
+                continue
+            conflicts, skipped = conflicts + 1, skipped + x[3] - 1
+            want_pairs.append((kept[0], x[0]))
+            kept = x if x[1] < kept[1] else kept
+        assert got[k] == (kept[1], kept[2], skipped, conflicts)
+    assert pairs == sorted(want_pairs)
+    assert replicas.folded(df.limit(0), ["k"], "tie").collect() == [] and replicas.reduced(df.limit(0), ["k"], ["tie"]).collect() == []
+
+
 def test_replicas_of_book_events(spark):
     """Equal or unknown payloads keep the first row, differing ones the lower node's; both rows of a conflict are put out."""
     ddl = "exchange string, symbol string, ts_utc timestamp, event_type string, side string, level int, price int, quantity int, node_id string, raw_json string, n int"
