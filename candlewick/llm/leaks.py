@@ -45,10 +45,10 @@ def canonical(raw: str, folded: bool = False) -> str:
     unless accents are ``folded`` away instead.
     """
     s = raw.lower()
-    if folded and not s.isascii():
-        s = "".join(ch for ch in unicodedata.normalize("NFD", s) if not unicodedata.combining(ch)) if not _HAS_OTHER.search(s) else s
-        if not s.isascii() and not _HAS_OTHER.search(s):
-            return _NOT_WORD.sub("", s)
+    if folded and not s.isascii() and not _HAS_OTHER.search(s):
+        s = _NOT_WORD.sub("", "".join(ch for ch in unicodedata.normalize("NFD", s) if not unicodedata.combining(ch)))
+        if not s.isascii():
+            return s
     if not s.isascii():
         s = unicodedata.normalize("NFC", s)
         if _HAS_OTHER.search(s):
@@ -127,7 +127,7 @@ class Index:
     """
 
     def __init__(self, items: list[tuple[int, str | None]], folded: bool = False) -> None:
-        self.ids, self.words, self.places, self.folded = [], [], [], folded
+        self.ids, self.words, self.places, self.spelt, self.folded = [], [], [], [], folded
         codes = []
         for item, t in items:
             spelt = [w for w in T.unmangle(t or "").split() if _LETTERS.search(w)]
@@ -143,6 +143,7 @@ class Index:
                 self.ids.append(item)
                 self.words.append([w for _, w in kept])
                 self.places.append([i for i, _ in kept])  # among all the item's words
+                self.spelt.append(spelt)
                 codes.append(np.array([zlib.crc32(w.encode()) for w in self.words[-1]], np.uint64))
         cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
         self.length = np.array([len(c) for c in codes], np.int64)
@@ -232,12 +233,39 @@ def _pairs(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
     return got
 
 
+def _stretches(good: np.ndarray) -> list[tuple[int, int]]:
+    """First and last positions of the maximal stretches of true ones."""
+    edges = np.flatnonzero(np.diff(np.r_[False, good, False].astype(np.int8)))
+    return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
+
+
+def _reach(index: Index, item: int, raw: list[str], dropped: np.ndarray, i: int, j: int, begin: int, end: int) -> int:
+    """How many of the item's words in a row the document holds: from the i-th to the j-th of those kept, which stand at ``begin`` and ``end`` in the
+    document, and beyond both of the skipped ones that are spelt the same there, accents apart. Repeated words (``dropped``) may stand between."""
+    places, spelt = index.places[item], index.spelt[item]
+    first, last = places[i], places[j]
+    for step, bound in ((-1, places[i - 1] if i else -1), (1, places[j + 1] if j + 1 < len(places) else len(spelt))):
+        at, word = (begin, first) if step < 0 else (end, last)
+        while True:
+            at, word = at + step, word + step
+            while 0 <= at < len(raw) and raw[at] != T.DOC and (dropped[at] or not _LETTERS.search(raw[at])):
+                at += step
+            if word == bound or not 0 <= at < len(raw) or canonical(raw[at], True) != canonical(spelt[word], True):
+                break
+            first, last = min(first, word), max(last, word)
+    return last - first + 1
+
+
 def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tuple[str, str], bool], long: bool) -> Iterator[tuple[int, int]]:
     """(text, item) pairs among one batch. ``close`` remembers which spellings are which words."""
     if not len(index.ids):
         return
     c = T.cues(texts, words, sounds=False, long=long, lead=True)
-    keep, codes, spelling = _rejoined(c, _without_repeats(c), words)
+    once = _without_repeats(c)
+    dropped = np.zeros(len(c.raw), bool)
+    dropped[c.at] = True
+    dropped[c.at[once]] = False
+    keep, codes, spelling = _rejoined(c, once, words)
     doc, at = c.doc[keep], c.at[keep]
     t = codes.astype(np.uint64)
     span = len(MASKS[0])
@@ -282,10 +310,8 @@ def _found(index: Index, texts: list[str | None], words: T.Words, close: dict[tu
                     if (yes := close.get(spelt)) is None:
                         yes = close[spelt] = _close(canonical(spelt[0], index.folded), spelt[1])
                     good[j] = yes
-            since, places = None, index.places[pair[1]]
-            for j, ok in enumerate(good.tolist()):
-                since = (j if since is None else since) if ok else None
-                if ok and places[j] - places[since] + 1 >= RUN:
+            for i, j in _stretches(good):
+                if _reach(index, pair[1], c.raw, dropped, i, j, int(at[first + i]), int(at[first + j])) >= RUN:
                     done.add(pair)
                     yield pair[0], index.ids[pair[1]]
                     break

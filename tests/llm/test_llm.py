@@ -121,6 +121,24 @@ def test_rolling_captions_of_several_lines_and_broken_words(spark):
     assert leaked(spark, docs, [(5, ITEM, "x")]) == [(i, 5) for i in (1, 2, 3, 4, 5)]
 
 
+def test_recall_on_planted_passages(spark):
+    """Of 14 to 20 words planted in any of the ways of ``planted`` at least 99 in 100 are found, and none of 13 words."""
+    from tests.llm import planted
+
+    r = random.Random(2)
+    items = [(i, planted.item(r)) for i in range(60)]
+    docs, want, decoys = [], set(), set()
+    for k in range(1600):
+        i, w = r.choice(items)
+        n = 13 if k % 2 else r.choice([14, 14, 15, 16, 20])
+        a = r.randrange(0, len(w) - n + 1)
+        docs.append((k, planted.text(r, w[a : a + n])))
+        (decoys if k % 2 else want).add((k, i))
+    got = set(leaked(spark, docs, [(i, " ".join(w), "x") for i, w in items]))
+    assert len(got & want) >= 0.99 * len(want), len(got & want) / len(want)
+    assert not got & decoys
+
+
 def test_items_of_short_accented_words_are_found(spark):
     item = "Là où il y a eu à peu près été où ça y est"
     assert len(item.split()) == 14
