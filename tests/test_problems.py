@@ -73,6 +73,28 @@ def test_a_source_that_hardly_trades_is_not_stuck(spark):
     assert found(spark, rows) == []
 
 
+def test_recall_of_planted_spikes(spark):
+    """Sources of very different scale and restlessness; readings planted at 2.3 to 30 times the source's largest ordinary one are found, and nothing else."""
+    r = random.Random(41)
+    rows, want = [], set()
+    for k in range(12):
+        scale, unrest, depth_ = 10.0 ** r.uniform(-3, 6), r.uniform(0.2, 0.9), 10.0 ** r.uniform(-4, -2)
+        own, size = [], {"high": [], "low": [], "volume": []}
+        for m in range(1500):
+            p = scale * (1 + 0.01 * r.gauss(0, 1))
+            e = {f: depth_ * min(r.lognormvariate(0, unrest), 8) for f in ("high", "low")} | {"volume": scale * min(r.lognormvariate(0, unrest), 8)}
+            own.append([m, p, e])
+            for f, v in e.items():
+                size[f].append(v)
+        for f in size:
+            for m in r.sample(range(1500), 6):
+                own[m][2][f] = max(size[f]) * r.uniform(2.3, 30)
+                want.add((1500 * k + m, f))
+        rows += [bar(1500 * k + m, m, f"{p:.12f}", f"{p * (1 + e['high']):.12f}", f"{p / (1 + e['low']):.12f}", f"{p:.12f}", f"{e['volume']:.9f}", f"KRW-{k}") for m, p, e in own]
+    got = set(found(spark, rows))
+    assert len(got & want) >= 0.99 * len(want) and not got - want, (len(got & want), len(want), len(got - want))
+
+
 def test_series_with_null_keys_and_null_values(spark):
     rows = [change(r, exchange=None, symbol=None) for r in ordinary(600, "KRW-A", 0, 5)]
     rows[50] = change(rows[50], high=rows[50][6] * 3)
