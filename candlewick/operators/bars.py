@@ -124,7 +124,7 @@ def summed_bars(amount: Column, digits: int) -> Callable[..., DataFrame]:
 
     def build(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
         kept = ticks.select("exchange", "symbol", "ts_utc", "price", "quantity", "seq", hashing.units(amount, digits).alias("_amount"))
-        bucket = normal.bucket(F.unix_micros("ts_utc"), bucket_s * 1_000_000)
+        bucket = walks.time_blocks(ticks, series, "ts_utc", bucket_s)
         assigned = walks.events(kept, series, ["ts_utc", "seq"], F.col("_amount"), rule.threshold * 10**digits, True, bucket, ("closes", "bar"))
         return _bars(assigned, rule, F.col("_first"), _closing(F.col("_last"), F.col("_first")), series).drop("bar")
 
@@ -134,7 +134,7 @@ def summed_bars(amount: Column, digits: int) -> Callable[..., DataFrame]:
 def accumulating_bars(ticks: DataFrame, rule: BarRule, series: tuple[str, ...] = SERIES, bucket_s: int = BUCKET_S) -> DataFrame:
     """Volume and dollar bars: a bar closes with the tick at which the sum since the last close reaches the threshold; overshoot is discarded.
 
-    Where a bar ends depends on where the one before ended; ``walks.events`` finds the ends by time buckets of ``bucket_s``, so a hot series is many tasks'. A null amount, and
+    Where a bar ends depends on where the one before ended; ``walks.events`` finds the ends by time buckets of ``bucket_s`` or less, so a hot series is many tasks'. A null amount, and
     one below 0, adds nothing.
     """
     if rule.kind == "vol":

@@ -151,8 +151,8 @@ def policy_pipeline(candles: DataFrame, tie: str) -> DataFrame:
 def throttled(rows: DataFrame, series: Sequence[str], ts: str, seconds: float, tie: str, bucket_s: int = 3600) -> DataFrame:
     """Rows at least ``seconds`` after the last accepted one of their series; the first is accepted. Rows without an instant aren't."""
     us = F.unix_micros(ts)
-    block = normal.bucket(us, max(bucket_s, int(seconds * 64) + 1) * 1_000_000)
     timed = rows.where(F.col(ts).isNotNull())
+    block = walks.time_blocks(timed, series, ts, max(bucket_s, int(seconds * 64) + 1))
     return walks.events(timed, series, [ts, tie], us, max(int(seconds * 1_000_000), 1), False, block, ("__ok", "__n")).where("__ok = 1").drop("__ok", "__n")
 
 

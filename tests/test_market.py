@@ -204,6 +204,17 @@ def test_events_of_a_hot_series_in_many_blocks(spark):
     assert walks.events(df.limit(0), ["k"], ["t", "tie"], F.col("amount"), 11, True, F.col("t")).collect() == []
 
 
+def test_crowded_blocks_are_made_narrower(spark, monkeypatch):
+    rows = [(i // 50, 3, 1) for i in range(2000)]  # fifty ticks a second
+    t = ticks(spark, rows)
+    sizes = lambda most: t.groupBy(walks.time_blocks(t, ["exchange", "symbol"], "ts_utc", 3600, most)).count().agg(F.max("count")).first()[0]
+    assert sizes(10_000) == 2000 and sizes(300) <= 300 and sizes(7) == 50
+    whole = out(bars.resample(t, "vol_7"), "volume", "n_ticks", "open")
+    monkeypatch.setattr(walks, "BLOCK_ROWS", 60)
+    assert out(bars.resample(t, "vol_7"), "volume", "n_ticks", "open") == whole and len(whole) == 2000 // 7
+    assert bars.resample(t.limit(0), "vol_7").collect() == []
+
+
 def test_no_shuffle_is_by_series_alone_where_rows_are_moved(spark):
     """Of one series only, rows of volume bars, throttles and blocking land in several tasks."""
     t = ticks(spark, [(i * 60, 10, 1) for i in range(3000)])
