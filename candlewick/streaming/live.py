@@ -26,7 +26,7 @@ def wal_stream(spark: SparkSession, path: str, channel: str, files_per_batch: in
 
 
 def compact_stream(stream: DataFrame, out: str, checkpoint: str, channel: str, trigger: dict | None = None) -> StreamingQuery:
-    """L1 as a stream: each micro-batch writes its segments to their own folders, so a batch that is run again after a failure replaces what it wrote."""
+    """L1 as a stream: each micro-batch writes its segments by ``write_l1``, so a batch that is run again after a failure replaces what it wrote."""
 
     def write(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():

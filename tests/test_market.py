@@ -459,6 +459,37 @@ def test_segments_are_compacted_once_and_nothing_is_lost(spark, tmp_path):
     assert not tiers.verify_merge(rows.limit(9), spark.read.parquet(str(tmp_path / "l2"))).first().equal
 
 
+def test_segments_of_a_run_share_files(spark, tmp_path, monkeypatch):
+    """l1_compacted: files are as many as days, not segments. A segment written again replaces its own rows only, also where it shares a file; a run that died is finished by the next."""
+    out = str(tmp_path / "l1")
+    files = lambda: sorted(str(f.relative_to(out)) for f in (tmp_path / "l1").rglob("*.parquet"))
+
+    def log(*segments):
+        made = [(f"/wal/north/orderbookdepth/KRW-A/segment-{i}.ndjson.sealed", wal_lines("orderbookdepth", n)) for i, n in segments]
+        return tiers.rows_of(catalog.numbered_lines(spark.createDataFrame(made, "file string, value string"), "orderbookdepth"), "orderbookdepth", "file")
+
+    def sizes():
+        return sorted(r["count"] for r in spark.read.parquet(out).groupBy("segment").count().collect())
+
+    tiers.write_l1(log(*((i, i + 1) for i in range(20))), out)
+    assert sizes() == list(range(1, 21)) and len(files()) == 1
+    first = files()
+    tiers.write_l1(log((20, 30)), out)
+    assert sizes() == [*range(1, 21), 30] and len(files()) == 2 and set(first) < set(files())
+    tiers.write_l1(log((0, 40), (1, 50)), out)  # of a file that holds 18 others
+    assert sizes() == [*range(3, 21), 30, 40, 50]
+    tiers.write_l1(log(*((i, i + 1) for i in range(20))), out)
+    assert sizes() == [*range(1, 21), 30]
+    swap, before = tiers._swap, files()
+    monkeypatch.setattr(tiers, "_swap", lambda *a: None)
+    tiers.write_l1(log((5, 60)), out)
+    assert files() != before and sizes() == [*range(1, 21), 30]  # all is ready, nothing has changed
+    monkeypatch.setattr(tiers, "_swap", swap)
+    tiers.write_l1(log((6, 70)), out)
+    assert sizes() == [*range(1, 6), *range(8, 21), 30, 60, 70]
+    assert not [f for f in (tmp_path / "l1").iterdir() if f.name.startswith("_l1")]
+
+
 def test_a_malformed_frame_raises(spark):
     bad = wal_lines("orderbookdepth", 1).replace('"side": "bid", ', "")
     got = catalog.numbered_lines(spark.createDataFrame([("f", bad)], "file string, value string"), "orderbookdepth")
