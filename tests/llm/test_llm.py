@@ -5,9 +5,11 @@ import hashlib
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from candlewick.llm import consensus, langid, leaks, mixing
 from candlewick.llm import text as T
@@ -367,6 +369,23 @@ def test_a_value_that_outweighs_the_rest_is_the_consensus(pairs):
     assert len(both) >= max(len(kept(consensus.tokens(v))) for v in (values[0], values[-1]))
 
 
+def test_a_strict_order_is_aligned_and_voted_on(spark):
+    """p2_found: survivors come out of the alignment (it stood aside for a minimum of trust); a group of several parts has the value of its most trusted copy."""
+    r = random.Random(5)
+    rows = [(1, f"{r.randrange(3 * consensus.PART_VALUES) / 8}", i) for i in range(4 * consensus.PART_VALUES)] + [(g, f"{r.randrange(3)}.{r.randrange(3)}", 9000 + i) for g in range(2, 40) for i in range(r.randrange(1, 6))]
+    r.shuffle(rows)
+    got = consensus.survivors(spark.createDataFrame(rows, "k int, value string, n long").select("k", "value", F.struct("n").alias("trust")), ["k"])
+    assert "MapInArrow _ranked" in got._jdf.queryExecution().toString()
+    want: dict = {}
+    for k, v, n in sorted(rows, key=lambda x: x[2]):
+        want.setdefault(k, (v, n, None))
+    assert {x.k: (x.value, x.trust.n, x.support) for x in got.collect()} == want
+    lists = pa.array([[{"trust": 1, "value": "2.5"}, {"trust": 2, "value": "3.5"}], [{"trust": 3, "value": "7"}], [{"trust": i, "value": str(i)} for i in range(100)]])
+    for batch, chosen in ((lists, [1, 3, 0]), (lists[1:], [3, 0])):
+        made = next(consensus._ranked(iter([pa.RecordBatch.from_arrays([batch], names=["v"])])))
+        assert [x["trust"] for x in made.column(0).to_pylist()] == chosen
+
+
 def test_graded_consensus_of_groups(spark):
     """Against ``choose`` over each whole group: clear groups, aligned ones, and one of more values than a part holds."""
     r = random.Random(12)
